@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from tabloom.functions import hash_order, key_digest
 from tabloom.operators.quantiles import LISTED_VALUES, order_statistics
 
-_COPIES_PER_STEP = 10_000
+# Copies of a row that one task makes, and parts a row is cut into when there are more.
+_COPIES_PER_TASK = 16
+_PARTS_PER_STEP = 1000
 
 
 def class_extremes(df: DataFrame, label: str) -> DataFrame:
@@ -76,23 +78,31 @@ def _is(label: str, value: object) -> Column:
 
 
 def _repeat(df: DataFrame, copies: Column, most: int) -> DataFrame:
-    """Each row ``copies`` times, in two steps when one row makes very many copies."""
-    if most <= _COPIES_PER_STEP:
-        repeated = df.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), copies)))
-        return repeated.drop("__copy")
-    step = _COPIES_PER_STEP
-    parts = F.transform(
-        F.sequence(F.lit(0), F.ceil(copies / step).cast("int") - 1),
-        lambda i: F.least(F.lit(step), copies.cast("bigint") - i.cast("bigint") * step).cast("int"),
-    )
-    spread = df.filter(copies > 0).withColumn("__part", F.explode(parts))
-    many = spread.filter(F.col("__part") > 1).repartition()
-    one = spread.filter(F.col("__part") == 1)
-    return (
-        many.unionByName(one)
-        .withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__part"))))
-        .drop("__part", "__copy")
-    )
+    """Each row ``copies`` times.
+
+    Many copies of a row are made in steps, and dealt out over the cluster between them, so
+    that no task writes all copies of the rows it happened to read.
+    """
+    numbered = df.withColumn("__n", copies.cast("bigint")).filter(F.col("__n") > 0)
+    size, sizes = _COPIES_PER_TASK, []
+    while size < most:
+        sizes.append(size)
+        size *= _PARTS_PER_STEP
+    if sizes:
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        single = numbered.filter(F.col("__n") == 1)
+        many = numbered.filter(F.col("__n") > 1)
+        for size in reversed(sizes):
+            many = many.withColumn("__n", F.explode(_parts(F.col("__n"), size))).repartition(tasks)
+        numbered = many.unionByName(single)
+    repeated = F.array_repeat(F.lit(0), F.col("__n").cast("int"))
+    return numbered.withColumn("__n", F.explode(repeated)).drop("__n")
+
+
+def _parts(n: Column, size: int) -> Column:
+    """``n`` cut into parts of ``size`` and a rest."""
+    starts = F.sequence(F.lit(0).cast("bigint"), n - 1, F.lit(size).cast("bigint"))
+    return F.transform(starts, lambda start: F.least(F.lit(size).cast("bigint"), n - start))
 
 
 def oversample_minority(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
@@ -27,55 +27,62 @@ def _score_buckets(scored: DataFrame) -> DataFrame:
     cuts = scored.approxQuantile("score", [i / parts for i in range(1, parts)], error)
     inner = sorted(set(cuts))
     if not inner:
-        return scored.withColumn("bucket", F.lit(0.0))
+        return scored.withColumn("bucket", F.lit(0))
     bucketizer = Bucketizer(
         splits=[-float("inf"), *inner, float("inf")],
         inputCol="score",
         outputCol="bucket",
         handleInvalid="keep",
     )
-    return bucketizer.transform(scored)
+    return bucketizer.transform(scored).withColumn("bucket", F.col("bucket").cast("int"))
 
 
-def binary(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """One row ``areaUnderROC, areaUnderPR``, exact, by the trapezoid rule over all scores.
+def binary(
+    df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = ()
+) -> DataFrame:
+    """``areaUnderROC, areaUnderPR``, exact, by the trapezoid rule over all scores.
 
-    Rows are first summed up per distinct score. Running totals over the sorted scores are
-    then built range by range: totals of the (few) score ranges give each range its start,
-    and the ranges are summed up independently. Labels above 0.5 are positive. Rows without
-    label or score have no place on a curve and are left out.
+    One row, or one per combination of the ``by`` columns. Rows are first summed up per
+    distinct score. Running totals over the sorted scores are then built range by range:
+    totals of the (few) score ranges give each range its start, and the ranges are summed up
+    independently. Labels above 0.5 are positive. Rows without label or score have no place
+    on a curve and are left out.
     """
     scored = df.select(
+        *by,
         F.when(F.col(label) > 0.5, 1).otherwise(0).alias("positive"),
         F.col(score).cast("double").alias("score"),
         F.col(label).isNotNull().alias("labelled"),
     ).filter(F.col("labelled") & F.col("score").isNotNull())
+    place = [*by, "bucket"]
     per_score = (
         _score_buckets(scored)
-        .groupBy("bucket", "score")
+        .groupBy(*place, "score")
         .agg(
             F.sum("positive").alias("pos"),
             (F.count(F.lit(1)) - F.sum("positive")).alias("neg"),
         )
     )
-    # At most one row per score range.
-    ranges = per_score.groupBy("bucket").agg(F.sum("pos").alias("rp"), F.sum("neg").alias("rn"))
-    above = Window.orderBy(F.col("bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
+    # At most one row per score range, and group.
+    ranges = per_score.groupBy(*place).agg(F.sum("pos").alias("rp"), F.sum("neg").alias("rn"))
+    group = Window.partitionBy(*by)
+    above = group.orderBy(F.col("bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
     starts = ranges.select(
-        "bucket",
+        *place,
         F.coalesce(F.sum("rp").over(above), F.lit(0)).alias("start_pos"),
         F.coalesce(F.sum("rn").over(above), F.lit(0)).alias("start_neg"),
-        F.sum("rp").over(everything).cast("double").alias("all_pos"),
-        F.sum("rn").over(everything).cast("double").alias("all_neg"),
+        F.sum("rp").over(group).cast("double").alias("all_pos"),
+        F.sum("rn").over(group).cast("double").alias("all_neg"),
     )
     within = (
-        Window.partitionBy("bucket")
+        Window.partitionBy(*place)
         .orderBy(F.col("score").desc())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     pos, neg = F.col("pos"), F.col("neg")
-    running = per_score.join(F.broadcast(starts), "bucket").select(
+    # Both sides are shuffled by range, which is what the window needs; nothing is broadcast.
+    running = per_score.join(starts.hint("shuffle_hash"), place).select(
+        *by,
         "pos",
         "neg",
         "all_pos",
@@ -89,16 +96,21 @@ def binary(df: DataFrame, label: str = "label", score: str = "score") -> DataFra
     roc_part = neg * (2 * tp - pos) / 2
     pr_part = pos * (precision + F.coalesce(before, precision)) / 2
     positives, negatives = F.max("all_pos"), F.max("all_neg")
-    return running.agg(
+    return running.groupBy(*by).agg(
         F.try_divide(F.sum(roc_part), positives * negatives).alias("areaUnderROC"),
         F.try_divide(F.sum(pr_part), positives).alias("areaUnderPR"),
     )
 
 
-def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """Long confusion table ``label, prediction, count``."""
+def confusion(
+    df: DataFrame,
+    label: str = "label",
+    prediction: str = "prediction",
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """Long confusion table ``label, prediction, count``, after the ``by`` columns."""
     return df.groupBy(
-        F.col(label).alias("label"), F.col(prediction).alias("prediction")
+        *by, F.col(label).alias("label"), F.col(prediction).alias("prediction")
     ).agg(F.count(F.lit(1)).alias("count"))
 
 
@@ -115,7 +127,9 @@ def confusion_matrix(
     return confusion(df, label, prediction).groupBy("label").agg(*counts)
 
 
-def _per_class(df: DataFrame, label: str, prediction: str) -> DataFrame:
+def _per_class(
+    df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()
+) -> DataFrame:
     """``class, tp, support, predicted`` out of the confusion table, by one more grouping."""
     cell = F.col("count")
     hit = F.when(F.col("label") == F.col("prediction"), cell).otherwise(0)
@@ -135,9 +149,9 @@ def _per_class(df: DataFrame, label: str, prediction: str) -> DataFrame:
         ),
     )
     return (
-        confusion(df, label, prediction)
-        .select(F.inline(sides))
-        .groupBy("class")
+        confusion(df, label, prediction, by)
+        .select(*by, F.inline(sides))
+        .groupBy(*by, "class")
         .agg(
             F.sum("tp").alias("tp"),
             F.sum("support").alias("support"),
@@ -146,10 +160,13 @@ def _per_class(df: DataFrame, label: str, prediction: str) -> DataFrame:
     )
 
 
-def _class_rates(df: DataFrame, label: str, prediction: str) -> DataFrame:
+def _class_rates(
+    df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()
+) -> DataFrame:
     tp, support, predicted = F.col("tp"), F.col("support"), F.col("predicted")
     zero = F.lit(0.0)
-    return _per_class(df, label, prediction).select(
+    return _per_class(df, label, prediction, by).select(
+        *by,
         "class",
         "tp",
         "support",
@@ -159,18 +176,30 @@ def _class_rates(df: DataFrame, label: str, prediction: str) -> DataFrame:
     )
 
 
-def multiclass(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """One row ``accuracy, f1, weightedPrecision, weightedRecall``; weights are supports."""
+def multiclass(
+    df: DataFrame,
+    label: str = "label",
+    prediction: str = "prediction",
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """``accuracy, f1, weightedPrecision, weightedRecall``; the weights are supports.
+
+    One row, or one per combination of the ``by`` columns.
+    """
     rows = F.sum("support")
 
     def weighted(column: str):
         return F.try_divide(F.sum(F.col(column) * F.col("support")), rows)
 
-    return _class_rates(df, label, prediction).agg(
-        F.try_divide(F.sum("tp").cast("double"), rows).alias("accuracy"),
-        weighted("f1").alias("f1"),
-        weighted("precision").alias("weightedPrecision"),
-        weighted("recall").alias("weightedRecall"),
+    return (
+        _class_rates(df, label, prediction, by)
+        .groupBy(*by)
+        .agg(
+            F.try_divide(F.sum("tp").cast("double"), rows).alias("accuracy"),
+            weighted("f1").alias("f1"),
+            weighted("precision").alias("weightedPrecision"),
+            weighted("recall").alias("weightedRecall"),
+        )
     )
 
 
@@ -214,12 +243,20 @@ def classification_report(
     return per_class.unionByName(summary)
 
 
-def regression(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """One row ``rmse, mse, mae, r2`` from a single aggregation."""
+def regression(
+    df: DataFrame,
+    label: str = "label",
+    prediction: str = "prediction",
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """``rmse, mse, mae, r2`` from a single aggregation.
+
+    One row, or one per combination of the ``by`` columns.
+    """
     actual = F.col(label).cast("double")
     error = actual - F.col(prediction)
     mse = F.avg(error * error)
-    return df.agg(
+    return df.groupBy(*by).agg(
         F.sqrt(mse).alias("rmse"),
         mse.alias("mse"),
         F.avg(F.abs(error)).alias("mae"),
@@ -227,6 +264,14 @@ def regression(df: DataFrame, label: str = "label", prediction: str = "predictio
     )
 
 
+def stack_models(scored: Mapping[str, DataFrame], columns: Sequence[str]) -> DataFrame:
+    """Scored tables one below the other, told apart by ``model``."""
+    frames = [
+        frame.select(F.lit(name).alias("model"), *columns) for name, frame in scored.items()
+    ]
+    return reduce(DataFrame.unionByName, frames)
+
+
 def dashboard(
     scored: Mapping[str, DataFrame],
     label: str = "label",
@@ -234,15 +279,9 @@ def dashboard(
     score: str = "score",
 ) -> DataFrame:
     """One row per model: ``model, areaUnderROC, accuracy``."""
-    rows = []
-    for name, frame in scored.items():
-        curve = binary(frame, label, score).select("areaUnderROC")
-        hits = frame.agg(
-            F.avg((F.col(label) == F.col(prediction)).cast("double")).alias("accuracy")
-        )
-        rows.append(
-            curve.select(
-                F.lit(name).alias("model"), "areaUnderROC", hits.scalar().alias("accuracy")
-            )
-        )
-    return reduce(DataFrame.unionByName, rows)
+    stacked = stack_models(scored, [label, prediction, score])
+    hits = stacked.groupBy("model").agg(
+        F.avg((F.col(label) == F.col(prediction)).cast("double")).alias("accuracy")
+    )
+    curves = binary(stacked, label, score, by=["model"])
+    return curves.select("model", "areaUnderROC").join(hits, "model")

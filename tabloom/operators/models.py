@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -25,9 +27,9 @@ from pyspark.sql import functions as F
 
 from tabloom.functions import vector_item
 from tabloom.operators import metrics
-from tabloom.operators.preprocessing import with_estimator
-from tabloom.operators.split import cached
+from tabloom.operators.split import cached, training_rows
 from tabloom.sources import runlog
+from tabloom.sources.persistence import save_model
 
 ESTIMATORS = {
     "classification": {
@@ -47,11 +49,23 @@ ESTIMATORS = {
 }
 
 
+def _columns_of(estimators: list, data: DataFrame) -> list[str]:
+    """The columns of ``data`` that the estimators name in their parameters."""
+    named = {
+        e.getOrDefault(p)
+        for e in estimators
+        for p in e.params
+        if p.name.endswith("Col") and e.isDefined(p)
+    }
+    return [c for c in data.columns if c in named]
+
+
 class Trainer:
     """Trains, evaluates and logs models of one task.
 
     ``models`` and ``results`` keep the last outcome per model type. With ``run_log`` set
-    to a path, every training appends its parameters and metrics there.
+    to a path, every training appends its parameters and metrics there; with ``model_dir``
+    it saves the fitted pipelines too.
     """
 
     def __init__(
@@ -61,6 +75,7 @@ class Trainer:
         label_col: str = "label",
         prediction_col: str = "prediction",
         run_log: str | None = None,
+        model_dir: str | None = None,
     ) -> None:
         if task not in ESTIMATORS:
             raise ValueError(f"unknown task {task!r}, use one of {sorted(ESTIMATORS)}")
@@ -69,6 +84,7 @@ class Trainer:
         self.label_col = label_col
         self.prediction_col = prediction_col
         self.run_log = run_log
+        self.model_dir = model_dir
         self.models: dict[str, PipelineModel] = {}
         self.results: dict[str, dict] = {}
 
@@ -89,55 +105,114 @@ class Trainer:
     ) -> tuple[PipelineModel, float]:
         """The fitted pipeline and the seconds it took."""
         begin = time.monotonic()
-        fitted = with_estimator(preprocessing, model).fit(data)
-        return fitted, time.monotonic() - begin
+        stages = []
+        if preprocessing is not None:
+            prepared = preprocessing.fit(data)
+            stages, data = prepared.stages, prepared.transform(data)
+        with training_rows(data.select(*_columns_of([model], data))) as ready:
+            fitted = model.fit(ready)
+        return PipelineModel(stages=[*stages, fitted]), time.monotonic() - begin
+
+    def metric_table(
+        self, predictions: DataFrame, is_binary: bool = True, by: Sequence[str] = ()
+    ) -> DataFrame:
+        """Every metric of the task in one row, or one row per group of ``by``.
 
-    def metric_table(self, predictions: DataFrame, is_binary: bool = True) -> DataFrame:
-        """One row with every metric of the task."""
+        The curves of a binary task are drawn over the column ``score``.
+        """
+        columns = (self.label_col, self.prediction_col)
         if self.task == "regression":
-            return metrics.regression(predictions, self.label_col, self.prediction_col)
-        table = metrics.multiclass(predictions, self.label_col, self.prediction_col)
-        if is_binary:
-            scored = predictions.select(
-                self.label_col, vector_item("rawPrediction", 1).alias("score")
-            )
-            curves = metrics.binary(scored, self.label_col, "score")
-            packed = curves.select(F.struct(*metrics.BINARY_METRICS)).scalar()
-            table = table.withColumn("curves", packed).select("curves.*", *table.columns)
-        return table
+            return metrics.regression(predictions, *columns, by=by)
+        table = metrics.multiclass(predictions, *columns, by=by)
+        if not is_binary:
+            return table
+        curves = metrics.binary(predictions, self.label_col, "score", by=by)
+        if by:
+            return curves.join(table, list(by))
+        packed = table.select(F.struct(*table.columns)).scalar()
+        return curves.withColumn("rest", packed).select(*curves.columns, "rest.*")
+
+    def with_score(self, predictions: DataFrame) -> DataFrame:
+        """Label, prediction and the raw score of the positive class."""
+        return predictions.select(
+            self.label_col,
+            self.prediction_col,
+            vector_item("rawPrediction", 1).alias("score"),
+        )
 
     def metrics_of(self, predictions: DataFrame, is_binary: bool = True) -> dict[str, float]:
-        """The metrics as a dict. Scored rows are kept while they are counted."""
-        needed = [self.label_col, self.prediction_col]
+        """The metrics of one scored table. Its rows are kept while they are counted."""
         if self.task == "classification" and is_binary:
-            needed.append("rawPrediction")
-        with cached(predictions.select(*needed)) as kept:
+            needed = self.with_score(predictions)
+        else:
+            needed = predictions.select(self.label_col, self.prediction_col)
+        with cached(needed) as kept:
             return self.metric_table(kept, is_binary).first().asDict()
 
-    def _log(self, run_name, experiment, params, outcome, sizes, spark) -> None:
+    def _scores(
+        self, models: Mapping[str, PipelineModel], data: DataFrame, has_score: bool
+    ) -> DataFrame:
+        """One row per row of ``data`` and model; every model runs in the same pass."""
+        original = data.columns
+        results: list[str] = []
+        for i, model in enumerate(models.values()):
+            parts = [F.col(self.prediction_col)]
+            if has_score:
+                parts.append(vector_item("rawPrediction", 1).alias("score"))
+            data = model.transform(data).select(
+                *original, *results, F.struct(*parts).alias(f"__m{i}")
+            )
+            results.append(f"__m{i}")
+        entries = [
+            F.struct(
+                F.lit(name).alias("model"),
+                F.col(r)[self.prediction_col].alias(self.prediction_col),
+                *([F.col(r)["score"].alias("score")] if has_score else []),
+            )
+            for name, r in zip(models, results)
+        ]
+        return data.select("split", self.label_col, F.inline(F.array(*entries)))
+
+    def evaluate_many(
+        self,
+        models: Mapping[str, PipelineModel],
+        train: DataFrame,
+        test: DataFrame,
+        is_binary: bool = True,
+    ) -> dict[str, dict[str, dict[str, float]]]:
+        """``{model: {train_metrics, test_metrics}}``, all of them counted together."""
+        has_score = self.task == "classification" and is_binary
+        both = train.withColumn("split", F.lit("train_metrics")).unionByName(
+            test.withColumn("split", F.lit("test_metrics"))
+        )
+        found: dict[str, dict] = {
+            name: {"train_metrics": {}, "test_metrics": {}} for name in models
+        }
+        with cached(self._scores(models, both, has_score)) as kept:
+            for row in self.metric_table(kept, is_binary, ["model", "split"]).collect():
+                values = row.asDict()
+                found[values.pop("model")][values.pop("split")] = values
+        return found
+
+    def _record(self, outcomes, train, test, params, experiment, run_names) -> None:
+        self.results.update(outcomes)
+        saved = {}
+        if self.model_dir is not None:
+            for name in outcomes:
+                saved[name] = {"model_path": f"{self.model_dir}/{run_names[name]}-{uuid.uuid4().hex}"}
+                save_model(self.models[name], saved[name]["model_path"])
         if self.run_log is None:
             return
-        values = {"training_time_seconds": outcome["training_time"], **sizes}
-        for split in ("train", "test"):
-            values |= {f"{split}_{k}": v for k, v in outcome[f"{split}_metrics"].items()}
-        params = {"model_type": outcome["model_type"], **(params or {})}
-        runlog.append(runlog.entries(spark, run_name, params, values, experiment), self.run_log)
-
-    def _evaluate_and_log(
-        self, model_type, model, seconds, train, test, params, experiment, run_name, is_binary
-    ) -> tuple[PipelineModel, dict, DataFrame]:
-        predictions = model.transform(test)
-        outcome = {
-            "model_type": model_type,
-            "train_metrics": self.metrics_of(model.transform(train), is_binary),
-            "test_metrics": self.metrics_of(predictions, is_binary),
-            "training_time": seconds,
-        }
-        if self.run_log is not None:
-            sizes = {"train_size": train.count(), "test_size": test.count()}
-            self._log(run_name or model_type, experiment, params, outcome, sizes, train.sparkSession)
-        self.results[model_type] = outcome
-        return model, outcome, predictions
+        spark = train.sparkSession
+        sizes = {"train_size": train.count(), "test_size": test.count()}
+        rows = []
+        for name, outcome in outcomes.items():
+            values = {"training_time_seconds": outcome["training_time"], **sizes}
+            for split in ("train", "test"):
+                values |= {f"{split}_{k}": v for k, v in outcome[f"{split}_metrics"].items()}
+            entry = {"model_type": name, **params.get(name, {}), **saved.get(name, {})}
+            rows.append(runlog.entries(spark, run_names[name], entry, values, experiment))
+        runlog.append(reduce(DataFrame.unionByName, rows), self.run_log)
 
     def train_and_log(
         self,
@@ -151,12 +226,18 @@ class Trainer:
         is_binary: bool = True,
     ) -> tuple[PipelineModel, dict, DataFrame]:
         """``(model, result record, test predictions)`` of one model."""
-        estimator = self.get_model(model_type, **(params or {}))
-        model, seconds = self.train(estimator, train, preprocessing)
-        self.models[model_type] = model
-        return self._evaluate_and_log(
-            model_type, model, seconds, train, test, params, experiment, run_name, is_binary
+        outcomes = self.train_many(
+            [model_type],
+            train,
+            test,
+            preprocessing,
+            {model_type: params or {}},
+            experiment,
+            is_binary,
+            {model_type: run_name or model_type},
         )
+        model = self.models[model_type]
+        return model, outcomes[model_type], model.transform(test)
 
     def train_many(
         self,
@@ -167,31 +248,39 @@ class Trainer:
         configs: Mapping[str, Mapping[str, object]] | None = None,
         experiment: str | None = None,
         is_binary: bool = True,
+        run_names: Mapping[str, str] | None = None,
     ) -> dict[str, dict]:
-        """Result records by model type. All models share one fitted preprocessing."""
-        stages = []
+        """Result records by model type.
+
+        All models share one fitted preprocessing, and one pass that scores and counts.
+        """
+        stages, spent = [], 0.0
         if preprocessing is not None:
+            begin = time.monotonic()
             prepared = preprocessing.fit(train)
+            spent = time.monotonic() - begin
             stages = prepared.stages
             train, test = prepared.transform(train), prepared.transform(test)
-        outcomes = {}
-        needed = [self.features_col, self.label_col]
-        with cached(train.select(*needed), test.select(*needed)) as (ready, held_out):
-            for model_type in model_types:
-                params = (configs or {}).get(model_type, {})
-                fitted, seconds = self.train(self.get_model(model_type, **params), ready)
-                _, outcomes[model_type], _ = self._evaluate_and_log(
-                    model_type,
-                    fitted,
-                    seconds,
-                    ready,
-                    held_out,
-                    params,
-                    experiment,
-                    model_type,
-                    is_binary,
-                )
-                self.models[model_type] = PipelineModel(stages=[*stages, *fitted.stages])
+        configs = configs or {}
+        fitted: dict[str, PipelineModel] = {}
+        seconds: dict[str, float] = {}
+        estimators = {n: self.get_model(n, **configs.get(n, {})) for n in model_types}
+        needed = _columns_of(list(estimators.values()), train)
+        with (
+            training_rows(train.select(*needed)) as ready,
+            training_rows(test.select(*needed)) as held_out,
+        ):
+            for name, estimator in estimators.items():
+                begin = time.monotonic()
+                fitted[name] = PipelineModel(stages=[estimator.fit(ready)])
+                seconds[name] = time.monotonic() - begin
+            outcomes = self.evaluate_many(fitted, ready, held_out, is_binary)
+            for name, outcome in outcomes.items():
+                outcome["model_type"] = name
+                outcome["training_time"] = spent + seconds[name]
+                self.models[name] = PipelineModel(stages=[*stages, *fitted[name].stages])
+            names = {n: (run_names or {}).get(n, n) for n in outcomes}
+            self._record(outcomes, ready, held_out, configs, experiment, names)
         return outcomes
 
 

@@ -8,6 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
 from tabloom.operators.outliers import IQROutlierModel
+from tabloom.sources.persistence import load_model
 
 OUTPUTS = ("features", "prediction", "probability")
 
@@ -35,3 +36,12 @@ def score(
     scored = keep_all_rows(model).transform(df)
     added = [c for c in outputs if c in scored.columns and c not in keep]
     return scored.select(*keep, *added)
+
+
+def predictor(path: str, keep: Sequence[str] = (), outputs: Sequence[str] = OUTPUTS):
+    """A saved model as a function for ``df.transform``, for tables and streams.
+
+    The model is loaded once, on the driver; scoring is the model's own expressions.
+    """
+    model = load_model(path)
+    return lambda df: score(model, df, keep, outputs)

@@ -65,4 +65,18 @@ def cached(*frames: DataFrame):
             frame.unpersist()
 
 
-__all__ = ["cached", "hash_fold", "hash_split", "random_split", "sample_classes", "top_n"]
+@contextmanager
+def training_rows(df: DataFrame):
+    """Keep rows that are read many times, in at least as many partitions as there are cores.
+
+    Large data has enough partitions and is kept as it comes; only data of few files is dealt
+    out anew.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    with cached(df) as kept:
+        # Asking for the partitions of kept data runs the job that keeps it, and no other.
+        if kept.rdd.getNumPartitions() >= cores:
+            yield kept
+        else:
+            with cached(kept.repartition(cores)) as even:
+                yield even

@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.operators.preprocessing import with_estimator
-from tabloom.operators.split import cached, hash_fold, hash_split
+from tabloom.operators.split import cached, hash_fold, hash_split, training_rows
+from tabloom.sources import runlog
 
 
 def param_grid(model, values: Mapping[str, Sequence[object]]) -> list[dict]:
@@ -58,7 +59,8 @@ def cross_validate(
     if fold_key is not None:
         data = data.withColumn("__fold", hash_fold(fold_key, folds))
         search = search.setFoldCol("__fold")
-    return search.fit(data)
+    with training_rows(data) as rows:
+        return search.fit(rows)
 
 
 def train_validation(
@@ -75,24 +77,27 @@ def train_validation(
     """Search on one split; by the hash of ``split_key`` if given, else seeded."""
     estimator = with_estimator(preprocessing, model)
     if split_key is None:
-        return TrainValidationSplit(
+        search = TrainValidationSplit(
             estimator=estimator,
             estimatorParamMaps=grid,
             evaluator=evaluator,
             trainRatio=train_ratio,
             seed=seed,
             parallelism=parallelism,
-        ).fit(data)
-    parts = hash_split(data, split_key, [train_ratio, 1 - train_ratio])
-    with cached(*parts) as (train, validation):
+        )
+        with training_rows(data) as rows:
+            return search.fit(rows)
+    with training_rows(data) as rows, cached(
+        *hash_split(rows, split_key, [train_ratio, 1 - train_ratio])
+    ) as (train, validation):
 
         def score(params: dict) -> float:
             return evaluator.evaluate(estimator.fit(train, params).transform(validation))
 
         with ThreadPool(min(parallelism, len(grid))) as pool:
             scores = pool.map(score, grid)
-    best = grid[best_index(scores, evaluator.isLargerBetter())]
-    return TrainValidationSplitModel(estimator.fit(data, best), scores)
+        best = grid[best_index(scores, evaluator.isLargerBetter())]
+        return TrainValidationSplitModel(estimator.fit(rows, best), scores)
 
 
 def best_index(scores: Sequence[float], larger: bool) -> int:
@@ -123,6 +128,29 @@ def grid_results(spark, search, grid: list[dict]) -> DataFrame:
     return spark.createDataFrame(rows, "combo int, params map<string,string>, metric double")
 
 
+def search_entries(
+    spark,
+    search,
+    grid: list[dict],
+    evaluator: Evaluator,
+    run_name: str,
+    seconds: float,
+    experiment: str | None = None,
+) -> DataFrame:
+    """The search as run-log rows: what was tried, the best score and its parameters."""
+    scores = scores_of(search)
+    best = best_index(scores, evaluator.isLargerBetter())
+    params = {
+        "n_combinations": len(grid),
+        "metric": evaluator.getMetricName(),
+        **{f"best_{p.name}": v for p, v in grid[best].items()},
+    }
+    if isinstance(search, CrossValidatorModel):
+        params["num_folds"] = search.getNumFolds()
+    values = {"search_time_seconds": seconds, "best_score": scores[best]}
+    return runlog.entries(spark, run_name, params, values, experiment)
+
+
 def best_combo(results: DataFrame, larger: bool, by: str = "combo", metric: str = "metric"):
     """The best row of a table of scores per combination and fold, folds averaged."""
     average = F.avg(metric)

@@ -211,23 +211,13 @@ def join_predictions(spark, sf):
 def _run_log(spark, sf):
     """A log on disk with one run per rule."""
     path = new_path(spark, "run-log")
-    rows = []
-    for name, scored in _rules(spark, sf).items():
-        rows.append(
-            runlog.metric_entries(
-                metrics.binary(scored).select("areaUnderROC"), name, "rules", "test_"
-            )
-        )
-        rows.append(
-            runlog.metric_entries(
-                metrics.regression(scored).select("rmse"), name, "rules", "test_"
-            )
-        )
-        rows.append(
-            runlog.metric_entries(
-                metrics.multiclass(scored).select("accuracy"), name, "rules", "test_"
-            )
-        )
+    stacked = metrics.stack_models(_rules(spark, sf), ["label", "score", "prediction"])
+    tables = [
+        metrics.binary(stacked, by=["model"]).select("model", "areaUnderROC"),
+        metrics.multiclass(stacked, by=["model"]).select("model", "accuracy"),
+        metrics.regression(stacked, by=["model"]).select("model", "rmse"),
+    ]
+    rows = [runlog.metric_entries(t, "model", "rules", "test_") for t in tables]
     runlog.append(reduce(DataFrame.unionByName, rows), path)
     return runlog.read(spark, path)
 

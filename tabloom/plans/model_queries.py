@@ -11,11 +11,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tabloom.functions import vector_item
-from tabloom.operators import diagnostics
+from tabloom.operators import diagnostics, metrics
 from tabloom.operators.models import Trainer
 from tabloom.operators.preprocessing import PipelineBuilder, preprocessing_pipeline
 from tabloom.operators.scoring import score
 from tabloom.operators.split import hash_split
+from tabloom.plans.metric_queries import curve_sql
 from tabloom.plans.registry import query, table
 from tabloom.sources import runlog
 from tabloom.sources.persistence import load_model, save_model
@@ -154,14 +155,21 @@ def model_naive_bayes(spark, sf):
     )
 
 
-def _stump_sql(target, columns):
-    """The split of the quantity that leaves the least variance, and the two leaf means."""
+def _stump_sql(target, columns, pruned=False):
+    """The split of the quantity that leaves the least variance, and the two leaf means.
+
+    A pruned tree has no split where both leaves would vote for the same class.
+    """
+    left, right = "sl / nl", "(st - sl) / (nt - nl)"
+    if pruned:
+        same = f"({left} > 0.5) = ({right} > 0.5)"
+        left, right = (f"case when {same} then st / nt else {m} end" for m in (left, right))
     return f"""
 with {ITEMS},
 d as (select x, sum({target}) as s, count(*) as n from i group by x),
 c as (select x, n, sum(s) over (order by x) as sl, sum(n) over (order by x) as nl,
              sum(s) over () as st, sum(n) over () as nt from d),
-b as (select x as cut, sl / nl as ml, (st - sl) / (nt - nl) as mr from c where nl < nt
+b as (select x as cut, {left} as ml, {right} as mr from c where nl < nt
       order by sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) desc limit 1),
 m as (select x, n, case when x <= cut then ml else mr end as leaf from c, b)
 select x as l_quantity, n, {columns} from m
@@ -193,12 +201,12 @@ def _stump_values(spark, sf, model_type, **params):
     return _per_quantity(score(model, items, ["l_quantity"]), 2, "prediction")
 
 
-@query(_stump_sql("y", STUMP_CLASSES))
+@query(_stump_sql("y", STUMP_CLASSES, pruned=True))
 def model_decision_tree_classifier(spark, sf):
     return _stump_classes(spark, sf, "decision_tree")
 
 
-@query(_stump_sql("y", STUMP_CLASSES))
+@query(_stump_sql("y", STUMP_CLASSES, pruned=True))
 def model_random_forest_classifier(spark, sf):
     return _stump_classes(spark, sf, "random_forest", **ONE_TREE)
 
@@ -223,10 +231,19 @@ def model_gbt_regressor(spark, sf):
     return _stump_values(spark, sf, "gbt", maxIter=1)
 
 
-@query()
+# The score of a linear machine on one feature orders the rows as the feature does.
+@query(f"""
+with {ITEMS},
+{curve_sql("select y as label, x as score from i")}
+select round(roc.area, 6) as "areaUnderROC", round(pr.area, 6) as "areaUnderPR" from roc, pr
+""")
 def model_svm(spark, sf):
-    model, items = _fit(spark, sf, "classification", "svm", "label", maxIter=20)
-    return _per_quantity(score(model, items, ["l_quantity"]), 6, "prediction")
+    model, items = _fit(
+        spark, sf, "classification", "svm", "label", maxIter=10, regParam=0.1
+    )
+    scored = Trainer("classification").with_score(model.transform(items))
+    curves = metrics.binary(scored)
+    return curves.select(*[F.round(c, 6).alias(c) for c in curves.columns])
 
 
 @query(f"""

@@ -39,18 +39,19 @@ def entries(
 
 
 def metric_entries(
-    metrics: DataFrame, run_name: str, experiment: str | None = None, prefix: str = ""
+    metrics: DataFrame, run_column: str, experiment: str | None = None, prefix: str = ""
 ) -> DataFrame:
-    """A one-row table of metrics as log rows, without a detour over the driver."""
+    """A table of metrics, one row per run, as log rows, without a detour over the driver."""
     rows = F.array(
         *[
             F.struct(F.lit(prefix + c).alias("key"), F.col(c).cast("double").alias("value"))
             for c in metrics.columns
+            if c != run_column
         ]
     )
-    return metrics.select(F.inline(rows)).select(
-        F.lit(f"{experiment or ''}/{run_name}").alias("run_id"),
-        F.lit(run_name).alias("run_name"),
+    return metrics.select(F.col(run_column).alias("run_name"), F.inline(rows)).select(
+        F.concat_ws("/", F.lit(experiment), "run_name").alias("run_id"),
+        "run_name",
         F.lit(experiment).cast("string").alias("experiment"),
         F.lit("metric").alias("kind"),
         "key",
