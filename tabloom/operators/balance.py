@@ -62,7 +62,8 @@ def lowest_by_hash(df: DataFrame, rows: Column, total: int, n: int, key) -> Colu
     if ties[wanted - 1] == ties[wanted]:
         raise ValueError(f"rows with equal key {names}; give a key that tells rows apart")
     last = ties[wanted - 1]["tie"]
-    bound = F.struct(*[F.lit(v) for v in last])
+    types = df.select(tie.alias("tie")).schema["tie"].dataType.fields
+    bound = F.struct(*[F.lit(v).cast(t.dataType).alias(t.name) for v, t in zip(last, types)])
     return rows & ((order < F.lit(cut.value)) | ((order == F.lit(cut.value)) & (tie <= bound)))
 
 

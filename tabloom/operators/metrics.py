@@ -24,8 +24,8 @@ def _score_buckets(scored: DataFrame) -> DataFrame:
     spark = scored.sparkSession
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     error = max(1e-4, 1 / (4 * parts))
-    cuts = scored.approxQuantile("score", [i / parts for i in range(1, parts)], error)
-    inner = sorted(set(cuts))
+    places = [i / parts for i in range(1, parts)]
+    inner = sorted(set(scored.approxQuantile("score", places, error))) if places else []
     if not inner:
         return scored.withColumn("bucket", F.lit(0))
     bucketizer = Bucketizer(

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tabloom.functions import vector_item
 from tabloom.operators import diagnostics, metrics
 from tabloom.operators.models import Trainer
-from tabloom.operators.preprocessing import PipelineBuilder, preprocessing_pipeline
+from tabloom.operators.preprocessing import PipelineBuilder
 from tabloom.operators.scoring import score
 from tabloom.operators.split import hash_split
 from tabloom.plans.metric_queries import curve_sql
@@ -277,22 +277,27 @@ def _large_orders(spark, sf):
         (F.col("o_totalprice") > 250000).cast("double").alias("label"),
     )
     customers = table(spark, sf, "customer").select(
-        F.col("c_custkey").alias("o_custkey"), "c_acctbal", "c_mktsegment"
+        F.col("c_custkey").alias("o_custkey"),
+        F.greatest("c_acctbal", F.lit(0.0)).alias("balance"),
+        "c_mktsegment",
     )
     return orders.join(customers, "o_custkey")
 
 
-def _order_features(scaling):
-    return preprocessing_pipeline(
-        ["amount", "c_acctbal"], ["o_orderpriority", "c_mktsegment"], scaling=scaling
-    )
+def _order_features(with_mean=True):
+    """Centring makes features negative, which naive Bayes does not take."""
+    numbers, categories = ["amount", "balance"], ["o_orderpriority", "c_mktsegment"]
+    builder = PipelineBuilder().add_imputer(numbers)
+    builder.add_string_indexer(categories).add_one_hot_encoder(categories)
+    builder.add_vector_assembler([*numbers, *(f"{c}_encoded" for c in categories)])
+    return builder.add_standard_scaler(with_mean=with_mean).build()
 
 
-def _compare(spark, sf, task, label, model_types, configs, scaling):
+def _compare(spark, sf, task, label, model_types, configs, with_mean):
     path = new_path(spark, "run-log")
     train, test = hash_split(_large_orders(spark, sf), "o_orderkey", [0.8, 0.2])
     trainer = Trainer(task, features_col="scaled_features", label_col=label, run_log=path)
-    trainer.train_many(model_types, train, test, _order_features(scaling), configs, "orders")
+    trainer.train_many(model_types, train, test, _order_features(with_mean), configs, "orders")
     return (
         runlog.read(spark, path)
         .filter("kind = 'metric' and key != 'training_time_seconds'")
@@ -302,7 +307,6 @@ def _compare(spark, sf, task, label, model_types, configs, scaling):
 
 @query()
 def train_compare(spark, sf):
-    # Scaled to 0..1, since naive Bayes takes no negative features.
     configs = {
         "logistic": {"maxIter": 20, "regParam": 0.01},
         "random_forest": {"numTrees": 10, "maxDepth": 5, "seed": 42},
@@ -310,7 +314,7 @@ def train_compare(spark, sf):
         "svm": {"maxIter": 10},
     }
     types = ["logistic", "random_forest", "gbt", "decision_tree", "naive_bayes", "svm"]
-    return _compare(spark, sf, "classification", "label", types, configs, "minmax")
+    return _compare(spark, sf, "classification", "label", types, configs, False)
 
 
 @query()
@@ -321,7 +325,7 @@ def train_compare_regression(spark, sf):
         "gbt": {"maxIter": 5, "maxDepth": 3, "seed": 42},
     }
     types = ["linear", "random_forest", "gbt", "decision_tree"]
-    return _compare(spark, sf, "regression", "target", types, configs, "standard")
+    return _compare(spark, sf, "regression", "target", types, configs, True)
 
 
 @query()
@@ -329,7 +333,7 @@ def importance_topk(spark, sf):
     orders = _large_orders(spark, sf)
     trainer = Trainer("classification", features_col="scaled_features")
     forest = trainer.get_model("random_forest", numTrees=10, maxDepth=5, seed=42)
-    model, _ = trainer.train(forest, orders, _order_features("standard"))
+    model, _ = trainer.train(forest, orders, _order_features())
     return diagnostics.feature_importance(model, orders, top=10)
 
 
@@ -341,7 +345,7 @@ def score_batch_probability(spark, sf):
     orders = _large_orders(spark, sf)
     trainer = Trainer("classification", features_col="scaled_features")
     logistic = trainer.get_model("logistic", maxIter=20, regParam=0.01, elasticNetParam=0.8)
-    model, _ = trainer.train(logistic, orders, _order_features("standard"))
+    model, _ = trainer.train(logistic, orders, _order_features())
     scored = score(model, orders, ["o_orderkey"]).withColumn("p", vector_to_array("probability"))
     likely = F.array_position("p", F.array_max("p")) - 1
     return scored.agg(
