@@ -17,9 +17,11 @@ from pyspark.ml.evaluation import (
 )
 from pyspark.sql import DataFrame, SparkSession
 
+from tabloom.functions import vector_item
 from tabloom.operators import balance, features, metrics, outliers, profile, tuning
 from tabloom.operators.models import Trainer, best_result
 from tabloom.operators.preprocessing import PipelineBuilder, preprocessing_pipeline
+from tabloom.operators.scoring import score
 from tabloom.operators.split import cached
 from tabloom.sources import runlog
 
@@ -35,7 +37,11 @@ __all__ = [
     "OutlierHandler",
     "PipelineBuilder",
     "RegressionTrainer",
+    "batch_predict",
     "create_preprocessing_pipeline",
+    "display_model_metrics",
+    "train_classification_model",
+    "tune_model_with_cv",
 ]
 
 
@@ -365,3 +371,51 @@ class ModelComparer:
         results: Mapping[str, Mapping], metric: str = "areaUnderROC"
     ) -> tuple[str | None, float | None]:
         return best_result(results, metric)
+
+
+def train_classification_model(
+    model,
+    model_name: str,
+    train_data: DataFrame,
+    test_data: DataFrame,
+    preprocessing_pipeline: Pipeline,
+    run_log: str | None = None,
+) -> tuple[PipelineModel, DataFrame]:
+    """Fit and log one binary classifier that is already set up."""
+    trainer = ClassificationTrainer(run_log=run_log)
+    trainer.train_estimators({model_name: model}, train_data, test_data, preprocessing_pipeline)
+    fitted = trainer.models[model_name]
+    return fitted, fitted.transform(test_data)
+
+
+def tune_model_with_cv(
+    model,
+    param_grid: list[dict],
+    train_data: DataFrame,
+    preprocessing_pipeline: Pipeline,
+    run_log: str | None = None,
+):
+    """Three-fold search for the largest area under the ROC curve."""
+    return HyperparameterTuner(run_log).tune_with_cross_validation(
+        model,
+        param_grid,
+        train_data,
+        BinaryClassificationEvaluator(numBins=0),
+        preprocessing_pipeline=preprocessing_pipeline,
+    )
+
+
+def batch_predict(model: PipelineModel, data: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Features, prediction and, where the model has one, probability."""
+    return score(model, data, keep)
+
+
+def display_model_metrics(predictions: Mapping[str, DataFrame], label: str = "label") -> DataFrame:
+    """Print and return area under the ROC curve and accuracy of scored tables by model."""
+    scored = {
+        name: frame.withColumn("score", vector_item("rawPrediction", 1))
+        for name, frame in predictions.items()
+    }
+    board = metrics.dashboard(scored, label)
+    board.show(truncate=False)
+    return board

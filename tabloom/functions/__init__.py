@@ -1,4 +1,5 @@
 from tabloom.functions.columns import (
+    compact,
     hash_bucket,
     hash_order,
     is_missing,
@@ -11,6 +12,7 @@ from tabloom.functions.columns import (
 )
 
 __all__ = [
+    "compact",
     "hash_bucket",
     "hash_order",
     "is_missing",

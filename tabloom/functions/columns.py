@@ -43,6 +43,18 @@ def valid_number(column: Column) -> Column:
     return F.when(~F.isnan(number), number)
 
 
+def compact(df: DataFrame, name: str) -> Column:
+    """The column in a form that is cheap to shuffle and equal for equal values only.
+
+    Long texts become their SHA-256 and a byte that no text holds; everything else stays.
+    """
+    column = _quoted(name)
+    if df.schema[name].dataType != T.StringType():
+        return column
+    digest = F.concat(F.unhex(F.sha2(column, 256)), F.lit(bytearray(b"\xff")))
+    return F.when(F.octet_length(column) > 64, digest).otherwise(column.cast("binary"))
+
+
 def key_digest(key: str | Sequence[str]) -> Column:
     """md5 of a row key (one column or several). NULL keys hash like empty text."""
     names = [key] if isinstance(key, str) else list(key)

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -250,7 +250,31 @@ class Trainer:
         is_binary: bool = True,
         run_names: Mapping[str, str] | None = None,
     ) -> dict[str, dict]:
-        """Result records by model type.
+        """Result records by model type; see ``train_estimators``."""
+        configs = configs or {}
+        return self.train_estimators(
+            {n: self.get_model(n, **configs.get(n, {})) for n in model_types},
+            train,
+            test,
+            preprocessing,
+            experiment,
+            is_binary,
+            params=configs,
+            run_names=run_names,
+        )
+
+    def train_estimators(
+        self,
+        estimators: Mapping[str, Estimator],
+        train: DataFrame,
+        test: DataFrame,
+        preprocessing: Pipeline | None = None,
+        experiment: str | None = None,
+        is_binary: bool = True,
+        params: Mapping[str, Mapping[str, object]] | None = None,
+        run_names: Mapping[str, str] | None = None,
+    ) -> dict[str, dict]:
+        """Result records by name.
 
         All models share one fitted preprocessing, and one pass that scores and counts.
         """
@@ -261,10 +285,8 @@ class Trainer:
             spent = time.monotonic() - begin
             stages = prepared.stages
             train, test = prepared.transform(train), prepared.transform(test)
-        configs = configs or {}
         fitted: dict[str, PipelineModel] = {}
         seconds: dict[str, float] = {}
-        estimators = {n: self.get_model(n, **configs.get(n, {})) for n in model_types}
         needed = _columns_of(list(estimators.values()), train)
         with (
             training_rows(train.select(*needed)) as ready,
@@ -280,7 +302,7 @@ class Trainer:
                 outcome["training_time"] = spent + seconds[name]
                 self.models[name] = PipelineModel(stages=[*stages, *fitted[name].stages])
             names = {n: (run_names or {}).get(n, n) for n in outcomes}
-            self._record(outcomes, ready, held_out, configs, experiment, names)
+            self._record(outcomes, ready, held_out, params or {}, experiment, names)
         return outcomes
 
 

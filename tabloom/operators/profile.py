@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.functions import is_missing, numeric_columns, text_columns
+from tabloom.functions import compact, is_missing, numeric_columns, text_columns
 
 
 def missing(df: DataFrame, include_nan: bool = True) -> DataFrame:
@@ -103,17 +103,18 @@ def duplicates(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     """One row with the number of surplus rows, over all columns or over ``subset``.
 
     Rows are counted per distinct value before the shuffle, so many copies of one row
-    travel as a single counter.
+    travel as a single counter, and long texts as their digest.
     """
-    keys = list(subset or df.columns)
-    copies = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
+    names = list(subset or df.columns)
+    keys = df.select(*[compact(df, c).alias(f"k{i}") for i, c in enumerate(names)])
+    copies = keys.groupBy(*keys.columns).agg(F.count(F.lit(1)).alias("copies"))
     return copies.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicates"))
 
 
 def _distinct_values(df: DataFrame, name: str, approx: bool) -> Column:
     counter = F.approx_count_distinct if approx else F.count_distinct
     has_null = F.coalesce(F.max(F.col(name).isNull().cast("bigint")), F.lit(0))
-    return counter(F.col(name)) + has_null
+    return counter(compact(df, name)) + has_null
 
 
 def cardinality(df: DataFrame, columns: Sequence[str], approx: bool = False) -> DataFrame:

@@ -239,7 +239,7 @@ select round(roc.area, 6) as "areaUnderROC", round(pr.area, 6) as "areaUnderPR"
 """)
 def model_svm(spark, sf):
     model, items = _fit(
-        spark, sf, "classification", "svm", "label", maxIter=10, regParam=0.1
+        spark, sf, "classification", "svm", "label", maxIter=5, regParam=0.1
     )
     scored = Trainer("classification").with_score(model.transform(items))
     curves = metrics.binary(scored)
@@ -311,7 +311,7 @@ def train_compare(spark, sf):
         "logistic": {"maxIter": 20, "regParam": 0.01},
         "random_forest": {"numTrees": 10, "maxDepth": 5, "seed": 42},
         "gbt": {"maxIter": 5, "maxDepth": 3, "seed": 42},
-        "svm": {"maxIter": 10},
+        "svm": {"maxIter": 5},
     }
     types = ["logistic", "random_forest", "gbt", "decision_tree", "naive_bayes", "svm"]
     return _compare(spark, sf, "classification", "label", types, configs, False)

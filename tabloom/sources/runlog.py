@@ -62,7 +62,8 @@ def metric_entries(
 
 
 def append(rows: DataFrame, path: str) -> None:
-    rows.write.mode("append").parquet(path)
+    """Add entries to the log, as one small file."""
+    rows.repartition(1).write.mode("append").parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:

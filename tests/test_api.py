@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabloom import api, sources, workspace
+from tabloom.sources import runlog
 
 
 @pytest.fixture(scope="module")
@@ -107,3 +108,27 @@ def test_shared_folder_is_the_sessions(spark):
     staged = workspace.stage(spark.range(5), "numbers")
     assert staged.count() == 5
     assert all(f.removeprefix("file://").startswith(named) for f in staged.inputFiles())
+
+
+def test_notebook_functions(spark, demo, tmp_path):
+    log = str(tmp_path / "log")
+    prepare = api.DataPreprocessor(["category"], ["feature1", "feature2"]).build_pipeline()
+    train, test = demo.filter("id < 240"), demo.filter("id >= 240")
+    frames, models = {}, {}
+    for name in ("logistic", "decision_tree"):
+        estimator = api.ClassificationTrainer().get_model(name)
+        models[name], frames[name] = api.train_classification_model(
+            estimator, name, train, test, prepare, log
+        )
+    assert frames["logistic"].count() == 60
+    board = {r["model"]: r for r in api.display_model_metrics(frames).collect()}
+    assert board["logistic"]["areaUnderROC"] > 0.9
+    logged = runlog.compare(runlog.read(spark, log), ["test_areaUnderROC"]).collect()
+    found = {r["run_name"]: r["test_areaUnderROC"] for r in logged}
+    assert found["decision_tree"] == pytest.approx(board["decision_tree"]["areaUnderROC"])
+    assert api.batch_predict(models["logistic"], test).columns == [
+        "features", "prediction", "probability"
+    ]
+    tree = api.ClassificationTrainer().get_model("decision_tree")
+    grid = api.HyperparameterTuner().create_param_grid(tree, {"maxDepth": [1, 3]})
+    assert len(api.tune_model_with_cv(tree, grid, train, prepare).avgMetrics) == 2

@@ -50,6 +50,14 @@ def test_duplicates(spark):
     assert profile.duplicates(df.limit(0)).first()["duplicates"] == 0
 
 
+def test_duplicates_of_long_texts(spark):
+    long = "x" * 5000
+    rows = [(long,), (long,), (long + "y",), ("x" * 64,), ("x" * 65,), ("",), (None,), (None,)]
+    df = spark.createDataFrame(rows, "s string")
+    assert profile.duplicates(df).first()["duplicates"] == 2
+    assert profile.cardinality(df, ["s"]).first()["distinct_values"] == 6
+
+
 def test_duplicates_with_maps(spark):
     df = spark.createDataFrame([({"a": 1, "b": 2},), ({"b": 2, "a": 1},), ({},)], "m map<string,int>")
     assert profile.duplicates(df).first()["duplicates"] == 1
