@@ -183,6 +183,8 @@ class EqualWidthBins(_Bins):
         low, high = df.agg(F.min(number), F.max(number)).first()
         if low is None:
             raise ValueError(f"column {column} has no values")
+        if math.isinf(low) or math.isinf(high):
+            raise ValueError(f"column {column} has infinite values, so no bins of equal width")
         width = (high - low) / bins
         return sorted({low + i * width for i in range(1, bins)}) if width > 0 else []
 

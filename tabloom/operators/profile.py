@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -205,6 +206,8 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 50) -> DataFram
         low, high = ends[f"lo{i}"], ends[f"hi{i}"]
         if low is None:
             continue
+        if math.isinf(low) or math.isinf(high):
+            raise ValueError(f"column {name} has infinite values, so no bins of equal width")
         width = (high - low) / bins
         value = F.col(f"h{i}")
         if width > 0:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tabloom.operators import features as f
 from tabloom.operators import outliers as o
+from tabloom.operators import profile
 from tabloom.operators.preprocessing import (
     FillModel,
     MedianImputer,
@@ -117,6 +118,40 @@ def test_group_agg_without_broadcast_splits_hot_group(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_hot_group_is_split_at_run_time(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    df = spark.range(0, 60000, 1, 16).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("g"), F.col("id").alias("x")
+    )
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        found = f.group_agg(df, "g", "x", ["count"])
+        assert found.count() == 60000
+        rows = found.groupBy("g_x_count").count().collect()
+        assert {r["g_x_count"]: r["count"] for r in rows} == {20000: 20000, 1: 40000}
+        found.collect()
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_infinite_values_have_no_equal_width(spark):
+    df = spark.createDataFrame([(1.0,), (math.inf,)], "x double")
+    with pytest.raises(ValueError):
+        f.binned(df, "x", 5, "equal_width")
+    with pytest.raises(ValueError):
+        profile.histogram(df, ["x"])
+
+
 def test_outliers_with_fixed_bounds(spark):
     df = spark.createDataFrame([(float("nan"),), (None,), (1.0,)], "x double")
     bounds = {"inputCols": ["x"], "lower": [0.0], "upper": [3.0]}
