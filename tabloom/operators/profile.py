@@ -1,9 +1,10 @@
-"""Data-quality profiling. Each report is one pass over the data, duplicates are a second."""
+"""Data-quality profiling. Every report reads each column it needs once, for all its numbers."""
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,8 +42,7 @@ def describe(df: DataFrame) -> DataFrame:
     return df.describe()
 
 
-def _statistics_aggregates(df: DataFrame) -> tuple[list[Column], list[str], list[str]]:
-    numbers, texts = numeric_columns(df), text_columns(df)
+def _number_aggregates(numbers: Sequence[str]) -> list[Column]:
     aggregates = []
     for i, name in enumerate(numbers):
         value = F.col(name).cast("double")
@@ -53,26 +53,31 @@ def _statistics_aggregates(df: DataFrame) -> tuple[list[Column], list[str], list
             F.min(value).alias(f"n{i}_min"),
             F.max(value).alias(f"n{i}_max"),
         ]
+    return aggregates
+
+
+def _text_aggregates(texts: Sequence[str]) -> list[Column]:
+    aggregates = []
     for i, name in enumerate(texts):
         aggregates += [
             F.count(name).alias(f"t{i}_count"),
             F.min(name).alias(f"t{i}_min"),
             F.max(name).alias(f"t{i}_max"),
         ]
-    return aggregates, numbers, texts
+    return aggregates
 
 
 def statistics(df: DataFrame) -> DataFrame:
     """Typed summary, one row per numeric or string column.
 
     Numbers fill ``count, mean, stddev, min, max``; strings fill ``count, min_text,
-    max_text``. Columns of other types are left out.
+    max_text``. Columns of other types are left out. Numbers and strings are summed up apart:
+    each column is still read once, and the least and greatest strings, which Spark cannot
+    keep in a hash aggregate, do not slow down the numbers.
     """
-    aggregates, numbers, texts = _statistics_aggregates(df)
-    if not aggregates:
-        raise ValueError("no numeric or string column to summarise")
+    numbers, texts = numeric_columns(df), text_columns(df)
     no_number, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
-    rows = [
+    of_numbers = [
         F.struct(
             F.lit(name).alias("column"),
             F.col(f"n{i}_count").alias("count"),
@@ -84,7 +89,8 @@ def statistics(df: DataFrame) -> DataFrame:
             no_text.alias("max_text"),
         )
         for i, name in enumerate(numbers)
-    ] + [
+    ]
+    of_texts = [
         F.struct(
             F.lit(name).alias("column"),
             F.col(f"t{i}_count").alias("count"),
@@ -97,7 +103,17 @@ def statistics(df: DataFrame) -> DataFrame:
         )
         for i, name in enumerate(texts)
     ]
-    return df.agg(*aggregates).select(F.inline(F.array(*rows)))
+    frames = [
+        df.agg(*aggregates).select(F.inline(F.array(*rows)))
+        for aggregates, rows in (
+            (_number_aggregates(numbers), of_numbers),
+            (_text_aggregates(texts), of_texts),
+        )
+        if rows
+    ]
+    if not frames:
+        raise ValueError("no numeric or string column to summarise")
+    return reduce(DataFrame.unionByName, frames)
 
 
 def duplicates(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
@@ -133,16 +149,11 @@ def cardinality(df: DataFrame, columns: Sequence[str], approx: bool = False) ->
 def report(df: DataFrame, categorical: Sequence[str] = (), approx: bool = False) -> DataFrame:
     """The whole quality report as one long table: ``section, column, metric, value, text``.
 
-    Everything but the duplicates comes out of a single aggregation.
+    One aggregation each for the strings, for all other columns, and for the distinct values,
+    so that a column is read for what is asked of it; and one grouping for duplicates.
     """
-    aggregates, numbers, texts = _statistics_aggregates(df)
-    aggregates.append(F.count(F.lit(1)).alias("n"))
-    aggregates += [
-        F.count_if(is_missing(df, c)).alias(f"m{i}") for i, c in enumerate(df.columns)
-    ]
-    aggregates += [
-        _distinct_values(df, c, approx).alias(f"d{i}") for i, c in enumerate(categorical)
-    ]
+    numbers, texts = numeric_columns(df), text_columns(df)
+    others = [c for c in df.columns if c not in texts]
 
     def entry(section: str, column: str | None, metric: str, value: Column, text=None) -> Column:
         return F.struct(
@@ -153,30 +164,52 @@ def report(df: DataFrame, categorical: Sequence[str] = (), approx: bool = False)
             (F.lit(None) if text is None else text).cast("string").alias("text"),
         )
 
-    rows = [
+    def lines(aggregates: list[Column], rows: list[Column]) -> DataFrame:
+        return df.agg(*aggregates).select(F.inline(F.array(*rows)))
+
+    def gaps(names: list[str]) -> tuple[list[Column], list[Column]]:
+        counts = [F.count_if(is_missing(df, c)).alias(f"m{i}") for i, c in enumerate(names)]
+        rows = [entry("missing_values", c, "missing", F.col(f"m{i}")) for i, c in enumerate(names)]
+        return counts, rows
+
+    aggregates, rows = gaps(others)
+    aggregates += [F.count(F.lit(1)).alias("n"), *_number_aggregates(numbers)]
+    rows += [
         entry("table", None, "total_rows", F.col("n")),
         entry("table", None, "total_columns", F.lit(len(df.columns))),
     ]
-    rows += [entry("missing_values", c, "missing", F.col(f"m{i}")) for i, c in enumerate(df.columns)]
-    for i, name in enumerate(numbers):
-        rows += [
-            entry("statistics", name, metric, F.col(f"n{i}_{metric}"))
-            for metric in ("count", "mean", "stddev", "min", "max")
-        ]
-    for i, name in enumerate(texts):
-        rows.append(entry("statistics", name, "count", F.col(f"t{i}_count")))
-        rows += [
-            entry("statistics", name, metric, F.lit(None), F.col(f"t{i}_{metric}"))
-            for metric in ("min", "max")
-        ]
     rows += [
-        entry("cardinality", c, "distinct_values", F.col(f"d{i}"))
-        for i, c in enumerate(categorical)
+        entry("statistics", name, metric, F.col(f"n{i}_{metric}"))
+        for i, name in enumerate(numbers)
+        for metric in ("count", "mean", "stddev", "min", "max")
     ]
-    surplus = duplicates(df).select(
-        F.inline(F.array(entry("table", None, "duplicates", F.col("duplicates"))))
-    )
-    return df.agg(*aggregates).select(F.inline(F.array(*rows))).unionByName(surplus)
+    frames = [lines(aggregates, rows)]
+
+    if texts:
+        aggregates, rows = gaps(texts)
+        aggregates += _text_aggregates(texts)
+        for i, name in enumerate(texts):
+            rows.append(entry("statistics", name, "count", F.col(f"t{i}_count")))
+            rows += [
+                entry("statistics", name, metric, F.lit(None), F.col(f"t{i}_{metric}"))
+                for metric in ("min", "max")
+            ]
+        frames.append(lines(aggregates, rows))
+
+    if categorical:
+        frames.append(
+            lines(
+                [_distinct_values(df, c, approx).alias(f"d{i}") for i, c in enumerate(categorical)],
+                [
+                    entry("cardinality", c, "distinct_values", F.col(f"d{i}"))
+                    for i, c in enumerate(categorical)
+                ],
+            )
+        )
+
+    surplus = entry("table", None, "duplicates", F.col("duplicates"))
+    frames.append(duplicates(df).select(F.inline(F.array(surplus))))
+    return reduce(DataFrame.unionByName, frames)
 
 
 def class_distribution(df: DataFrame, label: str) -> DataFrame:
