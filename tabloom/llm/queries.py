@@ -3,11 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabloom.llm import mixing
+from tabloom.llm import mixing, substrings
 from tabloom.llm.registry import query, table
 
 
 @query()
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
+
+
+@query()
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.drop_repeats(table(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256")
+    )
