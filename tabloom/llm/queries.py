@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import mixing, substrings
+from tabloom.llm import jaccard, mixing, substrings
 from tabloom.llm.registry import query, table
 
 
@@ -20,3 +20,8 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select(
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256")
     )
+
+
+@query()
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_classes(table(spark, sf_dir, "documents"))
