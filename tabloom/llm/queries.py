@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import jaccard, mixing, substrings
+from tabloom.llm import jaccard, katz, mixing, substrings
 from tabloom.llm.registry import query, table
 
 
+def _remainder(divisor: int) -> Column:
+    """crc32 of the id as text, modulo ``divisor``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
 @query()
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
@@ -25,3 +30,18 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_classes(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op3_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = katz.fit(docs.filter(_remainder(10) != 0))
+    return katz.score(docs, model).select(
+        "doc_id",
+        (_remainder(10) == 0).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.n).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
