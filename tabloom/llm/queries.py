@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import jaccard, katz, mixing, substrings
+from tabloom.llm import jaccard, katz, mixing, neighbours, substrings
 from tabloom.llm.registry import query, table
 
 
@@ -45,3 +45,9 @@ def op3_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_score",
         "score",
     )
+
+
+@query()
+def op7_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.search(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
