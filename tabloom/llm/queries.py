@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import jaccard, katz, mixing, neighbours, substrings
+from tabloom.llm import jaccard, katz, mixing, neighbours, private_data, substrings
 from tabloom.llm.registry import query, table
 
 
@@ -51,3 +51,17 @@ def op3_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return neighbours.search(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
+
+
+@query()
+def op9_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = private_data.sanitise(table(spark, sf_dir, "documents"))
+    spans = F.col("spans")
+    return found.select(
+        "doc_id",
+        *private_data.counted(spans),
+        F.sha2(
+            private_data.described(F.filter(spans, lambda s: s["kind"] < 4)), 256
+        ).alias("base_sha256"),
+        private_data.described(spans).alias("spans"),
+    )
