@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import jaccard, katz, mixing, neighbours, private_data, substrings
+from tabloom.llm import decontaminate, jaccard, katz, mixing, neighbours, private_data, substrings, url_lists
 from tabloom.llm.registry import query, table
 
 
@@ -65,3 +65,108 @@ def op9_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("base_sha256"),
         private_data.described(spans).alias("spans"),
     )
+
+
+@query()
+def op4_benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_items(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+def _digest(value: Column, first: int) -> Column:
+    """Seven hex digits of the md5 as a number."""
+    return F.conv(F.substring(F.md5(value.cast("binary")), first, 7), 16, 10).cast("long")
+
+
+def _second(number: Column) -> Column:
+    return F.timestamp_seconds(F.lit(1704067200) + number).cast("timestamp_ntz")
+
+
+def captures_and_list(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Captures with fetch times in 2024, and a dated list of their hosts, domains and folders.
+
+    The tables hold no dates and no lists: both follow from digests of ids and names. A third of
+    hosts, a seventh of the folders and an eleventh of domains are listed, most are delisted
+    later, and some are listed again.
+    """
+    year = 366 * 86400
+    captures = pages.select(
+        "page_id",
+        "url",
+        _second(F.pmod(_digest(F.col("page_id").cast("string"), 1), F.lit(year))).alias("fetched"),
+    )
+    name, folder = url_lists.host(F.col("url")), F.regexp_extract("url", r"://[^/]*/([a-z]+)/", 1)
+    domain = F.regexp_extract(name, r"([^.]+\.[^.]+\.[^.]+)$", 1)
+    named = pages.select(
+        F.explode(
+            F.array(
+                F.struct(name.alias("pattern"), F.lit(3).alias("share")),
+                F.struct(domain.alias("pattern"), F.lit(11).alias("share")),
+                F.struct(
+                    F.when(folder != "", F.concat(name, F.lit("/"), folder)).alias("pattern"),
+                    F.lit(7).alias("share"),
+                ),
+            )
+        ).alias("e")
+    ).select("e.pattern", "e.share")
+    listed = named.filter("pattern != ''").distinct()
+    listed = listed.filter(_digest(F.col("pattern"), 1) % F.col("share") == 0)
+    days = [_digest(F.col("pattern"), at) % 180 for at in (8, 15, 22)]
+    steps = [("add", days[0]), ("remove", days[0] + days[1]), ("add", days[0] + days[1] + days[2])]
+    entries = listed.select(
+        "pattern",
+        F.explode(
+            F.array(
+                *[
+                    F.struct(F.lit(a).alias("action"), _second(d * 86400).alias("dated"))
+                    for a, d in steps
+                ]
+            )
+        ).alias("e"),
+    ).select("pattern", "e.action", "e.dated")
+    return captures, entries
+
+
+_HOST = "lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1))"
+
+
+@query(rf"""
+with page as (
+  select page_id, url, {_HOST} as host, regexp_extract(url, '://[^/]*/([a-z]+)/', 1) as folder,
+         timestamp '2024-01-01' + to_seconds(
+           ('0x' || substr(md5(page_id::varchar), 1, 7))::bigint % 31622400) as fetched
+  from pages),
+named as (
+  select host as pattern, 3 as share from page
+  union select regexp_extract(host, '([^.]+\.[^.]+\.[^.]+)$', 1), 11 from page
+  union select host || '/' || folder, 7 from page where folder != ''),
+listed as (
+  select pattern, timestamp '2024-01-01' as zero,
+         ('0x' || substr(md5(pattern), 8, 7))::bigint % 180 as d1,
+         ('0x' || substr(md5(pattern), 15, 7))::bigint % 180 as d2,
+         ('0x' || substr(md5(pattern), 22, 7))::bigint % 180 as d3
+  from named
+  where pattern != '' and ('0x' || substr(md5(pattern), 1, 7))::bigint % share = 0),
+entry as (
+  select pattern, true as is_add, zero + to_days(d1::int) as dated from listed
+  union all select pattern, false, zero + to_days((d1 + d2)::int) from listed
+  union all select pattern, true, zero + to_days((d1 + d2 + d3)::int) from listed),
+latest as (
+  select page_id, pattern, bool_and(is_add) as in_force
+  from (select p.page_id, e.pattern, e.is_add,
+               e.dated = max(e.dated) over (partition by p.page_id, e.pattern) as is_last
+        from page p join entry e on e.dated <= p.fetched
+         and (p.host = e.pattern or ends_with(p.host, '.' || e.pattern)
+              or starts_with(regexp_extract(p.url, '^[A-Za-z][A-Za-z0-9+.-]*://([^?#]*)', 1) || '/',
+                             e.pattern || '/') and contains(e.pattern, '/')))
+  where is_last group by page_id, pattern)
+select p.page_id, count(l.pattern) as n_entries,
+       (list(l.pattern order by -length(l.pattern), l.pattern)
+         filter (where l.pattern is not null))[1] as pattern
+from page p left join latest l on l.page_id = p.page_id and l.in_force
+group by p.page_id
+""")
+def op10_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures, entries = captures_and_list(table(spark, sf_dir, "pages"))
+    return url_lists.in_force(captures, entries)
