@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import decontaminate, jaccard, katz, mixing, neighbours, private_data, substrings, url_lists
+from tabloom.llm import decontaminate, jaccard, katz, mixing, neighbours, private_data, quality, substrings, url_lists
 from tabloom.llm.registry import query, table
 
 
@@ -170,3 +170,16 @@ group by p.page_id
 def op10_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     captures, entries = captures_and_list(table(spark, sf_dir, "pages"))
     return url_lists.in_force(captures, entries)
+
+
+@query()
+def op2_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    seen = labels.filter(_remainder(5) != 0).select("doc_id", F.col("quality").alias("good"))
+    model = quality.fit(docs, seen)
+    return quality.score(docs, model).select(
+        "doc_id",
+        (_remainder(5) == 0).alias("held_out"),
+        "score",
+        quality.accepted(F.col("score")).alias("predicted"),
+    )
