@@ -10,12 +10,13 @@ differ. The join goes down through three kinds of pivots:
    in a slice is the pivot of a region; the set goes to the regions of all its slices. Documents
    as pivots cannot cut here: unrelated texts stand at distance 1 from every pivot, so the
    window of any pivot would hold them all (measured in the README).
-3. Documents: in a region, the member with the least key is the pivot. Members within the
+3. Documents: in a region, the member that meets most others is the pivot. Members within the
    threshold of it are one class, whatever their number, and need not be compared with each
-   other. Regions that still hold more than one class are joined again: small ones pair by
-   pair, where the known distances to the pivot rule pairs out by the triangle inequality;
-   large ones by splitting once more on the shingles that are rare in the region, then pivot
-   by pivot.
+   other. Regions where many stay outside take another pivot.
+4. Shingles again, where regions still hold more than one class: their sets are joined by the
+   shingles that are rarest among them, and the place of the first common one bounds how far
+   apart the two are (the triangle inequality on the number of differing shingles). Edited
+   copies hold rare shingles of their own first, so they are told apart without comparing them.
 
 So copies, however many, cost one comparison each. Nothing is dropped: the classes are the
 connected components of all links.
@@ -114,7 +115,7 @@ def _linked(shared: Column, a: Column, b: Column, percent: int) -> Column:
 
 
 def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Exact comparison of distinct key pairs ``(a, b)``: adds ``gap`` (distance) and ``link``."""
+    """Exact comparison of distinct key pairs ``(a, b)``: adds ``link``."""
     left = sets.select(F.col("key").alias("a"), F.col("shingles").alias("_a"))
     right = sets.select(F.col("key").alias("b"), F.col("shingles").alias("_b"))
     shared = F.size(F.array_intersect("_a", "_b"))
@@ -125,29 +126,28 @@ def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .select(
             "a",
             "b",
-            (1 - F.col("_shared") / (F.col("_n") + F.col("_m") - F.col("_shared"))).alias("gap"),
             _linked(F.col("_shared"), F.col("_n"), F.col("_m"), percent).alias("link"),
         )
     )
 
 
-def _split(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Large regions split by shingles that are rare in them: ``(region, key)`` anew.
+def _rare(keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """First shingles of sets in order of rarity among ``keys(key, component)``.
 
-    Linked sets share one of their first |x| - ceil(t |x|) + 1 shingles in any common order;
-    rare ones come first, so what all members share does not bring them together again.
+    Of two linked sets the first common shingle stands among the first n - ceil(t n) + 1 of each.
+    Those that no other set of ``keys`` holds meet nothing.
     """
-    held = members.join(sets, "key").select(
-        "region", "key", F.size("shingles").alias("_n"), F.explode("shingles").alias("_shingle")
+    held = keys.join(sets, "key").select(
+        "key", "component", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle")
     )
-    counts = held.groupBy("region", "_shingle").agg(F.count(F.lit(1)).alias("_df"))
-    first = Window.partitionBy("region", "key").orderBy("_df", "_shingle")
-    prefix = F.col("_n") - F.ceil(F.col("_n") * percent / 100) + 1
+    counts = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("_df"))
+    order = Window.partitionBy("key").orderBy("_df", "shingle")
+    last = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     return (
-        held.join(counts, ["region", "_shingle"])
-        .withColumn("_rank", F.row_number().over(first))
-        .filter((F.col("_rank") <= prefix) & (F.col("_df") > 1))
-        .select(F.xxhash64("region", "_shingle").alias("region"), "key")
+        held.join(counts, "shingle")
+        .withColumn("place", F.row_number().over(order))
+        .filter((F.col("place") <= last) & (F.col("_df") > 1))
+        .select("key", "component", "n", "shingle", "place")
     )
 
 
@@ -155,13 +155,14 @@ def link_classes(
     docs: DataFrame,
     width: int = 3,
     percent: int = 90,
-    leaf: int = 64,
+    leaf: int = 32,
     longest: int = 1 << 40,
 ) -> DataFrame:
     """Per document ``doc_id, n_shingles, component_id``.
 
     ``component_id`` is the least id reachable by links of Jaccard similarity of at least
-    ``percent`` / 100. ``leaf``: members of a region that are joined pair by pair.
+    ``percent`` / 100. ``leaf``: members outside the class of a region's pivot for which another
+    pivot is tried, a few times, each time for four times as many.
     """
     cells = _cells(percent, longest)
     texts = docs.select("doc_id", "text")
@@ -215,9 +216,9 @@ def link_classes(
     placed = texts.mapInArrow(regions, "region long, key long")
     shared = (
         placed.groupBy("region")
-        .agg(F.min("key").alias("pivot"), F.max("key").alias("_last"))
-        .filter("pivot != _last")
-        .select("region", "pivot")
+        .agg(F.min("key").alias("_first"), F.max("key").alias("_last"))
+        .filter("_first != _last")
+        .select("region")
     )
     members = stage(placed.join(shared, "region").distinct(), "regions")
     wanted = members.select("key").distinct()
@@ -245,74 +246,76 @@ def link_classes(
     )
 
 
+def _central(members: DataFrame) -> DataFrame:
+    """``(region, key, pivot)``: the pivot is the member that meets most others anywhere.
+
+    In a family of edited copies that is the one with the fewest edits, so that most of the
+    others lie within the threshold of it.
+    """
+    sizes = members.groupBy("region").agg(F.count(F.lit(1)).alias("_size"))
+    weights = (
+        members.join(sizes.filter("_size > 1"), "region")
+        .groupBy("key")
+        .agg(F.sum("_size").alias("_weight"))
+    )
+    weighed = members.join(weights, "key")
+    pivots = weighed.groupBy("region").agg(F.max_by("key", F.struct("_weight", "key")).alias("pivot"))
+    return members.join(pivots, "region").select("region", "key", "pivot")
+
+
+def _open(placed: DataFrame, reached: DataFrame) -> DataFrame:
+    """``placed`` with components, where a region holds more than one besides its pivot's row."""
+    named = placed.join(
+        reached.withColumnRenamed("node", "key"), "key", "left"
+    ).withColumn("component", F.coalesce("component", "key"))
+    several = (
+        named.filter("key != pivot")
+        .groupBy("region")
+        .agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
+        .filter("_low != _high")
+        .select("region")
+    )
+    return named.join(several, "region")
+
+
 def _join(members: DataFrame, sets: DataFrame, percent: int, leaf: int) -> DataFrame:
     """Links ``(a, b)`` between keys whose components are those of all links."""
-    depth, links = 0, None
+    links = first = None
     while True:
-        pairs = members.filter("key != pivot").select(
+        placed = stage(_central(members), "pivots")
+        first = placed if first is None else first
+        pairs = placed.filter("key != pivot").select(
             F.col("key").alias("a"), F.col("pivot").alias("b")
         )
-        gaps = stage(_compare(pairs.distinct(), sets, percent), "gaps")
-        found = gaps.filter("link").select("a", "b")
+        found = _compare(pairs.distinct(), sets, percent).filter("link").select("a", "b")
         links = stage(found if links is None else links.union(found), "links")
-        reached = components(links)
-        left = (
-            members.filter("key != pivot")
-            .join(gaps.select(F.col("a").alias("key"), F.col("b").alias("pivot"), "gap"), ["key", "pivot"])
-            .join(reached.withColumnRenamed("node", "key"), "key", "left")
-            .withColumn("component", F.coalesce("component", "key"))
-        )
-        open_regions = (
-            left.groupBy("region")
-            .agg(
-                F.count(F.lit(1)).alias("_size"),
-                F.min("component").alias("_low"),
-                F.max("component").alias("_high"),
-            )
-            .filter("_low != _high")
-            .select("region", "_size")
+        reached = stage(components(links), "reached")
+        left = _open(placed, reached)
+        # Once more with new pivots where many classes could still be balls around a document.
+        own = left.filter("key = pivot").select("region", F.col("component").alias("_own"))
+        others = left.join(own, "region").filter("component != _own").select("region", "key")
+        many = others.groupBy("region").agg(F.count(F.lit(1)).alias("_n"))
+        members = stage(
+            others.join(many.filter(F.col("_n") > leaf).select("region"), "region"), "others"
         )
-        left = stage(left.join(open_regions, "region"), "open")
-        small = left.filter(F.col("_size") <= leaf)
-        found = _pairs(small, sets, percent)
-        links = stage(links.union(found), "links")
-        large = left.filter(F.col("_size") > leaf).select("region", "key", "pivot", "component")
-        if large.isEmpty():
-            return links
-        # Large regions: split by rare shingles once, then take pivot after pivot.
-        depth += 1
-        if depth == 1:
-            again = _split(large.select("region", "key"), sets, percent).distinct()
-            pivots = again.groupBy("region").agg(
-                F.min("key").alias("pivot"), F.max("key").alias("_last")
-            )
-            members = stage(
-                again.join(pivots.filter("pivot != _last").drop("_last"), "region"), "regions"
-            )
-        else:
-            own = reached.select(F.col("node").alias("pivot"), F.col("component").alias("_own"))
-            judged = large.drop("_size").join(own, "pivot", "left")
-            outside = F.min(
-                F.when(F.col("component") != F.coalesce("_own", "pivot"), F.col("key"))
-            )
-            pivots = judged.groupBy("region").agg(
-                F.coalesce(outside, F.min("key")).alias("pivot")
-            )
-            members = stage(
-                large.select("region", "key").join(pivots, "region"), "regions"
-            )
-
-
-def _pairs(small: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links inside small regions, where distances to the pivot do not rule a pair out."""
-    window = 1 - percent / 100 + 1e-9
-    a = small.select("region", F.col("key").alias("a"), F.col("gap").alias("_ga"), F.col("component").alias("_ca"))
-    b = small.select("region", F.col("key").alias("b"), F.col("gap").alias("_gb"), F.col("component").alias("_cb"))
-    pairs = (
-        a.join(b, "region")
-        .filter("a < b and _ca != _cb")
-        .filter(F.abs(F.col("_ga") - F.col("_gb")) <= window)
-        .select("a", "b")
-        .distinct()
+        if members.isEmpty():
+            break
+        leaf *= 4
+    keys = stage(_open(first, reached).select("key", "component").distinct(), "open")
+    rare = stage(_rare(keys, sets, percent), "rare")
+    a, b = (
+        rare.select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("key", "component", "n", "place")])
+        for x in "ab"
     )
-    return _compare(pairs, sets, percent).filter("link").select("a", "b")
+    # The rest after the first common shingle has to hold all that linked sets share.
+    most = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")) + 1
+    fits = most * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
+    pairs = a.join(
+        b,
+        (a["shingle"] == b["shingle"])
+        & (F.col("key_a") < F.col("key_b"))
+        & (F.col("component_a") != F.col("component_b"))
+        & fits,
+    ).select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
+    found = _compare(pairs.distinct(), sets, percent).filter("link").select("a", "b")
+    return links.union(found)
