@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import decontaminate, jaccard, katz, mixing, neighbours, private_data, quality, substrings, url_lists
+from tabloom.llm import decontaminate, jaccard, katz, mixing, neighbours, private_data, quality, substrings, toxicity, url_lists
 from tabloom.llm.registry import query, table
 
 
@@ -183,3 +183,16 @@ def op2_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         quality.accepted(F.col("score")).alias("predicted"),
     )
+
+
+@query()
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    seen = labels.filter(_remainder(3) != 1).select("doc_id", "toxic")
+    model = toxicity.fit(docs, seen)
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        (_remainder(3) == 1).alias("held_out"),
+        "score",
+        toxicity.toxic(F.col("score")).alias("predicted"),
+    )
