@@ -183,7 +183,11 @@ def find_items(
 
 
 def without_items(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The documents that hold no passage like an item, with all their columns."""
-    held = stage(find_items(docs, items, **options).select("doc_id").distinct(), "leaks")
-    held = held.withColumnRenamed("doc_id", "_held_id")
-    return docs.join(held, docs["doc_id"].eqNullSafe(held["_held_id"]), "left_anti")
+    """The rows of ``docs`` that hold no passage like an item, with all their columns.
+
+    Every row is judged by its own text, whatever other rows share its id.
+    """
+    row = F.xxhash64(docs["doc_id"], docs["text"])
+    keyed = docs.select(row.alias("doc_id"), docs["text"])
+    held = stage(find_items(keyed, items, **options).select("doc_id").distinct(), "leaks")
+    return docs.join(held.withColumnRenamed("doc_id", "_held_row"), row == F.col("_held_row"), "left_anti")
