@@ -6,7 +6,7 @@ differ. The join goes down through three kinds of pivots:
 1. The empty set: it orders documents by size. Sizes are cut into cells, and a set whose
    partners may lie in the cell below is copied there (the triangle inequality on sizes).
 2. Slices of the shingle universe: in a cell, linked sets differ in at most D shingles. Shingles
-   are dealt to D + 2 slices, and two linked sets agree in two slices at least. What a set has
+   are dealt to more than D slices, and two linked sets agree in all but D. What a set has
    in a slice is the pivot of a region; the set goes to the regions of all its slices. Documents
    as pivots cannot cut here: unrelated texts stand at distance 1 from every pivot, so the
    window of any pivot would hold them all (measured in the README).
@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from tabloom.llm import text as T
 from tabloom.llm.graph import components
+from tabloom.llm.storage import release
 from tabloom.workspace import stage
 
 _SEEDS = 8
@@ -70,6 +71,16 @@ def _differ(top: int, percent: int) -> int:
     return top * (100 - percent) // percent
 
 
+def _spare(low: int, differ: int) -> int:
+    """Slices beyond those that can differ: more than are empty in most sets of the cell."""
+    spare = 1
+    while 2 * (differ + 1 + spare) * np.exp(-low / (differ + 1 + spare)) > spare:
+        spare += 1
+        if spare > differ:
+            break
+    return spare
+
+
 def _keys(s: np.ndarray) -> tuple[int, int]:
     return int(T.mix(s).sum(dtype=np.uint64)), int(
         T.mix(s ^ np.uint64(0xD1B54A32D192ED03)).sum(dtype=np.uint64)
@@ -87,7 +98,8 @@ def _regions(s: np.ndarray, cells: np.ndarray, percent: int) -> np.ndarray:
         if cell < home and n * percent > top * 100:
             continue
         differ = _differ(top, percent)
-        slices = differ + 2 if differ else 1
+        spare = _spare(int(cells[cell]), differ) if differ else 0
+        slices = differ + 1 + spare
         for seed in range(_SEEDS):
             mixed = T.mix(s ^ np.uint64(0xA0761D6478BD642F * (seed + 1) % 2**64))
             which = (mixed >> np.uint64(33)) % np.uint64(slices)
@@ -102,8 +114,8 @@ def _regions(s: np.ndarray, cells: np.ndarray, percent: int) -> np.ndarray:
             regions = T.mix(sums + T.mix(tag + np.uint64(1)))
             empty = slices - int(held.sum())
             out.append(regions[held])
-            # Two agreeing slices are sure. If both may be empty ones, deal the shingles anew.
-            if empty < min(2, slices):
+            # More slices agree than there are spare ones. If all those may be empty, deal anew.
+            if empty <= spare:
                 break
         else:
             out.append(regions[~held])
@@ -214,13 +226,16 @@ def link_classes(
         .agg(F.min("doc_id").alias("first"))
     )
     placed = texts.mapInArrow(regions, "region long, key long")
-    shared = (
+    shared = stage(
         placed.groupBy("region")
         .agg(F.min("key").alias("_first"), F.max("key").alias("_last"))
         .filter("_first != _last")
-        .select("region")
+        .select("region"),
+        "shared",
     )
+    release(docs.sparkSession)
     members = stage(placed.join(shared, "region").distinct(), "regions")
+    release(docs.sparkSession)
     wanted = members.select("key").distinct()
     firsts = classes.join(wanted, "key").groupBy("key").agg(F.min("first").alias("doc_id"))
     sets = stage(

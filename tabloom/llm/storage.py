@@ -1,0 +1,17 @@
+"""Disk of finished steps."""
+
+from __future__ import annotations
+
+import gc
+
+from pyspark.sql import SparkSession
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished steps.
+
+    Spark removes them once the driver's garbage collector has found their plans unused, which
+    in a driver with memory to spare can be long after.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
