@@ -156,25 +156,26 @@ def find_items(
         F.sequence(F.lit(0).cast("long"), F.lit((1 << BLOCK_BITS) - 1).cast("long")),
         lambda m: F.bit_count(m) <= radius // BLOCKS,
     )
-    index = known.select(
-        "item_id",
-        F.col("length"),
-        F.col("_item"),
-        F.col("_print").alias("_of_item"),
-        F.explode(_blocks(F.col("_print"), masks)).alias("_b"),
-    ).select(
-        "item_id", "length", "_item", "_of_item", F.col("_b.block").alias("block"), F.col("_b.value").alias("value")
+    # Written, so that its size is known where it is joined.
+    index = stage(
+        known.select(
+            "item_id", "length", F.explode(_blocks(F.col("_print"), masks)).alias("_b")
+        ).select("item_id", "length", "_b.block", "_b.value"),
+        "index",
     )
-    asked = windows.select(
-        "doc_id", "length", "_held", "_print", F.explode(_blocks(F.col("_print"), F.array(F.lit(0).cast("long")))).alias("_b")
-    ).select(
-        "doc_id", "length", "_held", "_print", F.col("_b.block").alias("block"), F.col("_b.value").alias("value")
+    exact = F.array(F.lit(0).cast("long"))
+    candidates = (
+        windows.select(
+            "doc_id", "length", "_held", "_print", F.explode(_blocks(F.col("_print"), exact)).alias("_b")
+        )
+        .select("doc_id", "length", "_held", "_print", "_b.block", "_b.value")
+        .join(index, ["length", "block", "value"])
+        .select("doc_id", "item_id", "length", "_held", "_print")
+        .distinct()
     )
     return (
-        asked.join(index, ["length", "block", "value"])
+        candidates.join(known.select("item_id", "length", "_item", F.col("_print").alias("_of_item")), ["item_id", "length"])
         .filter(F.bit_count(F.col("_print").bitwiseXOR(F.col("_of_item"))) <= radius)
-        .select("doc_id", "item_id", "length", "_held", "_item")
-        .distinct()
         .withColumn("similarity", similarity(F.col("_held"), F.col("_item")))
         .filter(F.col("similarity") >= threshold)
         .groupBy("doc_id", "item_id")
@@ -182,6 +183,7 @@ def find_items(
     )
 
 
+
 def without_items(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that hold no passage like an item, with all their columns.
 
