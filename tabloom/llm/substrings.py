@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.llm import text as T
+from tabloom.llm.storage import release
+from tabloom.workspace import stage
 
 CODE_BYTES = 6
 _PLACE = np.dtype([("doc", "<i8"), ("at", "<i4")])
@@ -231,9 +233,10 @@ def drop_repeats(docs: DataFrame, width: int = 13, minimiser: int = 3) -> DataFr
     Every word covered by a window that also starts in a document of a smaller id goes. Windows
     are judged on the input. ``kept`` is the remaining words joined by one space.
     """
+    repeated = stage(repeated_windows(docs, width, minimiser), "repeats")
+    release(docs.sparkSession)
     runs = (
-        repeated_windows(docs, width, minimiser)
-        .groupBy("doc")
+        repeated.groupBy("doc")
         .agg(F.collect_list(F.struct("at", "n")).alias("runs"))
     )
     texts = docs.select("doc_id", "text")
