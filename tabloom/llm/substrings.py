@@ -30,7 +30,7 @@ from tabloom.llm.storage import release
 from tabloom.workspace import stage
 
 CODE_BYTES = 6
-_PLACE = np.dtype([("doc", "<i8"), ("at", "<i4")])
+_PLACE = np.dtype([("doc", "<i8"), ("row", "<i4"), ("at", "<i4")])
 _LAST = np.iinfo(np.int64).max
 
 
@@ -73,12 +73,13 @@ def _super_kmers(batch: pa.RecordBatch, width: int, minimiser: int) -> pa.Record
     # Equal strings of this piece become one row with all their places.
     turn = np.arange(len(at)) - np.repeat(begins, lengths)
     mixed = T.mix(codes + turn.astype(np.uint64))
-    sums = np.add.reduceat(mixed, begins) ^ T.mix(least[begins])
+    sums = np.add.reduceat(mixed, begins) ^ T.mix(~least[begins])
     order = np.lexsort((ids[row_at[begins]], sums))
     first = np.ones(len(order), bool)
     first[1:] = sums[order][1:] != sums[order][:-1]
     places = np.empty(len(order), _PLACE)
     places["doc"] = ids[row_at[begins]][order]
+    places["row"] = batch.column(2).to_numpy()[row_at[begins]][order]
     places["at"] = (at - offsets[row_at])[begins][order]
     chosen = order[first]
     size = lengths[chosen]
@@ -101,23 +102,21 @@ class _Marks:
     """Collects marked runs of windows and gives them out in batches."""
 
     def __init__(self):
-        self.docs, self.at, self.n = [], [], []
+        self.places, self.n = [], []
 
-    def add(self, doc, at, n):
-        self.docs.append(doc)
-        self.at.append(at)
+    def add(self, places, n):
+        self.places.append(places)
         self.n.append(n)
 
     def size(self):
-        return sum(map(len, self.docs))
+        return sum(map(len, self.n))
 
     def batch(self):
-        columns = [
-            np.concatenate([np.zeros(0, kind), *parts]).astype(kind)
-            for parts, kind in ((self.docs, np.int64), (self.at, np.int32), (self.n, np.int32))
-        ]
+        places = np.concatenate([np.zeros(0, _PLACE), *self.places])
+        n = np.concatenate([np.zeros(0, np.int32), *self.n]).astype(np.int32)
         self.__init__()
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc", "at", "n"])
+        columns = [pa.array(places[c].copy()) for c in ("doc", "row", "at")]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(n)], ["doc", "row", "at", "n"])
 
 
 def _bucket_runs(
@@ -134,7 +133,7 @@ def _bucket_runs(
     def mark_later():
         members = np.frombuffer(b"".join(later), _PLACE)
         counts = np.array([len(x) for x in later], np.int64) // _PLACE.itemsize
-        marks.add(members["doc"], members["at"], np.repeat(np.array(size, np.int32), counts))
+        marks.add(members, np.repeat(np.array(size, np.int32), counts))
         later.clear()
         size.clear()
 
@@ -163,7 +162,7 @@ def _bucket_runs(
 
 
 def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of windows whose words also start in an earlier document: doc, at, n."""
+    """Runs of windows whose words also start in an earlier document: doc, row, at, n."""
     marks = _Marks()
     for group in _bucket_runs(batches, marks):
         if marks.size() > 100_000:
@@ -179,7 +178,7 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = np.array([len(s) for s in strings]) // CODE_BYTES
         # Later documents of a string repeat it whole.
         later = members["doc"] > first[owner]
-        marks.add(members["doc"][later], members["at"][later], size[owner][later])
+        marks.add(members[later], size[owner][later])
         # For the first document of a string, compare its windows with those of other strings.
         codes = np.zeros((size.sum(), 8), np.uint8)
         codes[:, :CODE_BYTES] = np.frombuffer(b"".join(strings), np.uint8).reshape(-1, CODE_BYTES)
@@ -203,27 +202,30 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     repeated[lo : lo + size[i]]
                 ]
                 own = slice(starts[i], starts[i] + counts[i])
-                at = members["at"][own][mine[own]]
-                docs = np.full(len(at) * len(hits), first[i])
-                marks.add(docs, (at[:, None] + hits).ravel(), np.ones(len(docs), np.int32))
+                found = np.repeat(members[own][mine[own]], len(hits))
+                found["at"] += np.tile(hits, len(found) // len(hits)).astype(np.int32)
+                marks.add(found, np.ones(len(found), np.int32))
     yield marks.batch()
 
 
 def repeated_windows(docs: DataFrame, width: int = 13, minimiser: int = 3) -> DataFrame:
-    """Runs of repeated windows: ``doc``, ``at`` (first word) and ``n`` (windows in the run)."""
+    """Runs of repeated windows: ``doc``, ``row``, ``at`` (first word) and ``n`` (windows in it).
+
+    ``row`` is a hash of the text, which tells rows of one id apart.
+    """
 
     def pack(batches):
         for piece in T.pieces(batches):
             if (found := _super_kmers(piece, width, minimiser)) is not None:
                 yield found
 
-    packed = docs.select("doc_id", "text").mapInArrow(
+    packed = docs.select("doc_id", "text", F.hash("text").alias("row")).mapInArrow(
         pack, "bucket int, packed binary, first_doc long, places binary"
     )
     return (
         packed.repartition("bucket")
         .sortWithinPartitions("bucket", "packed", "first_doc")
-        .mapInArrow(_repeats, "doc long, at int, n int")
+        .mapInArrow(_repeats, "doc long, row int, at int, n int")
     )
 
 
@@ -236,13 +238,12 @@ def drop_repeats(docs: DataFrame, width: int = 13, minimiser: int = 3) -> DataFr
     repeated = stage(repeated_windows(docs, width, minimiser), "repeats")
     release(docs.sparkSession)
     runs = (
-        repeated.groupBy("doc")
+        repeated.groupBy("doc", F.col("row").alias("_row"))
         .agg(F.collect_list(F.struct("at", "n")).alias("runs"))
     )
     texts = docs.select("doc_id", "text")
-    joined = texts.join(
-        runs, F.coalesce(texts["doc_id"], F.lit(_LAST)) == runs["doc"], "left"
-    ).select("doc_id", "text", F.col("runs.at").alias("at"), F.col("runs.n").alias("n"))
+    same = (F.coalesce("doc_id", F.lit(_LAST)) == F.col("doc")) & (F.hash("text") == F.col("_row"))
+    joined = texts.join(runs, same, "left").select("doc_id", "text", F.col("runs.at").alias("at"), F.col("runs.n").alias("n"))
 
     def cut(batches):
         for batch in T.pieces(batches):
