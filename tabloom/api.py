@@ -17,9 +17,8 @@ from pyspark.ml.evaluation import (
 )
 from pyspark.sql import DataFrame, SparkSession
 
-from tabloom.functions import vector_item
 from tabloom.operators import balance, features, metrics, outliers, profile, tuning
-from tabloom.operators.models import Trainer, best_result
+from tabloom.operators.models import Trainer, best_result, positive_score
 from tabloom.operators.preprocessing import PipelineBuilder, preprocessing_pipeline
 from tabloom.operators.scoring import score
 from tabloom.operators.split import cached
@@ -293,7 +292,14 @@ class RegressionTrainer(ModelTrainer):
 class HyperparameterTuner:
     """Searches that are logged to the run table when ``run_log`` names one."""
 
-    def __init__(self, run_log: str | None = None) -> None:
+    def __init__(
+        self,
+        features_col: str = "features",
+        label_col: str = "label",
+        *,
+        run_log: str | None = None,
+    ) -> None:
+        self.features_col, self.label_col = features_col, label_col
         self.run_log = run_log
 
     def create_param_grid(self, model, param_configs: Mapping[str, Sequence]) -> list[dict]:
@@ -396,7 +402,7 @@ def tune_model_with_cv(
     run_log: str | None = None,
 ):
     """Three-fold search for the largest area under the ROC curve."""
-    return HyperparameterTuner(run_log).tune_with_cross_validation(
+    return HyperparameterTuner(run_log=run_log).tune_with_cross_validation(
         model,
         param_grid,
         train_data,
@@ -413,7 +419,7 @@ def batch_predict(model: PipelineModel, data: DataFrame, keep: Sequence[str] = (
 def display_model_metrics(predictions: Mapping[str, DataFrame], label: str = "label") -> DataFrame:
     """Print and return area under the ROC curve and accuracy of scored tables by model."""
     scored = {
-        name: frame.withColumn("score", vector_item("rawPrediction", 1))
+        name: frame.withColumn("score", positive_score(frame.columns))
         for name, frame in predictions.items()
     }
     board = metrics.dashboard(scored, label)

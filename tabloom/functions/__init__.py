@@ -6,6 +6,7 @@ from tabloom.functions.columns import (
     is_nan,
     key_digest,
     numeric_columns,
+    quoted,
     text_columns,
     valid_number,
     vector_item,
@@ -19,6 +20,7 @@ __all__ = [
     "is_nan",
     "key_digest",
     "numeric_columns",
+    "quoted",
     "text_columns",
     "valid_number",
     "vector_item",

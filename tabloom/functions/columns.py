@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _quoted(name: str) -> Column:
+def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
@@ -25,15 +25,15 @@ def text_columns(df: DataFrame) -> list[str]:
 def is_nan(df: DataFrame, name: str) -> Column:
     """NaN test that is constant false for types that cannot hold NaN."""
     if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
-        return F.isnan(_quoted(name))
+        return F.isnan(quoted(name))
     return F.lit(False)
 
 
 def is_missing(df: DataFrame, name: str, include_nan: bool = True) -> Column:
     """NULL for every type; NaN counts too for float and double."""
-    null = _quoted(name).isNull()
+    null = quoted(name).isNull()
     if include_nan and isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
-        return null | F.isnan(_quoted(name))
+        return null | F.isnan(quoted(name))
     return null
 
 
@@ -48,7 +48,7 @@ def compact(df: DataFrame, name: str) -> Column:
 
     Long texts become their SHA-256 and a byte that no text holds; everything else stays.
     """
-    column = _quoted(name)
+    column = quoted(name)
     if df.schema[name].dataType != T.StringType():
         return column
     digest = F.concat(F.unhex(F.sha2(column, 256)), F.lit(bytearray(b"\xff")))
@@ -58,7 +58,7 @@ def compact(df: DataFrame, name: str) -> Column:
 def key_digest(key: str | Sequence[str]) -> Column:
     """md5 of a row key (one column or several). NULL keys hash like empty text."""
     names = [key] if isinstance(key, str) else list(key)
-    return F.md5(F.concat_ws("\u0001", *[_quoted(n).cast("string") for n in names]))
+    return F.md5(F.concat_ws("\u0001", *[quoted(n).cast("string") for n in names]))
 
 
 def hash_bucket(key: str | Sequence[str], buckets: int) -> Column:
@@ -66,11 +66,11 @@ def hash_bucket(key: str | Sequence[str], buckets: int) -> Column:
     return F.conv(F.substring(key_digest(key), 1, 8), 16, 10).cast("bigint") % buckets
 
 
-def hash_order(key: str | Sequence[str]) -> Column:
-    """First 52 bits of the digest: an exact double that sorts as the digest does."""
-    return F.conv(F.substring(key_digest(key), 1, 13), 16, 10).cast("bigint").cast("double")
+def hash_order(key: str | Sequence[str], start: int = 1) -> Column:
+    """52 bits of the digest from hex digit ``start``: an exact double that sorts as they do."""
+    return F.conv(F.substring(key_digest(key), start, 13), 16, 10).cast("bigint").cast("double")
 
 
 def vector_item(column: str, index: int) -> Column:
     """One slot of an ML vector column as double."""
-    return vector_to_array(_quoted(column))[index]
+    return vector_to_array(quoted(column))[index]

@@ -13,8 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.functions import hash_order, key_digest
-from tabloom.operators.quantiles import LISTED_VALUES, order_statistics
+from tabloom.functions import hash_order
+from tabloom.operators.quantiles import order_statistics
 
 # Copies of a row that one task makes, and parts a row is cut into when there are more.
 _COPIES_PER_TASK = 16
@@ -47,24 +47,16 @@ def lowest_by_hash(df: DataFrame, rows: Column, total: int, n: int, key) -> Colu
     wanted = n - cut.below
     if wanted == cut.equal:
         return rows & (order <= F.lit(cut.value))
-    if cut.equal > LISTED_VALUES:
-        raise ValueError(f"{cut.equal} rows share one key hash; give a key that tells rows apart")
-    # Rows that agree in the hash prefix: order them by whole digest, then by key.
-    names = [key] if isinstance(key, str) else list(key)
-    tie = F.struct(key_digest(key).alias("digest"), *[F.col(k) for k in names])
-    ties = (
-        df.filter(rows & (order == F.lit(cut.value)))
-        .select(tie.alias("tie"))
-        .orderBy("tie")
-        .limit(wanted + 1)
-        .collect()
+    # Rows that agree in the first bits of the digest are told apart by the next ones.
+    tied, rest = rows & (order == F.lit(cut.value)), hash_order(key, 14)
+    next_cut = order_statistics(
+        df, [F.when(tied, rest)], lambda i, count: [wanted], [wanted / cut.equal]
+    )[0][0]
+    if wanted - next_cut.below != next_cut.equal:
+        raise ValueError(f"rows with equal key {key}; give a key that tells rows apart")
+    return rows & (
+        (order < F.lit(cut.value)) | ((order == F.lit(cut.value)) & (rest <= F.lit(next_cut.value)))
     )
-    if ties[wanted - 1] == ties[wanted]:
-        raise ValueError(f"rows with equal key {names}; give a key that tells rows apart")
-    last = ties[wanted - 1]["tie"]
-    types = df.select(tie.alias("tie")).schema["tie"].dataType.fields
-    bound = F.struct(*[F.lit(v).cast(t.dataType).alias(t.name) for v, t in zip(last, types)])
-    return rows & ((order < F.lit(cut.value)) | ((order == F.lit(cut.value)) & (tie <= bound)))
 
 
 def _check(mode: str, key) -> None:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tabloom.functions import valid_number
 from tabloom.operators.quantiles import exact_quantiles
 from tabloom.operators.stages import Saved, column_param
-from tabloom.workspace import stage
+from tabloom.workspace import stage_path
 
 
 def _divide(a: Column, b: Column) -> Column:
@@ -232,7 +232,7 @@ class GroupAggFeatures(_GroupParams, Saved, Estimator):
             functions=self.getOrDefault("functions"),
             nullSafe=self.getOrDefault("nullSafe"),
         )
-        model.table = stage(table, "group-agg")
+        model.path = stage_path(table, "group-agg")
         return model
 
 
@@ -243,7 +243,12 @@ class GroupAggFeaturesModel(_GroupParams, Saved, Model):
     a large one is joined by a shuffle in which AQE splits groups that hold too many rows.
     """
 
-    table: DataFrame
+    path: str
+
+    @property
+    def table(self) -> DataFrame:
+        """The stored table, listed anew: its files change when a model is saved over it."""
+        return SparkSession.active().read.parquet(self.path)
 
     def _transform(self, df: DataFrame) -> DataFrame:
         group = self.getOrDefault("groupCol")
@@ -279,5 +284,5 @@ class _GroupTableReader(MLReader):
         model = GroupAggFeaturesModel()
         model._resetUid(metadata["uid"])
         DefaultParamsReader.getAndSetParams(model, metadata)
-        model.table = spark.read.parquet(f"{path}/table")
+        model.path = f"{path}/table"
         return model

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -13,6 +14,8 @@ MULTICLASS_METRICS = ("accuracy", "f1", "weightedPrecision", "weightedRecall")
 BINARY_METRICS = ("areaUnderROC", "areaUnderPR")
 REGRESSION_METRICS = ("rmse", "mse", "mae", "r2")
 SMALLER_IS_BETTER = ("rmse", "mse", "mae")
+# Rows with scores in one range, which one task sorts.
+ROWS_PER_RANGE = 100_000
 
 
 def larger_is_better(metric: str) -> bool:
@@ -21,13 +24,11 @@ def larger_is_better(metric: str) -> bool:
 
 def _score_buckets(scored: DataFrame) -> DataFrame:
     """Add ``bucket``: ranges of the score that hold similar numbers of rows."""
-    spark = scored.sparkSession
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    error = max(1e-4, 1 / (4 * parts))
+    # As many ranges as the rows fill, so that the window of a range stays as long as it is.
+    parts = max(2, -(-scored.count() // ROWS_PER_RANGE))
     places = [i / parts for i in range(1, parts)]
-    inner = sorted(set(scored.approxQuantile("score", places, error))) if places else []
-    if not inner:
-        return scored.withColumn("bucket", F.lit(0))
+    cuts = scored.approxQuantile("score", places, 1 / (4 * parts))
+    inner = sorted({c for c in cuts if math.isfinite(c)}) or [0.0]
     bucketizer = Bucketizer(
         splits=[-float("inf"), *inner, float("inf")],
         inputCol="score",
@@ -55,16 +56,18 @@ def binary(
         F.col(label).isNotNull().alias("labelled"),
     ).filter(F.col("labelled") & F.col("score").isNotNull())
     place = [*by, "bucket"]
+    bucketed = _score_buckets(scored)
     per_score = (
-        _score_buckets(scored)
-        .groupBy(*place, "score")
+        bucketed.groupBy(*place, "score")
         .agg(
             F.sum("positive").alias("pos"),
             (F.count(F.lit(1)) - F.sum("positive")).alias("neg"),
         )
     )
-    # At most one row per score range, and group.
-    ranges = per_score.groupBy(*place).agg(F.sum("pos").alias("rp"), F.sum("neg").alias("rn"))
+    # At most one row per score range, and group; summed before the shuffle.
+    ranges = bucketed.groupBy(*place).agg(
+        F.sum("positive").alias("rp"), (F.count(F.lit(1)) - F.sum("positive")).alias("rn")
+    )
     group = Window.partitionBy(*by)
     above = group.orderBy(F.col("bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
     starts = ranges.select(
@@ -115,9 +118,27 @@ def confusion(
 
 
 def confusion_matrix(
-    df: DataFrame, classes: list, label: str = "label", prediction: str = "prediction"
+    df: DataFrame,
+    classes: list | None = None,
+    label: str = "label",
+    prediction: str = "prediction",
 ) -> DataFrame:
-    """One row per true class, one column ``predicted_{class}`` per class."""
+    """One row per class, one column ``predicted_{class}`` per class.
+
+    Without ``classes``, they are all that occur as label or prediction, and every one has a row
+    and a column. With ``classes``, the columns are these, and the rows the classes that are true.
+    """
+    if classes is None:
+        cells = confusion(df, label, prediction)
+        named = cells.select(F.col("label").alias("class")).union(cells.select("prediction"))
+        found = named.filter("class is not null").distinct()
+        classes = sorted(r["class"] for r in found.collect())
+        table = confusion_matrix(df, classes, label, prediction)
+        counts = [
+            F.coalesce(F.col(f"`predicted_{c}`"), F.lit(0)).alias(f"predicted_{c}") for c in classes
+        ]
+        named = found.withColumnRenamed("class", "label")
+        return named.join(table, "label", "left").select("label", *counts)
     counts = [
         F.sum(F.when(F.col("prediction") == F.lit(c), F.col("count")).otherwise(0)).alias(
             f"predicted_{c}"
@@ -253,10 +274,12 @@ def regression(
 
     One row, or one per combination of the ``by`` columns.
     """
+    # All of them over the same rows: those with both values.
+    whole = df.filter(F.col(label).isNotNull() & F.col(prediction).isNotNull())
     actual = F.col(label).cast("double")
     error = actual - F.col(prediction)
     mse = F.avg(error * error)
-    return df.groupBy(*by).agg(
+    return whole.groupBy(*by).agg(
         F.sqrt(mse).alias("rmse"),
         mse.alias("mse"),
         F.avg(F.abs(error)).alias("mae"),

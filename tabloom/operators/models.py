@@ -22,11 +22,12 @@ from pyspark.ml.regression import (
     LinearRegression,
     RandomForestRegressor,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.functions import vector_item
 from tabloom.operators import metrics
+from tabloom.operators.scoring import keep_all_rows
 from tabloom.operators.split import cached, training_rows
 from tabloom.sources import runlog
 from tabloom.sources.persistence import save_model
@@ -49,6 +50,15 @@ ESTIMATORS = {
 }
 
 
+def positive_score(columns: Sequence[str]) -> Column:
+    """What ranks rows by the positive class: its probability, or the raw score without one.
+
+    Raw values of trees are counts of their leaf, and those of naive Bayes are not normalised, so
+    they do not compare between rows.
+    """
+    return vector_item("probability" if "probability" in columns else "rawPrediction", 1)
+
+
 def _columns_of(estimators: list, data: DataFrame) -> list[str]:
     """The columns of ``data`` that the estimators name in their parameters."""
     named = {
@@ -133,11 +143,11 @@ class Trainer:
         return curves.withColumn("rest", packed).select(*curves.columns, "rest.*")
 
     def with_score(self, predictions: DataFrame) -> DataFrame:
-        """Label, prediction and the raw score of the positive class."""
+        """Label, prediction and the score of the positive class."""
         return predictions.select(
             self.label_col,
             self.prediction_col,
-            vector_item("rawPrediction", 1).alias("score"),
+            positive_score(predictions.columns).alias("score"),
         )
 
     def metrics_of(self, predictions: DataFrame, is_binary: bool = True) -> dict[str, float]:
@@ -157,9 +167,10 @@ class Trainer:
         results: list[str] = []
         for i, model in enumerate(models.values()):
             parts = [F.col(self.prediction_col)]
+            scored = model.transform(data)
             if has_score:
-                parts.append(vector_item("rawPrediction", 1).alias("score"))
-            data = model.transform(data).select(
+                parts.append(positive_score(scored.columns).alias("score"))
+            data = scored.select(
                 *original, *results, F.struct(*parts).alias(f"__m{i}")
             )
             results.append(f"__m{i}")
@@ -237,7 +248,7 @@ class Trainer:
             {model_type: run_name or model_type},
         )
         model = self.models[model_type]
-        return model, outcomes[model_type], model.transform(test)
+        return model, outcomes[model_type], keep_all_rows(model).transform(test)
 
     def train_many(
         self,
@@ -284,7 +295,8 @@ class Trainer:
             prepared = preprocessing.fit(train)
             spent = time.monotonic() - begin
             stages = prepared.stages
-            train, test = prepared.transform(train), prepared.transform(test)
+            # Outlier filters choose training rows; every test row is judged.
+            train, test = prepared.transform(train), keep_all_rows(prepared).transform(test)
         fitted: dict[str, PipelineModel] = {}
         seconds: dict[str, float] = {}
         needed = _columns_of(list(estimators.values()), train)

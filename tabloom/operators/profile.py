@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.functions import compact, is_missing, numeric_columns, text_columns
+from tabloom.functions import compact, is_missing, numeric_columns, quoted, text_columns
 
 
 def missing(df: DataFrame, include_nan: bool = True) -> DataFrame:
@@ -45,7 +45,7 @@ def describe(df: DataFrame) -> DataFrame:
 def _number_aggregates(numbers: Sequence[str]) -> list[Column]:
     aggregates = []
     for i, name in enumerate(numbers):
-        value = F.col(name).cast("double")
+        value = quoted(name).cast("double")
         aggregates += [
             F.count(value).alias(f"n{i}_count"),
             F.avg(value).alias(f"n{i}_mean"),
@@ -130,7 +130,7 @@ def duplicates(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
 
 def _distinct_values(df: DataFrame, name: str, approx: bool) -> Column:
     counter = F.approx_count_distinct if approx else F.count_distinct
-    has_null = F.coalesce(F.max(F.col(name).isNull().cast("bigint")), F.lit(0))
+    has_null = F.coalesce(F.max(quoted(name).isNull().cast("bigint")), F.lit(0))
     return counter(compact(df, name)) + has_null
 
 
@@ -226,7 +226,7 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 50) -> DataFram
     bins are not listed.
     """
     numbers = [
-        F.when(~is_missing(df, c), F.col(c).cast("double")).alias(f"h{i}")
+        F.when(~is_missing(df, c), quoted(c).cast("double")).alias(f"h{i}")
         for i, c in enumerate(columns)
     ]
     values = df.select(*numbers)

@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 from tabloom.functions import hash_bucket
 
-# Shares of a hash split are kept to this many parts of a whole.
-RESOLUTION = 10_000
+# A hash split cuts the 32 bits of the hash, so shares are exact to this part of a whole.
+RESOLUTION = 1 << 32
+# Partitions of training rows, where the session does not name a number.
+TRAINING_SETTING, TRAINING_PARTITIONS = "spark.tabloom.trainingPartitions", 16
 
 
 def random_split(df: DataFrame, weights: Sequence[float], seed: int = 42) -> list[DataFrame]:
@@ -30,6 +32,8 @@ def hash_split(
     """
     total = sum(weights)
     ends = [round(w / total * RESOLUTION) for w in accumulate(weights)]
+    if any(low >= high for low, high in zip([0, *ends], ends)):
+        raise ValueError(f"a share of {list(weights)} is too small to get any row")
     bucket = hash_bucket(key, RESOLUTION)
     return [
         df.filter((bucket >= low) & (bucket < high)) for low, high in zip([0, *ends], ends)
@@ -67,16 +71,15 @@ def cached(*frames: DataFrame):
 
 @contextmanager
 def training_rows(df: DataFrame):
-    """Keep rows that are read many times, in at least as many partitions as there are cores.
+    """Keep rows that are read many times, laid out so that a fit is the same on any cluster.
 
-    Large data has enough partitions and is kept as it comes; only data of few files is dealt
-    out anew.
+    Rows are dealt by the hash of their values to as many partitions as the setting
+    ``spark.tabloom.trainingPartitions`` says (16 if unset), and stand in order of it. Seeded
+    samples of trees and sums of gradients then follow the rows and that number, not the cores or
+    the files. For large data, set the number so that a partition fits into an executor.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    with cached(df) as kept:
-        # Asking for the partitions of kept data runs the job that keeps it, and no other.
-        if kept.rdd.getNumPartitions() >= cores:
-            yield kept
-        else:
-            with cached(kept.repartition(cores)) as even:
-                yield even
+    conf = df.sparkSession.conf
+    n = int(conf.get(TRAINING_SETTING, str(TRAINING_PARTITIONS)))
+    place = F.xxhash64(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns])
+    with cached(df.repartition(n, place).sortWithinPartitions(place)) as even:
+        yield even

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from tabloom.functions import vector_item
 from tabloom.operators import diagnostics, metrics
+from tabloom.operators.features import GroupAggFeatures
 from tabloom.operators.models import Trainer
+from tabloom.operators.outliers import IQROutlier
 from tabloom.operators.preprocessing import PipelineBuilder
 from tabloom.operators.scoring import score
 from tabloom.operators.split import hash_split
@@ -89,6 +91,46 @@ def model_save_load(spark, sf):
     return _per_quantity(score(load_model(path), items, ["l_quantity"]), 2, "prediction")
 
 
+@query("""
+select l_returnflag, count(*) as n, round(avg(l_extendedprice), 4) as mean_price
+from lineitem group by l_returnflag
+""")
+def model_resave(spark, sf):
+    """A loaded model saved over its own path, loaded again, and applied."""
+    items = table(spark, sf, "lineitem").select("l_returnflag", "l_extendedprice")
+    groups = GroupAggFeatures(
+        groupCol="l_returnflag", valueCol="l_extendedprice", functions=["mean"]
+    )
+    path = new_path(spark, "resaved")
+    save_model(Pipeline(stages=[groups]).fit(items), path)
+    loaded = load_model(path)
+    save_model(loaded, path)
+    both = load_model(path).transform(loaded.transform(items).select(*items.columns))
+    mean = F.round("l_returnflag_l_extendedprice_mean", 4)
+    return both.groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("n"), F.max(mean).alias("mean_price")
+    )
+
+
+@query("""
+select count(*) as n_scored from lineitem
+where concat('0x', substr(md5(l_orderkey::varchar), 1, 8))::bigint >= 3435973837
+""")
+def evaluate_keeps_rows(spark, sf):
+    """Test rows outside the bounds of an outlier filter are scored too."""
+    items = table(spark, sf, "lineitem").select("l_orderkey", "l_quantity", "l_extendedprice")
+    train, test = hash_split(items, "l_orderkey", [0.8, 0.2])
+    trainer = Trainer("regression", label_col="l_extendedprice")
+    steps = Pipeline(
+        stages=[
+            IQROutlier(inputCols=["l_extendedprice"], mode="remove", multiplier=0.1),
+            VectorAssembler(inputCols=["l_quantity"], outputCol="features"),
+        ]
+    )
+    _, _, scored = trainer.train_and_log("linear", train, test, steps)
+    return scored.agg(F.count(F.lit(1)).alias("n_scored"))
+
+
 @query(LINE_SCORES)
 def stream_score(spark, sf):
     model, _ = _fit(spark, sf, "regression", "linear", "price", solver="normal")

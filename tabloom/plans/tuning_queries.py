@@ -65,7 +65,7 @@ def tune_cross_validation(spark, sf):
     return _results(spark, found, grid)
 
 
-@query(f"with {_line_scores(f'({BUCKET} % 10000 < 8000)::int', '[0]')}")
+@query(f"with {_line_scores(f'({BUCKET} < 3435973837)::int', '[0]')}")
 def tune_train_validation(spark, sf):
     model, grid = _line(Trainer("regression"))
     found = tuning.train_validation(

@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import PipelineModel
+from pyspark.sql import SparkSession
 
 
 def save_model(model: PipelineModel, path: str) -> None:
-    """Write the model, replacing what is at ``path``."""
-    model.write().overwrite().save(path)
+    """Write the model, replacing what is at ``path``.
+
+    It is written beside ``path`` first: a loaded model still reads its tables there.
+    """
+    spark = SparkSession.active()
+    fresh = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    model.write().save(fresh)
+    jvm = spark._jvm
+    old, new = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, fresh))
+    files = old.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    files.delete(old, True)
+    if not files.rename(new, old):
+        raise OSError(f"{fresh} could not be moved to {path}")
 
 
 def load_model(path: str) -> PipelineModel:

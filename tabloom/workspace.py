@@ -38,13 +38,17 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tabloom/{name}-{uuid.uuid4().hex}"
 
 
+def stage_path(df: DataFrame, name: str) -> str:
+    """Write ``df`` as a table in the shared folder; the path of it."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return path
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     The table outlives lost executors, and its size on disk is known to the optimizer,
     which then broadcasts it only when it is below the session's threshold.
     """
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(stage_path(df, name))

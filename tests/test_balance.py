@@ -89,7 +89,10 @@ def test_wrong_arguments(classes):
 
 def test_hash_ties(spark, monkeypatch):
     """With a coarse hash the digest, and then the key, decides among equal hashes."""
-    monkeypatch.setattr(balance, "hash_order", lambda key: F.floor(hash_order(key) / 2**49).cast("double"))
+    def coarse(key, start=1):
+        return F.floor(hash_order(key) / 2**49).cast("double") if start == 1 else hash_order(key)
+
+    monkeypatch.setattr(balance, "hash_order", coarse)
     df = spark.range(500).select("id", F.lit("a").alias("label"))
     chosen = balance.lowest_by_hash(df, F.lit(True), 500, 123, "id")
     assert {r["id"] for r in df.filter(chosen).collect()} == lowest(df, "a", 123)
@@ -131,11 +134,26 @@ def test_cached_lets_go(classes):
     assert not kept.is_cached
 
 
-def test_training_rows(spark):
-    few = spark.range(100).coalesce(1)
-    with split.training_rows(few) as rows:
-        assert rows.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-        assert rows.count() == 100
-    many = spark.range(0, 100, 1, 20)
-    with split.training_rows(many) as rows:
-        assert rows.rdd.getNumPartitions() == 20
+def test_training_rows_do_not_follow_the_layout(spark):
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+
+    rows = spark.range(3000).select(
+        (F.hash("id", F.lit(1)) % 100).cast("double").alias("a"),
+        (F.hash("id", F.lit(2)) % 100).cast("double").alias("b"),
+        (F.hash("id", F.lit(3)) % 2 == 0).cast("double").alias("label"),
+    )
+    rows = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(rows)
+    forest = RandomForestClassifier(numTrees=3, maxDepth=3, seed=42)
+    found = []
+    for data in (rows.coalesce(1), rows.repartition(7)):
+        with split.training_rows(data) as kept:
+            found.append(forest.fit(kept).featureImportances.toArray().tolist())
+    assert found[0] == found[1]
+
+
+def test_tiny_shares_get_rows_or_raise(spark):
+    parts = split.hash_split(spark.range(1_000_000), "id", [0.99999, 0.00001])
+    assert 0 < parts[1].count() < 100
+    with pytest.raises(ValueError):
+        split.hash_split(spark.range(10), "id", [1.0, 1e-12])

@@ -43,7 +43,7 @@ def nonnegative():
     return builder.add_standard_scaler(with_mean=False).build()
 
 
-def test_names():
+def test_names(spark):
     for task, known in ESTIMATORS.items():
         trainer = Trainer(task, "f", "l", "p")
         for name in known:
@@ -239,7 +239,7 @@ def test_param_grid():
 @pytest.mark.parametrize("key", [None, "id"])
 def test_searches(spark, data, tmp_path, key):
     log = str(tmp_path / "log")
-    tuner = api.HyperparameterTuner(log)
+    tuner = api.HyperparameterTuner(run_log=log)
     model = Trainer("regression", label_col="target").get_model("linear", solver="normal")
     grid = tuner.create_param_grid(model, {"regParam": [5.0, 0.0]})
     evaluator = RegressionEvaluator(labelCol="target", metricName="rmse")
