@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import statistics
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from multiprocessing.pool import ThreadPool
@@ -9,7 +10,6 @@ from multiprocessing.pool import ThreadPool
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.tuning import (
-    CrossValidator,
     CrossValidatorModel,
     ParamGridBuilder,
     TrainValidationSplit,
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.operators.preprocessing import with_estimator
+from tabloom.operators.scoring import keep_all_rows
 from tabloom.operators.split import cached, hash_fold, hash_split, training_rows
 from tabloom.sources import runlog
 
@@ -33,6 +34,28 @@ def param_grid(model, values: Mapping[str, Sequence[object]]) -> list[dict]:
     return reduce(add, values.items(), ParamGridBuilder()).build()
 
 
+def _fit_all(model, grid, train, validation, evaluator, preprocessing, parallelism):
+    """Scores of all combinations on one split. The preprocessing is fitted once.
+
+    Only where the grid names a parameter of the preprocessing, all of it is fitted each time.
+    """
+    own = all(p.parent == model.uid for params in grid for p in params)
+    if preprocessing is None or not own:
+        estimator = with_estimator(preprocessing, model)
+        prepared = (train, validation)
+    else:
+        estimator, fitted = model, preprocessing.fit(train)
+        # Outlier filters choose training rows; every held-out row is judged.
+        prepared = (fitted.transform(train), keep_all_rows(fitted).transform(validation))
+    with cached(*prepared) as (ready, held_out):
+
+        def score(params: dict) -> float:
+            return evaluator.evaluate(estimator.fit(ready, params).transform(held_out))
+
+        with ThreadPool(max(1, min(parallelism, len(grid)))) as pool:
+            return pool.map(score, grid)
+
+
 def cross_validate(
     model,
     grid: list[dict],
@@ -44,23 +67,30 @@ def cross_validate(
     parallelism: int = 2,
     seed: int = 42,
 ) -> CrossValidatorModel:
-    """Cross-validation; the preprocessing is fitted inside every fold.
+    """Cross-validation; the preprocessing is fitted inside every fold, once.
 
-    With ``fold_key`` the folds follow the hash of a row key, else a seeded split.
+    With ``fold_key`` the folds follow the hash of a row key, else a seeded hash of the whole
+    row. ``fold_scores`` of the result holds the scores by fold and combination.
     """
-    search = CrossValidator(
-        estimator=with_estimator(preprocessing, model),
-        estimatorParamMaps=grid,
-        evaluator=evaluator,
-        numFolds=folds,
-        seed=seed,
-        parallelism=parallelism,
-    )
-    if fold_key is not None:
-        data = data.withColumn("__fold", hash_fold(fold_key, folds))
-        search = search.setFoldCol("__fold")
-    with training_rows(data) as rows:
-        return search.fit(rows)
+    names = [F.col("`" + c.replace("`", "``") + "`") for c in data.columns]
+    whole_row = F.pmod(F.xxhash64(F.lit(seed), *names), F.lit(folds))
+    fold = whole_row if fold_key is None else hash_fold(fold_key, folds)
+    with training_rows(data.withColumn("__fold", fold.cast("int"))) as rows:
+        scores = []
+        for i in range(folds):
+            rest = rows.filter(F.col("__fold") != i).drop("__fold")
+            held_out = rows.filter(F.col("__fold") == i).drop("__fold")
+            scores.append(
+                _fit_all(model, grid, rest, held_out, evaluator, preprocessing, parallelism)
+            )
+        means = [statistics.fmean(s) for s in zip(*scores)]
+        spread = [statistics.pstdev(s) for s in zip(*scores)]
+        best = grid[best_index(means, evaluator.isLargerBetter())]
+        fitted = with_estimator(preprocessing, model).fit(rows.drop("__fold"), best)
+    search = CrossValidatorModel(fitted, means, None, spread)
+    search._set(numFolds=folds)
+    search.fold_scores = scores
+    return search
 
 
 def train_validation(
@@ -87,15 +117,9 @@ def train_validation(
         )
         with training_rows(data) as rows:
             return search.fit(rows)
-    with training_rows(data) as rows, cached(
-        *hash_split(rows, split_key, [train_ratio, 1 - train_ratio])
-    ) as (train, validation):
-
-        def score(params: dict) -> float:
-            return evaluator.evaluate(estimator.fit(train, params).transform(validation))
-
-        with ThreadPool(min(parallelism, len(grid))) as pool:
-            scores = pool.map(score, grid)
+    with training_rows(data) as rows:
+        train, validation = hash_split(rows, split_key, [train_ratio, 1 - train_ratio])
+        scores = _fit_all(model, grid, train, validation, evaluator, preprocessing, parallelism)
         best = grid[best_index(scores, evaluator.isLargerBetter())]
         return TrainValidationSplitModel(estimator.fit(rows, best), scores)
 
@@ -128,6 +152,17 @@ def grid_results(spark, search, grid: list[dict]) -> DataFrame:
     return spark.createDataFrame(rows, "combo int, params map<string,string>, metric double")
 
 
+def fold_results(spark, search: CrossValidatorModel, grid: list[dict]) -> DataFrame:
+    """``combo, fold, params, metric``: one row per combination and fold."""
+    rows = [
+        (i, fold, {p.name: str(v) for p, v in params.items()}, float(scores[i]))
+        for fold, scores in enumerate(search.fold_scores)
+        for i, params in enumerate(grid)
+    ]
+    shape = "combo int, fold int, params map<string,string>, metric double"
+    return spark.createDataFrame(rows, shape)
+
+
 def search_entries(
     spark,
     search,
@@ -148,6 +183,12 @@ def search_entries(
     if isinstance(search, CrossValidatorModel):
         params["num_folds"] = search.getNumFolds()
     values = {"search_time_seconds": seconds, "best_score": scores[best]}
+    # The whole grid: what each combination was, and its score in every fold.
+    for i, combo in enumerate(grid):
+        params |= {f"combo_{i}_{p.name}": v for p, v in combo.items()}
+        values[f"combo_{i}_score"] = scores[i]
+        for fold, held in enumerate(getattr(search, "fold_scores", [])):
+            values[f"combo_{i}_fold_{fold}"] = held[i]
     return runlog.entries(spark, run_name, params, values, experiment)
 
 

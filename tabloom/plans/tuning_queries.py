@@ -65,6 +65,32 @@ def tune_cross_validation(spark, sf):
     return _results(spark, found, grid)
 
 
+@query(f"""
+with t as (select {BUCKET} % 3 as fold, l_quantity as x, l_extendedprice as y from lineitem),
+f as (select unnest([0, 1, 2]) as k),
+m as (select k, regr_slope(y, x) as a, regr_intercept(y, x) as b, sum(x * y) / sum(x * x) as c
+      from t, f where fold <> k group by k)
+select 0::int as combo, k::int as fold, round(sqrt(avg((y - a * x - b) ** 2)), 3) as rmse
+from t join m on fold = k group by k
+union all
+select 1, k, round(sqrt(avg((y - c * x) ** 2)), 3) from t join m on fold = k group by k
+""")
+def tune_fold_scores(spark, sf):
+    """Scores of each combination in each fold."""
+    model, grid = _line(Trainer("regression"))
+    found = tuning.cross_validate(
+        model,
+        grid,
+        _items(spark, sf),
+        RegressionEvaluator(metricName="rmse"),
+        folds=3,
+        preprocessing=_quantity(),
+        fold_key="l_orderkey",
+    )
+    scores = tuning.fold_results(spark, found, grid)
+    return scores.select("combo", "fold", F.round("metric", 3).alias("rmse"))
+
+
 @query(f"with {_line_scores(f'({BUCKET} < 3435973837)::int', '[0]')}")
 def tune_train_validation(spark, sf):
     model, grid = _line(Trainer("regression"))

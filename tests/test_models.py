@@ -276,3 +276,16 @@ def test_search_with_larger_is_better(data):
     evaluator = BinaryClassificationEvaluator()
     search = tuning.cross_validate(model, grid, data, evaluator, 2, pipeline, "id")
     assert search.bestModel.stages[-1].getMaxDepth() == 4
+
+
+def test_preprocessing_is_fitted_once_a_fold(data, monkeypatch):
+    fits = []
+    original = Pipeline._fit
+    monkeypatch.setattr(Pipeline, "_fit", lambda self, df: fits.append(1) or original(self, df))
+    model = Trainer("regression", label_col="target").get_model("linear", solver="normal")
+    grid = tuning.param_grid(model, {"regParam": [5.0, 1.0, 0.0]})
+    evaluator = RegressionEvaluator(labelCol="target", metricName="rmse")
+    pipeline = Pipeline(stages=[VectorAssembler(inputCols=["x", "noise"], outputCol="features")])
+    search = tuning.cross_validate(model, grid, data, evaluator, 3, pipeline, "id")
+    assert len(fits) == 3 + 1
+    assert [len(s) for s in search.fold_scores] == [3, 3, 3]
