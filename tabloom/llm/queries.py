@@ -19,7 +19,22 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
 
-@query()
+@query(r"""
+with d as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+v as (
+  select doc_id, i, min(doc_id) over (partition by array_to_string(w[i:i + 12], ' ')) as first
+  from (select doc_id, w, unnest(range(1, len(w) - 11)) as i from d where len(w) >= 13)),
+gone as (select distinct doc_id, unnest(range(i, i + 13)) as k from v where first < doc_id),
+kept as (
+  select doc_id, string_agg(x, ' ' order by k) as t
+  from (select doc_id, unnest(w) as x, generate_subscripts(w, 1) as k from d)
+  anti join gone using (doc_id, k) group by doc_id),
+n as (select doc_id, count(*) as n from gone group by doc_id)
+select doc_id, len(w)::bigint as n_words, coalesce(n, 0)::bigint as n_removed,
+       sha256(coalesce(t, '')) as kept_sha256
+from d left join kept using (doc_id) left join n using (doc_id)
+""")
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substrings.drop_repeats(table(spark, sf_dir, "documents"))
     return kept.select(
@@ -27,7 +42,32 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query(r"""
+with recursive d as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as w
+  from documents),
+s as (
+  select distinct doc_id, array_to_string(w[i:i + 2], ' ') as g
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) as i from d where len(w) > 0)),
+n as (select doc_id, count(*) as n from s group by doc_id),
+l as (
+  select a.doc_id as a, b.doc_id as b
+  from s a join s b on a.g = b.g and a.doc_id < b.doc_id
+  join n x on x.doc_id = a.doc_id join n y on y.doc_id = b.doc_id
+  group by a.doc_id, b.doc_id, x.n, y.n
+  having 100 * count(*) >= 90 * (x.n + y.n - count(*))),
+e as (select a, b from l union all select b, a from l),
+c(node, reached) as (
+  select doc_id, doc_id from d
+  union
+  select c.node, e.b from c join e on e.a = c.reached)
+select d.doc_id, coalesce(any_value(n.n), 0)::bigint as n_shingles,
+       min(c.reached) as component_id
+from d join c on c.node = d.doc_id left join n on n.doc_id = d.doc_id
+group by d.doc_id
+""")
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_classes(table(spark, sf_dir, "documents"))
 
