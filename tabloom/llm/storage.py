@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 
 from pyspark.sql import SparkSession
 
@@ -11,7 +12,10 @@ def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of finished steps.
 
     Spark removes them once the driver's garbage collector has found their plans unused, which
-    in a driver with memory to spare can be long after.
+    in a driver with memory to spare can be long after. Twice, since references go in turn:
+    those of Python first, then those that the JVM held for them.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        time.sleep(0.5)
+        spark.sparkContext._jvm.System.gc()
