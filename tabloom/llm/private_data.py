@@ -3,14 +3,17 @@
 Base entities (emails, addresses, cards, phones) are found by patterns. How strongly a term
 reveals an entity is estimated from the corpus: terms within ``near`` words of an entity are
 counted with it, and all their occurrences are counted in the whole corpus. The disclosure of
-term t about entity e is PMI(t, e) / IC(e): 1 if t never stands anywhere else. A term with
-at least ``support`` different surroundings with the entity (so that copies of one text count
-once) is generalised from ``generalise`` on and removed from ``remove`` on, in every document
-that holds the entity.
+term t about entity e is PMI(t, e) / IC(e) = 1 + log2 p(e|t) / IC(e): 1 if t never stands
+anywhere else. For p(e|t) stands a lower bound, ``errors`` standard errors down (Wilson's), of
+the different surroundings that t has with e (copies of one text count once) among those and all
+other occurrences of t. So an entity that stands once can be judged, and little evidence counts
+as little: one surrounding of a term that stands nowhere else gives 1 - 3.3 bits / IC. A term is
+generalised from ``generalise`` on and removed from ``remove`` on, in every document that holds
+the entity. Surroundings are whole words; what is glued to the entity is none.
 
 DataFrame operations only. Spans come from matches and the pieces between them, whose lengths
-add up to positions in code points. Only (entity, term) rows are shuffled, summed first; texts
-never are.
+add up to positions in code points. Words and (entity, term) rows are summed before they are
+shuffled; texts meet their terms in one join.
 
 Defined results: a null or empty text has no spans; a null id stays null; rows repeated with
 the same id and text get equal results each. Of overlapping spans, the text is cut from the
@@ -110,56 +113,97 @@ def _lower(text: Column) -> Column:
     return F.translate(text, upper, upper.lower())
 
 
+# What stands beside an entity, after the rest of its own word: anchored, so that it is linear.
+_SPACE, _BLACK = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
+
+
+def _words(text: Column) -> Column:
+    return F.regexp_extract_all(_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+
+
+def _beside(side: Column, near: int) -> Column:
+    """The first ``near`` whole words of ``side``, but for what is glued to the entity."""
+    return _words(F.regexp_extract(side, f"^{_BLACK}*+((?:{_SPACE}++{_BLACK}++){{0,{near}}})", 1))
+
+
+def _lower_bound(hits: Column, trials: Column, z: float) -> Column:
+    """Wilson's lower bound, ``z`` standard errors down, of a share seen as ``hits`` of ``trials``."""
+    spread = F.sqrt(hits * (trials - hits) / trials + z * z / 4)
+    return (hits + z * z / 2 - z * spread) / (trials + z * z)
+
+
 def revealing_terms(
     found: DataFrame,
     docs: DataFrame,
     near: int = 5,
-    support: int = 3,
+    errors: float = 3.0,
     generalise: float = 0.8,
 ) -> DataFrame:
-    """``(kind, value, term, disclosure)`` of the terms that give entities away.
+    """``(kind, value, term, disclosure, elsewhere)`` of the terms that give entities away.
 
-    ``found`` has texts with their base ``spans``; ``docs`` is the whole corpus.
+    ``found`` has distinct texts (``_row``, ``_times``) with their base ``spans``; ``docs`` is the
+    whole corpus. ``elsewhere``: whether the term may stand where the entity doesn't.
     """
-    reach = 64 * near
-    text, start, end = F.col("text"), F.col("span.start"), F.col("span.end")
-    before = F.substring(text, F.greatest(start - reach, F.lit(0)) + 1, F.least(start, F.lit(reach)))
-    after = F.substring(text, end + 1, F.lit(reach))
-    words = lambda side: F.regexp_extract_all(_lower(side), F.lit(WORD), F.lit(0))
-    places = found.select("text", F.explode("spans").alias("span")).select(
+    text = F.col("text")
+    before = F.reverse(F.substring(text, F.lit(1), F.col("span.start")))
+    after = F.substring(text, F.col("span.end") + 1, F.length(text))
+    places = found.select("_row", "_times", "text", F.explode("spans").alias("span")).select(
+        "_row",
+        "_times",
         F.col("span.kind").alias("kind"),
         F.col("span.value").alias("value"),
         F.concat(
-            F.slice(F.reverse(words(before)), 1, near), F.slice(words(after), 1, near)
+            F.transform(_beside(before, near), lambda w: F.reverse(w)), _beside(after, near)
         ).alias("_around"),
     )
-    entities = places.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n_entity"))
-    together = (
-        places.withColumn("_context", F.xxhash64("_around"))
-        .select("kind", "value", "_context", F.explode(F.array_distinct("_around")).alias("term"))
-        .groupBy("kind", "value", "term", "_context")
-        .agg(F.count(F.lit(1)).alias("n"))
+    # Written, since three sums are made of it.
+    places = stage(places.withColumn("_context", F.xxhash64("_around")), "places")
+    entities = (
+        places.select("kind", "value", "_context")
+        .distinct()
+        .groupBy("kind", "value")
+        .agg(F.count(F.lit(1)).alias("n_entity"))
+    )
+    near_words = places.select(
+        "*", F.explode(F.array_distinct("_around")).alias("term")
+    ).withColumn("n", F.size(F.filter("_around", lambda w: w == F.col("term"))) * F.col("_times"))
+    contexts = (
+        near_words.select("kind", "value", "term", "_context")
+        .distinct()
         .groupBy("kind", "value", "term")
-        .agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("n_contexts"))
-        .filter(F.col("n_contexts") >= support)
+        .agg(F.count(F.lit(1)).alias("n_contexts"))
     )
-    # Written, so that its size is known and decides how the words of the corpus meet it.
-    together = stage(together, "terms")
-    candidates = stage(together.select("term").distinct(), "candidates")
+    # A word near two mentions counts once, so that no more are counted than there are.
+    beside = (
+        near_words.groupBy("kind", "value", "term", "_row")
+        .agg(F.max("n").alias("n"))
+        .groupBy("kind", "value", "term")
+        .agg(F.sum("n").alias("n_both"))
+    )
+    together = stage(contexts.join(beside, ["kind", "value", "term"]), "terms")
+    # Summed before the join: most words of the corpus may be candidates.
     totals = (
-        docs.select(F.explode(words(F.coalesce(text, F.lit("")))).alias("term"))
-        .join(candidates, "term", "left_semi")
+        docs.select(F.explode(_words(text)).alias("term"))
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("n_term"))
+        .join(together.select("term").distinct(), "term", "left_semi")
     )
     size = docs.agg(F.greatest(F.sum(n_words(text)), F.lit(2)).alias("n_all"))
+    others = F.col("n_term") - F.col("n_both")
+    share = _lower_bound(F.col("n_contexts"), F.col("n_contexts") + others, errors)
+    # PMI over IC, with log2 of the share of the term's occurrences that reveal the entity.
     ic = F.log2(F.col("n_all") / F.col("n_entity"))
-    pmi = F.log2(F.col("n_both") * F.col("n_all") / (F.col("n_term") * F.col("n_entity")))
     return (
         together.join(totals, "term")
         .join(entities, ["kind", "value"])
         .withColumn("n_all", F.lit(size.head()[0] or 2))
-        .select("kind", "value", "term", (pmi / ic).alias("disclosure"))
+        .select(
+            "kind",
+            "value",
+            "term",
+            (1 + F.try_divide(F.log2(share), ic)).alias("disclosure"),
+            (others > 0).alias("elsewhere"),
+        )
         .filter(F.col("disclosure") >= generalise)
     )
 
@@ -167,7 +211,7 @@ def revealing_terms(
 def sanitise(
     docs: DataFrame,
     near: int = 5,
-    support: int = 3,
+    errors: float = 3.0,
     generalise: float = 0.8,
     remove: float = 0.95,
 ) -> DataFrame:
@@ -177,18 +221,28 @@ def sanitise(
     """
     row = F.xxhash64(F.col("doc_id"), F.col("text"))
     based = docs.select("doc_id", "text").withColumn("spans", base_spans(F.col("text")))
+    # Copies under different ids are different occurrences; equal rows are one here.
     found = stage(
-        based.filter(F.size("spans") > 0).withColumn("_row", row).dropDuplicates(["_row"]),
+        based.filter(F.size("spans") > 0)
+        .withColumn("_row", row)
+        .groupBy("_row")
+        .agg(
+            F.first("text").alias("text"),
+            F.first("spans").alias("spans"),
+            F.count(F.lit(1)).alias("_times"),
+        ),
         "entities",
     )
-    # Copies under different ids are different occurrences; equal rows are one here.
-    terms = stage(revealing_terms(found, docs, near, support, generalise), "revealing")
-    own = (
+    terms = stage(revealing_terms(found, docs, near, errors, generalise), "revealing")
+    held = (
         found.select("_row", F.explode("spans").alias("s"))
         .select("_row", F.col("s.kind").alias("kind"), F.col("s.value").alias("value"))
         .distinct()
         .join(terms, ["kind", "value"])
-        .groupBy("_row", "term")
+        .select("_row", "term", "disclosure")
+    )
+    by_row = stage(
+        held.groupBy("_row", "term")
         .agg(F.max("disclosure").alias("disclosure"))
         .groupBy("_row")
         .agg(
@@ -200,44 +254,31 @@ def sanitise(
                     )
                 )
             ).alias("_terms")
-        )
+        ),
+        "terms-of-rows",
     )
-    by_term = (
-        found.join(own, "_row")
-        .withColumn(
-            "_found",
-            _placed(
-                F.col("text"),
-                WORD,
-                lambda m: F.map_contains_key(F.col("_terms"), _lower(m)),
-                KINDS.index("term"),
-            ),
-        )
-        .withColumn(
-            "_found",
-            F.transform(
-                F.filter(
-                    "_found",
-                    lambda t: ~F.exists(
-                        "spans", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])
-                    ),
-                ),
-                lambda t: t.withField("value", F.col("_terms")[_lower(t["value"])]),
-            ),
-        )
-        .select("_row", "_found")
+    placed = _placed(
+        F.col("text"),
+        WORD,
+        lambda m: F.map_contains_key(F.col("_terms"), _lower(m)),
+        KINDS.index("term"),
+    )
+    free = F.filter(
+        placed,
+        lambda t: ~F.exists("spans", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])),
     )
+    named = F.transform(free, lambda t: t.withField("value", F.col("_terms")[_lower(t["value"])]))
     return (
         docs.withColumn("spans", base_spans(F.col("text")))
         .withColumn("_row", row)
-        .join(by_term, "_row", "left")
+        .join(by_row, "_row", "left")
         .withColumn(
             "spans",
             F.when(
-                F.col("_found").isNotNull(), F.array_sort(F.concat("spans", "_found"))
+                F.col("_terms").isNotNull(), F.array_sort(F.concat("spans", named))
             ).otherwise(F.col("spans")),
         )
-        .drop("_row", "_found")
+        .drop("_row", "_terms")
     )
 
 
