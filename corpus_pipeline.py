@@ -60,7 +60,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data and what gives it away replaced in the text."""
-    found = private_data.sanitise(_packed(docs))
+    found = private_data.sanitise(_packed(docs), everywhere=True)
     text = private_data.cleaned(F.col("text"), F.col("spans"))
     clean = _unpacked(found.withColumn("text", text), docs.columns)
     if "n_chars" not in docs.columns:

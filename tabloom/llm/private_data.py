@@ -8,8 +8,8 @@ anywhere else. For p(e|t) stands a lower bound, ``errors`` standard errors down
 the different surroundings that t has with e (copies of one text count once) among those and all
 other occurrences of t. So an entity that stands once can be judged, and little evidence counts
 as little: one surrounding of a term that stands nowhere else gives 1 - 3.3 bits / IC. A term is
-generalised from ``generalise`` on and removed from ``remove`` on, in every document that holds
-the entity. Surroundings are whole words; what is glued to the entity is none.
+generalised from ``generalise`` on and removed from ``remove`` on: with ``everywhere`` in all
+documents, since the term alone discloses the entity, else in those that hold the entity. Surroundings are whole words; what is glued to the entity is none.
 
 DataFrame operations only. Spans come from matches and the pieces between them, whose lengths
 add up to positions in code points. Words and (entity, term) rows are summed before they are
@@ -214,10 +214,12 @@ def sanitise(
     errors: float = 3.0,
     generalise: float = 0.8,
     remove: float = 0.95,
+    everywhere: bool = False,
 ) -> DataFrame:
     """All columns of ``docs``, with ``spans`` (array of start, kind, end, value).
 
     Kinds are numbered as in ``KINDS``. Terms have kind 4, and as value what replaces them.
+    ``everywhere``: replace terms in all documents, and not in those that hold the entity only.
     """
     row = F.xxhash64(F.col("doc_id"), F.col("text"))
     based = docs.select("doc_id", "text").withColumn("spans", base_spans(F.col("text")))
@@ -241,6 +243,16 @@ def sanitise(
         .join(terms, ["kind", "value"])
         .select("_row", "term", "disclosure")
     )
+    if everywhere:
+        # Written, so that its size decides between a broadcast and a shuffle.
+        spread = stage(
+            terms.filter("elsewhere").groupBy("term").agg(F.max("disclosure").alias("disclosure")),
+            "spread",
+        )
+        words = docs.select(
+            row.alias("_row"), F.explode(F.array_distinct(_words(F.col("text")))).alias("term")
+        )
+        held = held.union(words.join(spread, "term").select("_row", "term", "disclosure"))
     by_row = stage(
         held.groupBy("_row", "term")
         .agg(F.max("disclosure").alias("disclosure"))

@@ -95,7 +95,7 @@ def op7_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op9_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = private_data.sanitise(table(spark, sf_dir, "documents"))
+    found = private_data.sanitise(table(spark, sf_dir, "documents"), everywhere=True)
     spans = F.col("spans")
     return found.select(
         "doc_id",

@@ -54,3 +54,12 @@ def test_copies_are_one_surrounding(spark):
     expected = spark.range(1).select(1 + F.log2(once) / F.log2(F.lit(size))).head()[0]
     assert abs(terms["solo"].disclosure - expected) < 1e-12
     assert not terms["copied"].elsewhere
+
+
+def test_terms_are_replaced_where_the_entity_is_not(spark):
+    docs = corpus(spark, ["{} Zorblax boss@corp.com {}"] * 6 + ["{} Zorblax, and Zorblax {}", "{} ZORBLAX"])
+    clean = cleaned(private_data.sanitise(docs, everywhere=True))
+    assert all("Zorblax" not in clean[100 + i] for i in range(6))
+    assert clean[106].count("[TERM]") == 1 and "Zorblax, and" in clean[106] and "ZORBLAX" not in clean[107]
+    # The other setting keeps to documents of the entity.
+    assert "ZORBLAX" in cleaned(private_data.sanitise(docs))[107]
