@@ -35,18 +35,22 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of linked documents, the one with the least id.
+    """Of each class of linked rows, the one with the least id.
 
-    Near copies of the pipeline take five words and a similarity of 0.8. A document without an
-    id goes by a hash of its text; of rows that repeat an id, one stays.
+    Near copies of the pipeline take five words and a similarity of 0.8. Rows are judged one by
+    one by their own texts, whatever other rows share their id; rows without an id come last, by
+    a hash of the text. Of rows with equal id and text, one stays.
     """
-    row = F.coalesce(F.col("doc_id"), F.xxhash64("text"))
-    keyed = docs.select(row.alias("doc_id"), "text")
-    classes = jaccard.link_classes(keyed, width=5, percent=80)
+    row = F.xxhash64(docs["doc_id"], docs["text"])
+    classes = jaccard.link_classes(docs.select(row.alias("doc_id"), "text"), width=5, percent=80)
+    ids = docs.select(row.alias("_row"), F.col("doc_id").alias("_id")).distinct()
     first = (
-        classes.filter(F.col("doc_id") == F.col("component_id"))
-        .select(F.col("doc_id").alias("_first"))
+        classes.select(F.col("doc_id").alias("_row"), "component_id")
         .distinct()
+        .join(ids, "_row")
+        .groupBy("component_id")
+        .agg(F.min(F.struct(F.isnull("_id").alias("_none"), "_id", "_row")).alias("_least"))
+        .select(F.col("_least._row").alias("_first"))
     )
     packed = _packed(docs).withColumn("_row", row)
     kept = packed.join(first, F.col("_row") == F.col("_first")).dropDuplicates(["_row"])
