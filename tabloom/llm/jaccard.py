@@ -24,7 +24,7 @@ connected components of all links.
 Sets are kept as 64-bit hashes of shingles and documents of equal sets are one class from the
 start. Defined results: a document without words has an empty set and is linked with nothing;
 with fewer words than a shingle, all its words are its one shingle; a null text counts as
-empty; rows repeated with the same id are one document each.
+empty; rows are one document each, whatever their ids, and are linked by their own texts.
 """
 
 from __future__ import annotations
@@ -173,11 +173,13 @@ def link_classes(
     """Per document ``doc_id, n_shingles, component_id``.
 
     ``component_id`` is the least id reachable by links of Jaccard similarity of at least
-    ``percent`` / 100. ``leaf``: members outside the class of a region's pivot for which another
+    ``percent`` / 100, null if no row with an id is. ``leaf``: members outside the class of a region's pivot for which another
     pivot is tried, a few times, each time for four times as many.
     """
     cells = _cells(percent, longest)
-    texts = docs.select("doc_id", "text")
+    # Rows that share an id are told apart by their texts, and so are rows without one.
+    row = F.xxhash64(docs["doc_id"], docs["text"])
+    texts = docs.select("doc_id", "text", row.alias("row"))
 
     def numbered(batches):
         for batch in T.pieces(batches):
@@ -189,8 +191,9 @@ def link_classes(
                     pa.array([len(s) for s in found], pa.int64()),
                     T.signed(keys[:, 0].copy()),
                     T.signed(keys[:, 1].copy()),
+                    batch.column(2),
                 ],
-                ["doc_id", "n_shingles", "key", "key2"],
+                ["doc_id", "n_shingles", "key", "key2", "row"],
             )
 
     def regions(batches):
@@ -210,20 +213,22 @@ def link_classes(
     def sets_of(batches):
         for batch in T.pieces(batches):
             found = shingle_sets(batch.column(1), width)
+            keys = np.array([_keys(s)[0] for s in found], np.uint64)
             ends = np.concatenate([[0], np.cumsum([len(s) for s in found])]).astype(np.int32)
             held = np.concatenate([np.zeros(0, np.uint64), *found])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(2), pa.ListArray.from_arrays(pa.array(ends), T.signed(held))],
+                [T.signed(keys), pa.ListArray.from_arrays(pa.array(ends), T.signed(held))],
                 ["key", "shingles"],
             )
 
     known = stage(
-        texts.mapInArrow(numbered, "doc_id long, n_shingles long, key long, key2 long"), "sets"
+        texts.mapInArrow(numbered, "doc_id long, n_shingles long, key long, key2 long, row long"),
+        "sets",
     )
     classes = (
         known.filter("n_shingles > 0")
         .groupBy("key", "key2", "n_shingles")
-        .agg(F.min("doc_id").alias("first"))
+        .agg(F.min("doc_id").alias("first"), F.min("row").alias("row"))
     )
     placed = texts.mapInArrow(regions, "region long, key long")
     shared = stage(
@@ -237,10 +242,11 @@ def link_classes(
     members = stage(placed.join(shared, "region").distinct(), "regions")
     release(docs.sparkSession)
     wanted = members.select("key").distinct()
-    firsts = classes.join(wanted, "key").groupBy("key").agg(F.min("first").alias("doc_id"))
+    # One row for each key; the key is taken from the row's own text again.
+    firsts = classes.join(wanted, "key").groupBy("key").agg(F.min("row").alias("row"))
     sets = stage(
-        texts.join(firsts, "doc_id")
-        .select("doc_id", "text", "key")
+        texts.select("text", "row")
+        .join(firsts, "row", "left_semi")
         .mapInArrow(sets_of, "key long, shingles array<long>")
         .dropDuplicates(["key"]),
         "shingles",

@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tabloom.llm import jaccard
 
 SHAPE = "doc_id long, text string, source string"
 
@@ -15,6 +16,22 @@ def texts(n, size=60):
     return [" ".join(word() for _ in range(size)) for _ in range(n)]
 
 
+def test_sets_are_those_of_their_own_texts(spark):
+    # Twelve texts share id 100, six have no id; each has a near copy with an id of its own.
+    made = texts(19)
+    rows = [(100 if i < 12 else None, t, "s") for i, t in enumerate(made[:18])]
+    rows += [(i, t + " more", "s") for i, t in enumerate(made[:18])]
+    # Near copies of which none has an id.
+    rows += [(None, made[18], "s"), (None, made[18] + " more", "s")]
+    docs = spark.createDataFrame(rows, SHAPE).repartition(5)
+    found = sorted(
+        ((r.doc_id, r.component_id) for r in jaccard.link_classes(docs).collect()), key=str
+    )
+    expected = [(100, i) for i in range(12)] + [(None, i) for i in range(12, 18)]
+    expected += [(i, i) for i in range(18)] + [(None, None)] * 2
+    assert found == sorted(expected, key=str)
+
+
 def test_clean_rows_of_an_id_outlive_its_near_copies(spark):
     made = texts(40)
     rows = [(5, made[0] + " more", "copy"), (5, made[1], "clean"), (3, made[0], "first")]
