@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import decontaminate, jaccard, katz, mixing, neighbours, private_data, quality, substrings, toxicity, url_lists
+from tabloom.llm import audit, decontaminate, jaccard, katz, mixing, neighbours, private_data, quality, substrings, toxicity, url_lists
 from tabloom.llm.registry import query, table
 
 
@@ -236,3 +236,50 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         toxicity.toxic(F.col("score")).alias("predicted"),
     )
+
+
+_PERMUTATIONS = """
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+orders as (
+  select a.x || b.x || c.x || d.x || e.x as o
+  from letters a, letters b, letters c, letters d, letters e
+  where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5)"""
+
+
+@query(rf"""
+with {_PERMUTATIONS.strip()},
+t as (
+  select doc_id, coalesce(text, '') as text, coalesce(source, '') as part,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w,
+         min(doc_id) over (partition by coalesce(text, '')) as first
+  from documents),
+l as (select doc_id, max(quality) as quality, max(toxic) as toxic from labels group by doc_id),
+f as (
+  select part, coalesce(quality = 1, false) as good, coalesce(toxic = 1, false) as toxic,
+         case when len(w) < 200 then 'A' else '' end
+         || case when 100 * len(list_distinct(w)) < 50 * len(w) then 'B' else '' end
+         || case when 100 * len(regexp_extract_all(text, '[A-Z]')) > 2 * length(text)
+            then 'C' else '' end
+         || case when regexp_matches(text, '[#$%&*|]') then 'D' else '' end
+         || case when doc_id > first then 'E' else '' end as fails
+  from t left join l using (doc_id)),
+c as (
+  select part, fails, count(*) as n, count(*) filter (good) as good, count(*) filter (toxic) as toxic
+  from f group by part, fails),
+s as (
+  select part, o, step, o[step] as x, fails, n, good, toxic, contains(fails, o[step]) as own,
+         len(translate(fails, o[1:step - 1], '')) < len(fails) as earlier
+  from c, orders, (select unnest(range(1, 6)) as step)),
+r as (
+  select part, o as filter_order, step::int as step, x,
+         coalesce(sum(n) filter (not own and not earlier), 0)::bigint as kept,
+         coalesce(sum(n) filter (own and not earlier), 0)::bigint as removed,
+         coalesce(sum(n) filter (own and earlier), 0)::bigint as redundant,
+         coalesce(sum(n) filter (fails = x), 0)::bigint as unique_fails,
+         coalesce(sum(good) filter (own and not earlier), 0)::bigint as good_lost,
+         coalesce(sum(toxic) filter (own and not earlier), 0)::bigint as toxic_lost
+  from s group by part, o, step, x)
+select * exclude (x), (sum(removed) over (partition by part, x))::bigint as shapley from r
+""")
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.five_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
