@@ -15,6 +15,7 @@ besides ``doc_id``, ``text`` and the part pass unread, whatever their names.
 from __future__ import annotations
 
 import itertools
+import json
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -102,9 +103,9 @@ def _steps(names: str) -> Column:
         text = "".join(names[k] for k in order)
         for step, k in enumerate(order, 1):
             before = sum(1 << x for x in order[: step - 1])
-            fields = (text, "filter_order"), (step, "step"), (1 << k, "bit"), (before, "before")
-            made.append(F.struct(*[F.lit(v).alias(n) for v, n in fields]))
-    return F.array(*made)
+            made.append({"filter_order": text, "step": step, "bit": 1 << k, "before": before})
+    kind = "array<struct<filter_order string, step int, bit int, before int>>"
+    return F.from_json(F.lit(json.dumps(made)), kind)
 
 
 def _sum(condition, value) -> Column:
