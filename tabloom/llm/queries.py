@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import audit, decontaminate, jaccard, katz, mixing, neighbours, private_data, quality, substrings, toxicity, url_lists
+from tabloom.llm import audit, decontaminate, jaccard, katz, mixing, neighbours, private_data, quality, runs, site_tree, substrings, toxicity, url_lists
 from tabloom.llm.registry import query, table
 
 
@@ -283,3 +283,96 @@ select * exclude (x), (sum(removed) over (partition by part, x))::bigint as shap
 """)
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.five_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def _changed(docs: DataFrame) -> DataFrame:
+    """A tenth of the documents, drawn by their ids, repeat themselves from some word on."""
+    drawn = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    split = F.split("text", r"[\x20\x09-\x0D]+")
+    n = F.size(F.filter(split, lambda w: w != ""))
+    some = F.greatest(n, F.lit(1))
+    g = F.floor(drawn / 10)
+    start = (g % some).cast("int")
+    period = (F.floor((n - start) / (g % 8 + 3)) + 1).cast("int")
+    repeated = runs.repeat_from(F.col("text"), start, period)
+    text = F.when((drawn % 10 == 0) & (n > 0), repeated).otherwise(F.col("text"))
+    return docs.select("doc_id", text.alias("text"))
+
+
+_CRC32 = """
+xor(4294967295::bigint, list_reduce(
+  list_prepend(4294967295::bigint, list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint)),
+  lambda acc, b: list_reduce(
+    list_prepend(xor(acc, b), range(8)),
+    lambda v, k: case when v & 1 = 1 then xor(v >> 1, 3988292384::bigint) else v >> 1 end)))"""
+
+
+@query(rf"""
+with o as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w,
+         {_CRC32.strip()} as h
+  from documents),
+c as (
+  select doc_id, w, len(w) as n, h % 10 = 0 and len(w) > 0 as changed, h // 10 as g,
+         (h // 10) % greatest(len(w), 1) as a
+  from o),
+e as (select *, 1 + (n - a) // (3 + g % 8) as p from c),
+d as (
+  select doc_id, n, case when changed then list_transform(
+    range(n), lambda i: w[1 + case when i >= a then a + (i - a) % p else i end]) else w end as w
+  from e),
+g as (
+  select doc_id, n, i, array_to_string(w[i + 1:i + 6], ' ') as x
+  from (select doc_id, n, w, unnest(range(n - 5)) as i from d where n >= 12)),
+m as (
+  select a.doc_id, a.i, a.i - b.i as lag
+  from g a join g b on a.doc_id = b.doc_id and a.x = b.x and a.i > b.i and 2 * (a.i - b.i) <= a.n),
+s as (
+  select doc_id, lag, min(i) - lag as start, count(*) + 5 + lag as length
+  from (select *, i - row_number() over (partition by doc_id, lag order by i) as island from m)
+  group by doc_id, lag, island
+  having count(*) + 5 >= greatest(12 - lag, lag)),
+r as (select doc_id, start, length, min(lag) as period from s group by doc_id, start, length),
+z as (
+  select doc_id, count(*) as n_runs,
+         list({{'start': start, 'length': length, 'period': period}}
+              order by length desc, start, period)[1] as first,
+         string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period) as t
+  from r group by doc_id),
+gone as (select distinct doc_id, unnest(range(start + period, start + length)) as k from r),
+kept as (
+  select doc_id, string_agg(x, ' ' order by k) as t
+  from (select doc_id, unnest(w) as x, generate_subscripts(w, 1) - 1 as k from d)
+  anti join gone using (doc_id, k) group by doc_id)
+select doc_id, coalesce(n_runs, 0)::bigint as n_runs, first.start::bigint as start,
+       first.length::bigint as length, first.period::bigint as period,
+       (1000 * first.length // first.period)::bigint as exponent_milli,
+       sha256(coalesce(z.t, '')) as runs_sha256, sha256(coalesce(kept.t, '')) as collapsed_sha256
+from d left join z using (doc_id) left join kept using (doc_id)
+""")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.collapse(_changed(table(spark, sf_dir, "documents")))
+    held = F.col("runs")
+    described = F.transform(
+        held, lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    )
+    ranked = F.transform(
+        held, lambda r: F.struct(r["length"], -r["start"], -r["period"], r.alias("run"))
+    )
+    first = F.array_max(ranked)["run"]
+    return found.select(
+        "doc_id",
+        F.size(held).cast("long").alias("n_runs"),
+        first["start"].alias("start"),
+        first["length"].alias("length"),
+        first["period"].alias("period"),
+        F.floor(first["length"] * 1000 / first["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(described, lambda t: F.concat(t, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query()
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = site_tree.extract(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
