@@ -141,7 +141,7 @@ def _kind(tag: str, attributes: str, inside: int) -> tuple[str, int]:
     for key, value in _NAMES.findall(attributes):
         names.setdefault(key.lower(), references.unescape(value.strip("\"'")).split())
     said = [*names.get("class", ()), *names.get("id", ())]
-    signature = re.sub(r"\d+", "0", f"{tag} {' '.join(sorted(said))}").strip()
+    signature = re.sub(r"\d{3,}", "0", f"{tag} {' '.join(sorted(said))}").strip()
     roles = [r.lower() for r in names.get("role", ())]
     if tag == "main" or "main" in roles:
         return signature, MAIN
