@@ -176,7 +176,7 @@ class Page:
         self.blocks: list[tuple[int, int, str]] = []
         self.above: dict[int, tuple[int, ...]] = {}
         self.styles: set[tuple[int, int]] = set()
-        self._open = [_Open("", 0, (), PLAIN)]
+        self._open = [_Open("", 0, (0,), PLAIN)]
         self._tags: Counter[str] = Counter()
         self._buffer: list[str] = []
         self._read(text)
