@@ -2,103 +2,55 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabloom.operators.ranges import totals_above
+
 MULTICLASS_METRICS = ("accuracy", "f1", "weightedPrecision", "weightedRecall")
 BINARY_METRICS = ("areaUnderROC", "areaUnderPR")
 REGRESSION_METRICS = ("rmse", "mse", "mae", "r2")
 SMALLER_IS_BETTER = ("rmse", "mse", "mae")
-# Rows with scores in one range, which one task sorts.
-ROWS_PER_RANGE = 100_000
+# Classes of a confusion matrix, which are its columns.
+MOST_CLASSES = 1000
 
 
 def larger_is_better(metric: str) -> bool:
     return metric.removeprefix("train_").removeprefix("test_") not in SMALLER_IS_BETTER
 
 
-def _score_buckets(scored: DataFrame) -> DataFrame:
-    """Add ``bucket``: ranges of the score that hold similar numbers of rows."""
-    # As many ranges as the rows fill, so that the window of a range stays as long as it is.
-    parts = max(2, -(-scored.count() // ROWS_PER_RANGE))
-    places = [i / parts for i in range(1, parts)]
-    cuts = scored.approxQuantile("score", places, 1 / (4 * parts))
-    inner = sorted({c for c in cuts if math.isfinite(c)}) or [0.0]
-    bucketizer = Bucketizer(
-        splits=[-float("inf"), *inner, float("inf")],
-        inputCol="score",
-        outputCol="bucket",
-        handleInvalid="keep",
-    )
-    return bucketizer.transform(scored).withColumn("bucket", F.col("bucket").cast("int"))
-
-
 def binary(
     df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = ()
 ) -> DataFrame:
     """``areaUnderROC, areaUnderPR``, exact, by the trapezoid rule over all scores.
 
     One row, or one per combination of the ``by`` columns. Rows are first summed up per
-    distinct score. Running totals over the sorted scores are then built range by range:
-    totals of the (few) score ranges give each range its start, and the ranges are summed up
-    independently. Labels above 0.5 are positive. Rows without label or score have no place
-    on a curve and are left out.
+    distinct score, in the only pass over them. Running totals over the sorted scores are then
+    built in ranges of scores, and ranges of ranges where scores are crowded. Labels above 0.5
+    are positive. Rows without label or score have no place on a curve and are left out.
     """
+    positive = F.when(F.col(label) > 0.5, 1).otherwise(0)
     scored = df.select(
         *by,
-        F.when(F.col(label) > 0.5, 1).otherwise(0).alias("positive"),
+        positive.alias("positive"),
         F.col(score).cast("double").alias("score"),
         F.col(label).isNotNull().alias("labelled"),
     ).filter(F.col("labelled") & F.col("score").isNotNull())
-    place = [*by, "bucket"]
-    bucketed = _score_buckets(scored)
-    per_score = (
-        bucketed.groupBy(*place, "score")
-        .agg(
-            F.sum("positive").alias("pos"),
-            (F.count(F.lit(1)) - F.sum("positive")).alias("neg"),
-        )
-    )
-    # At most one row per score range, and group; summed before the shuffle.
-    ranges = bucketed.groupBy(*place).agg(
-        F.sum("positive").alias("rp"), (F.count(F.lit(1)) - F.sum("positive")).alias("rn")
-    )
-    group = Window.partitionBy(*by)
-    above = group.orderBy(F.col("bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    starts = ranges.select(
-        *place,
-        F.coalesce(F.sum("rp").over(above), F.lit(0)).alias("start_pos"),
-        F.coalesce(F.sum("rn").over(above), F.lit(0)).alias("start_neg"),
-        F.sum("rp").over(group).cast("double").alias("all_pos"),
-        F.sum("rn").over(group).cast("double").alias("all_neg"),
+    per_score = scored.groupBy(*by, "score").agg(
+        F.sum("positive").alias("pos"),
+        (F.count(F.lit(1)) - F.sum("positive")).alias("neg"),
     )
-    within = (
-        Window.partitionBy(*place)
-        .orderBy(F.col("score").desc())
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    pos, neg = F.col("pos"), F.col("neg")
-    # Both sides are shuffled by range, which is what the window needs; nothing is broadcast.
-    running = per_score.join(starts.hint("shuffle_hash"), place).select(
-        *by,
-        "pos",
-        "neg",
-        "all_pos",
-        "all_neg",
-        (F.sum("pos").over(within) + F.col("start_pos")).alias("tp"),
-        (F.sum("neg").over(within) + F.col("start_neg")).alias("fp"),
-    )
-    tp, fp = F.col("tp"), F.col("fp")
-    precision = tp / (tp + fp)
-    before = F.try_divide(tp - pos, tp + fp - pos - neg)
-    roc_part = neg * (2 * tp - pos) / 2
+    running = totals_above(per_score, "score", {"tp": "pos", "fp": "neg"}, by)
+    # True and false positives above the score, and with it.
+    pos, neg, tp, fp = (F.col(c) for c in ("pos", "neg", "tp", "fp"))
+    precision = (tp + pos) / (tp + fp + pos + neg)
+    before = F.try_divide(tp, tp + fp)
+    roc_part = neg * (2 * tp + pos) / 2
     pr_part = pos * (precision + F.coalesce(before, precision)) / 2
-    positives, negatives = F.max("all_pos"), F.max("all_neg")
+    positives, negatives = F.sum("pos").cast("double"), F.sum("neg").cast("double")
     return running.groupBy(*by).agg(
         F.try_divide(F.sum(roc_part), positives * negatives).alias("areaUnderROC"),
         F.try_divide(F.sum(pr_part), positives).alias("areaUnderPR"),
@@ -126,13 +78,16 @@ def confusion_matrix(
     """One row per class, one column ``predicted_{class}`` per class.
 
     Without ``classes``, they are all that occur as label or prediction, and every one has a row
-    and a column. With ``classes``, the columns are these, and the rows the classes that are true.
+    and a column; more than ``MOST_CLASSES`` are an error, and ``confusion`` lists them as rows.
+    With ``classes``, the columns are these, and the rows the classes that are true.
     """
     if classes is None:
         cells = confusion(df, label, prediction)
         named = cells.select(F.col("label").alias("class")).union(cells.select("prediction"))
         found = named.filter("class is not null").distinct()
-        classes = sorted(r["class"] for r in found.collect())
+        classes = sorted(r["class"] for r in found.limit(MOST_CLASSES + 1).collect())
+        if len(classes) > MOST_CLASSES:
+            raise ValueError(f"more than {MOST_CLASSES} classes; use confusion()")
         table = confusion_matrix(df, classes, label, prediction)
         counts = [
             F.coalesce(F.col(f"`predicted_{c}`"), F.lit(0)).alias(f"predicted_{c}") for c in classes
@@ -148,10 +103,8 @@ def confusion_matrix(
     return confusion(df, label, prediction).groupBy("label").agg(*counts)
 
 
-def _per_class(
-    df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()
-) -> DataFrame:
-    """``class, tp, support, predicted`` out of the confusion table, by one more grouping."""
+def _per_class(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``class, tp, support, predicted`` out of a confusion table, by one more grouping."""
     cell = F.col("count")
     hit = F.when(F.col("label") == F.col("prediction"), cell).otherwise(0)
     none = F.lit(0).cast("bigint")
@@ -170,8 +123,7 @@ def _per_class(
         ),
     )
     return (
-        confusion(df, label, prediction, by)
-        .select(*by, F.inline(sides))
+        cells.select(*by, F.inline(sides))
         .groupBy(*by, "class")
         .agg(
             F.sum("tp").alias("tp"),
@@ -181,12 +133,10 @@ def _per_class(
     )
 
 
-def _class_rates(
-    df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()
-) -> DataFrame:
+def _class_rates(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     tp, support, predicted = F.col("tp"), F.col("support"), F.col("predicted")
     zero = F.lit(0.0)
-    return _per_class(df, label, prediction, by).select(
+    return _per_class(cells, by).select(
         *by,
         "class",
         "tp",
@@ -207,13 +157,18 @@ def multiclass(
 
     One row, or one per combination of the ``by`` columns.
     """
+    return of_confusion(confusion(df, label, prediction, by), by)
+
+
+def of_confusion(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The metrics of ``multiclass`` from a table of ``confusion``."""
     rows = F.sum("support")
 
     def weighted(column: str):
         return F.try_divide(F.sum(F.col(column) * F.col("support")), rows)
 
     return (
-        _class_rates(df, label, prediction, by)
+        _class_rates(cells, by)
         .groupBy(*by)
         .agg(
             F.try_divide(F.sum("tp").cast("double"), rows).alias("accuracy"),
@@ -228,7 +183,7 @@ def classification_report(
     df: DataFrame, label: str = "label", prediction: str = "prediction"
 ) -> DataFrame:
     """``class, precision, recall, f1, support`` per class, then accuracy and averages."""
-    rates = _class_rates(df, label, prediction)
+    rates = _class_rates(confusion(df, label, prediction))
     per_class = rates.select(
         F.col("class").cast("string").alias("class"), "precision", "recall", "f1", "support"
     )

@@ -302,7 +302,7 @@ class Trainer:
         needed = _columns_of(list(estimators.values()), train)
         with (
             training_rows(train.select(*needed)) as ready,
-            training_rows(test.select(*needed)) as held_out,
+            cached(test.select(*needed)) as held_out,
         ):
             for name, estimator in estimators.items():
                 begin = time.monotonic()

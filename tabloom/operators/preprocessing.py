@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.functions import is_missing
+from tabloom.operators.categories import CategoryEncoder, CategoryIndexer
 from tabloom.operators.quantiles import order_statistics
 from tabloom.operators.stages import Saved, column_param
 
@@ -109,11 +110,16 @@ class PipelineBuilder:
         return self
 
     def add_string_indexer(
-        self, input_cols: Sequence[str], handle_invalid: str = "keep"
+        self, input_cols: Sequence[str], handle_invalid: str = "keep", as_table: bool = False
     ) -> PipelineBuilder:
-        """``{c}`` to ``{c}_indexed``, the most frequent value first; one job for all."""
+        """``{c}`` to ``{c}_indexed``, the most frequent value first; one job for all.
+
+        With ``as_table`` the labels are kept as tables and never come to the driver, for
+        columns with very many of them; the numbers are the same.
+        """
+        indexer = CategoryIndexer if as_table else StringIndexer
         self._stages.append(
-            StringIndexer(
+            indexer(
                 inputCols=list(input_cols),
                 outputCols=[f"{c}_indexed" for c in input_cols],
                 handleInvalid=handle_invalid,
@@ -122,11 +128,12 @@ class PipelineBuilder:
         return self
 
     def add_one_hot_encoder(
-        self, input_cols: Sequence[str], handle_invalid: str = "keep"
+        self, input_cols: Sequence[str], handle_invalid: str = "keep", as_table: bool = False
     ) -> PipelineBuilder:
-        """``{c}_indexed`` to ``{c}_encoded``."""
+        """``{c}_indexed`` to ``{c}_encoded``; with ``as_table``, without a name for each slot."""
+        encoder = CategoryEncoder if as_table else OneHotEncoder
         self._stages.append(
-            OneHotEncoder(
+            encoder(
                 inputCols=[f"{c}_indexed" for c in input_cols],
                 outputCols=[f"{c}_encoded" for c in input_cols],
                 handleInvalid=handle_invalid,

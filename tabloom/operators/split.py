@@ -2,20 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
+from functools import reduce
 from itertools import accumulate
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tabloom.functions import hash_bucket
+from tabloom.functions import hash_bucket, key_digest, quoted
+from tabloom.workspace import stage
 
 # A hash split cuts the 32 bits of the hash, so shares are exact to this part of a whole.
 RESOLUTION = 1 << 32
-# Partitions of training rows, where the session does not name a number.
+# Partitions of training rows, where the session does not name a number: at least so many, of so
+# many bytes; vectors, often sparse, count as no more than their share.
 TRAINING_SETTING, TRAINING_PARTITIONS = "spark.tabloom.trainingPartitions", 16
+PARTITION_BYTES, MOST_VECTOR_BYTES = 64 << 20, 4096
+# Hex digits of a key's hash, and how many are looked at in a step: 4096 slots.
+DIGITS, STEP = 32, 3
+# Equal rows that may stand in one partition.
+SAME_ROWS = 1000
 
 
 def random_split(df: DataFrame, weights: Sequence[float], seed: int = 42) -> list[DataFrame]:
@@ -30,14 +41,24 @@ def hash_split(
 
     Each part is a filter on the scan, without a shuffle.
     """
+    ends, bucket = _ends(weights), hash_bucket(key, RESOLUTION)
+    return [
+        df.filter((bucket >= low) & (bucket < high)) for low, high in zip([0, *ends], ends)
+    ]
+
+
+def _ends(weights: Sequence[float]) -> list[int]:
     total = sum(weights)
     ends = [round(w / total * RESOLUTION) for w in accumulate(weights)]
     if any(low >= high for low, high in zip([0, *ends], ends)):
         raise ValueError(f"a share of {list(weights)} is too small to get any row")
+    return ends
+
+
+def hash_part(key: str | Sequence[str], weights: Sequence[float]) -> Column:
+    """Number of the part of ``hash_split`` that a row is in."""
     bucket = hash_bucket(key, RESOLUTION)
-    return [
-        df.filter((bucket >= low) & (bucket < high)) for low, high in zip([0, *ends], ends)
-    ]
+    return F.array_size(F.array_compact(F.array(*[F.when(bucket >= e, 1) for e in _ends(weights)])))
 
 
 def hash_fold(key: str | Sequence[str], folds: int) -> Column:
@@ -58,6 +79,67 @@ def sample_classes(
     return df.sampleBy(label, fractions, seed)
 
 
+def sample_classes_exact(
+    df: DataFrame,
+    label: str,
+    fractions: Mapping[object, float] | DataFrame,
+    key: str | Sequence[str],
+) -> DataFrame:
+    """Exactly ``round(fraction * rows)`` rows of every class, by the order of a key's hash.
+
+    The same rows on every run and layout. ``fractions`` may be a table ``label, fraction``, for
+    any number of classes; classes without one, and rows without a label, are left out. The hash
+    that cuts a class is searched for in all classes at once: rows are counted by class and the
+    first digits of the hash, then, in the slot where the cut of the class is, by the next ones.
+    The passes are three over ``df`` and a few over what is left in these slots. The key has to
+    tell rows apart where a class is cut.
+    """
+    spark, kind = df.sparkSession, df.schema[label].dataType
+    if not isinstance(fractions, DataFrame):
+        shape = T.StructType([T.StructField("__label", kind), T.StructField("fraction", T.DoubleType())])
+        rows = [(k, float(f)) for k, f in fractions.items()]
+        shares = spark.createDataFrame(rows, shape)
+    else:
+        shares = fractions.select(F.col("label").cast(kind).alias("__label"), F.col("fraction").cast("double"))
+    outside = (F.col("fraction") < 0) | (F.col("fraction") > 1) | F.isnan("fraction")
+    shares = stage(shares.dropna().withColumn("fraction", F.when(outside, F.raise_error(F.lit("a fraction is not within 0 and 1")).cast("double")).otherwise(F.col("fraction"))), "class-shares")
+    digest = key_digest(key).alias("__digest")
+    play = df.select(quoted(label).alias("__label"), digest).join(shares.select("__label"), "__label")
+    cut, found = F.col("__cut"), []
+    want = shares.select("__label", "fraction")
+    for at in range(1, DIGITS + 1, STEP):
+        slots = play.groupBy("__label", F.substring("__digest", 1, at + STEP - 1).alias("__cut")).agg(
+            F.count(F.lit(1)).alias("n")
+        )
+        of_class = Window.partitionBy("__label")
+        before = of_class.orderBy("__cut").rowsBetween(Window.unboundedPreceding, -1)
+        slots = slots.withColumns(
+            {"all": F.sum("n").over(of_class), "before": F.coalesce(F.sum("n").over(before), F.lit(0))}
+        ).join(want, "__label")
+        left = F.floor(F.col("fraction") * F.col("all") + 0.5) if at == 1 else F.col("left")
+        here = slots.withColumn("left", left - F.col("before"))
+        here = here.filter((F.col("left") > 0) & (F.col("left") <= F.col("n")))
+        here = stage(here.select("__label", "__cut", "left", "n"), "class-cuts")
+        found.append(here.filter("left = n").select("__label", "__cut"))
+        open_ = here.filter("left < n")
+        if open_.isEmpty():
+            break
+        want = open_.select("__label", "left")
+        inside = open_.select("__label", "__cut")
+        play = stage(
+            play.join(inside, "__label")
+            .filter(F.substring("__digest", 1, at + STEP - 1) == cut)
+            .drop("__cut"),
+            "class-rows",
+        )
+    else:
+        raise ValueError(f"{key} does not tell the rows of a class apart")
+    cuts = stage(reduce(DataFrame.unionByName, found), "class-cuts")
+    taken = df.withColumn("__digest", digest).join(cuts, quoted(label) == F.col("__label"))
+    taken = taken.filter(F.expr("left(__digest, length(__cut)) <= __cut"))
+    return taken.select(*[quoted(c) for c in df.columns])
+
+
 @contextmanager
 def cached(*frames: DataFrame):
     """Keep DataFrames in memory or on disk while the block runs."""
@@ -69,17 +151,75 @@ def cached(*frames: DataFrame):
             frame.unpersist()
 
 
+def _width(field: T.StructField) -> Column:
+    """About how many bytes a value takes, told by its type where that can be."""
+    column, kind = quoted(field.name), field.dataType
+    if isinstance(kind, T.StringType):
+        return F.coalesce(F.octet_length(column), F.lit(0)) + 8
+    if isinstance(kind, T.BinaryType):
+        return F.coalesce(F.length(column), F.lit(0)) + 8
+    if isinstance(kind, VectorUDT):
+        slots = field.metadata.get("ml_attr", {}).get("num_attrs", 32)
+        return F.lit(min(8 * slots, MOST_VECTOR_BYTES))
+    if isinstance(kind, T.ArrayType):
+        return F.coalesce(F.size(column), F.lit(0)) * 8 + 8
+    return F.lit(8)
+
+
+def training_partitions(df: DataFrame) -> int:
+    """The setting's number, else what the rows fill in parts of ``PARTITION_BYTES``."""
+    named = df.sparkSession.conf.get(TRAINING_SETTING, None)
+    if named:
+        return int(named)
+    width = reduce(lambda a, b: a + b, [_width(f).cast("long") for f in df.schema.fields], F.lit(0).cast("long"))
+    size = df.agg(F.sum(width)).first()[0] or 0
+    return max(TRAINING_PARTITIONS, math.ceil(size / PARTITION_BYTES))
+
+
+def _copies(df: DataFrame, n: str, step: int = 10_000) -> DataFrame:
+    """Each row as often as its ``n`` says, with ``__copy`` from 0; no task makes too many."""
+    steps = df.withColumn("__step", F.explode(F.sequence(F.lit(0), ((F.col(n) - 1) / step).cast("long"))))
+    dealt = steps.repartition(F.xxhash64(*[quoted(c) for c in steps.columns]))
+    first = F.col("__step") * step
+    made = F.sequence(first, F.least(first + step, F.col(n)) - 1)
+    return dealt.withColumn("__copy", F.explode(made)).drop("__step", n)
+
+
+def even_rows(df: DataFrame, partitions: int) -> DataFrame:
+    """The rows in ``partitions`` even parts that depend on their values only.
+
+    Rows are dealt by the hash of their values, and equal rows, of which a part should not hold
+    too many, by their number among their copies too: they are counted, where they are, and
+    made again, so none of them meet before they are dealt.
+    """
+    names = [quoted(c) for c in df.columns]
+    place = F.xxhash64(*names)
+    counted = df.groupBy(place.alias("__place")).agg(F.count(F.lit(1)).alias("__n"))
+    many = stage(counted.filter(F.col("__n") > SAME_ROWS), "same-rows")
+    rows = df.withColumn("__place", place)
+    if many.isEmpty():
+        return df.repartition(partitions, place).sortWithinPartitions(place)
+    few = rows.join(many.select("__place"), "__place", "left_anti").withColumn("__copy", F.lit(0).cast("long"))
+    copied = rows.join(many.select("__place"), "__place", "left_semi").drop("__place")
+    copied = copied.groupBy(*names).agg(F.count(F.lit(1)).alias("__n"))
+    made = _copies(copied, "__n").withColumn("__place", place)
+    whole = few.select(*names, "__place", "__copy").unionByName(made)
+    dealt = F.xxhash64("__place", "__copy")
+    return (
+        whole.repartition(partitions, dealt)
+        .sortWithinPartitions(dealt, "__place")
+        .select(*names)
+    )
+
+
 @contextmanager
 def training_rows(df: DataFrame):
     """Keep rows that are read many times, laid out so that a fit is the same on any cluster.
 
-    Rows are dealt by the hash of their values to as many partitions as the setting
-    ``spark.tabloom.trainingPartitions`` says (16 if unset), and stand in order of it. Seeded
-    samples of trees and sums of gradients then follow the rows and that number, not the cores or
-    the files. For large data, set the number so that a partition fits into an executor.
+    Rows are dealt by their values to as many partitions as their bytes fill, or as the setting
+    ``spark.tabloom.trainingPartitions`` says, and stand in order of a hash. Seeded samples of
+    trees and sums of gradients then follow the rows alone, not the cores or the files. Copies
+    of one row are spread as all others are.
     """
-    conf = df.sparkSession.conf
-    n = int(conf.get(TRAINING_SETTING, str(TRAINING_PARTITIONS)))
-    place = F.xxhash64(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns])
-    with cached(df.repartition(n, place).sortWithinPartitions(place)) as even:
+    with cached(even_rows(df, training_partitions(df))) as even:
         yield even

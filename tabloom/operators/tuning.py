@@ -18,9 +18,11 @@ from pyspark.ml.tuning import (
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabloom.functions import quoted
+from tabloom.operators import fold_sums
 from tabloom.operators.preprocessing import with_estimator
 from tabloom.operators.scoring import keep_all_rows
-from tabloom.operators.split import cached, hash_fold, hash_split, training_rows
+from tabloom.operators.split import cached, hash_fold, hash_part, hash_split, training_rows
 from tabloom.sources import runlog
 
 
@@ -70,23 +72,35 @@ def cross_validate(
     """Cross-validation; the preprocessing is fitted inside every fold, once.
 
     With ``fold_key`` the folds follow the hash of a row key, else a seeded hash of the whole
-    row. ``fold_scores`` of the result holds the scores by fold and combination.
+    row. ``fold_scores`` of the result holds the scores by fold and combination. Where a model
+    follows from sums by fold, one pass gives the scores of all folds and combinations.
     """
-    names = [F.col("`" + c.replace("`", "``") + "`") for c in data.columns]
-    whole_row = F.pmod(F.xxhash64(F.lit(seed), *names), F.lit(folds))
+    whole_row = F.pmod(F.xxhash64(F.lit(seed), *[quoted(c) for c in data.columns]), F.lit(folds))
     fold = whole_row if fold_key is None else hash_fold(fold_key, folds)
-    with training_rows(data.withColumn("__fold", fold.cast("int"))) as rows:
-        scores = []
-        for i in range(folds):
-            rest = rows.filter(F.col("__fold") != i).drop("__fold")
-            held_out = rows.filter(F.col("__fold") == i).drop("__fold")
-            scores.append(
-                _fit_all(model, grid, rest, held_out, evaluator, preprocessing, parallelism)
-            )
+    folded = data.withColumn("__fold", fold.cast("int"))
+    summed = fold_sums.scores(
+        model, grid, folded, evaluator, preprocessing, "__fold", list(range(folds))
+    )
+
+    def chosen(scores: list[list[float]]) -> dict:
         means = [statistics.fmean(s) for s in zip(*scores)]
-        spread = [statistics.pstdev(s) for s in zip(*scores)]
-        best = grid[best_index(means, evaluator.isLargerBetter())]
-        fitted = with_estimator(preprocessing, model).fit(rows.drop("__fold"), best)
+        return grid[best_index(means, evaluator.isLargerBetter())]
+
+    estimator = with_estimator(preprocessing, model)
+    if summed is not None:
+        scores, fitted = summed, estimator.fit(data, chosen(summed))
+    else:
+        with training_rows(folded) as rows:
+            scores = []
+            for i in range(folds):
+                rest = rows.filter(F.col("__fold") != i).drop("__fold")
+                held_out = rows.filter(F.col("__fold") == i).drop("__fold")
+                scores.append(
+                    _fit_all(model, grid, rest, held_out, evaluator, preprocessing, parallelism)
+                )
+            fitted = estimator.fit(rows.drop("__fold"), chosen(scores))
+    means = [statistics.fmean(s) for s in zip(*scores)]
+    spread = [statistics.pstdev(s) for s in zip(*scores)]
     search = CrossValidatorModel(fitted, means, None, spread)
     search._set(numFolds=folds)
     search.fold_scores = scores
@@ -117,8 +131,14 @@ def train_validation(
         )
         with training_rows(data) as rows:
             return search.fit(rows)
+    shares = [train_ratio, 1 - train_ratio]
+    folded = data.withColumn("__fold", hash_part(split_key, shares))
+    summed = fold_sums.scores(model, grid, folded, evaluator, preprocessing, "__fold", [0, 1])
+    if summed is not None:
+        best = grid[best_index(summed[1], evaluator.isLargerBetter())]
+        return TrainValidationSplitModel(estimator.fit(data, best), summed[1])
     with training_rows(data) as rows:
-        train, validation = hash_split(rows, split_key, [train_ratio, 1 - train_ratio])
+        train, validation = hash_split(rows, split_key, shares)
         scores = _fit_all(model, grid, train, validation, evaluator, preprocessing, parallelism)
         best = grid[best_index(scores, evaluator.isLargerBetter())]
         return TrainValidationSplitModel(estimator.fit(rows, best), scores)

@@ -102,6 +102,40 @@ def sample_by_class(spark, sf):
     return split.sample_classes(_events(spark, sf), "event_type", fractions)
 
 
+@query("""
+with f as (select unnest(['click', 'error', 'view']) as event_type,
+                  unnest([0.5, 1.0, 0.1]) as fraction),
+r as (select event_id, event_type, value,
+             row_number() over (partition by event_type order by md5(event_id::varchar)) as place,
+             count(*) over (partition by event_type) as n
+      from events)
+select event_id, event_type, value from r join f using (event_type)
+where place <= floor(fraction * n + 0.5)
+""")
+def sample_by_class_exact(spark, sf):
+    fractions = {"click": 0.5, "error": 1.0, "view": 0.1}
+    return split.sample_classes_exact(_events(spark, sf), "event_type", fractions, "event_id")
+
+
+@query("""
+with f as (select ps as l_partkey, 0.25 as fraction from (select distinct l_partkey as ps from lineitem)
+           where ps % 3 = 0),
+r as (select l_orderkey, l_linenumber, l_partkey,
+             row_number() over (partition by l_partkey
+               order by md5(l_orderkey::varchar || chr(1) || l_linenumber::varchar)) as place,
+             count(*) over (partition by l_partkey) as n
+      from lineitem)
+select l_orderkey, l_linenumber, l_partkey from r join f using (l_partkey)
+where place <= floor(fraction * n + 0.5)
+""")
+def sample_many_classes_exact(spark, sf):
+    """A quarter of the items of every third part."""
+    items = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    parts = items.filter("l_partkey % 3 = 0").select(F.col("l_partkey").alias("label")).distinct()
+    shares = parts.withColumn("fraction", F.lit(0.25))
+    return split.sample_classes_exact(items, "l_partkey", shares, ["l_orderkey", "l_linenumber"])
+
+
 def _orders(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
 

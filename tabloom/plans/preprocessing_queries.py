@@ -217,3 +217,29 @@ def prep_chain_minmax_median(spark, sf):
         ["l_quantity", "tax"], ["l_returnflag"], "median", "minmax", relative_error=0
     )
     return _slots(pipeline.fit(items).transform(items), "scaled_features", 6)
+
+
+@query("""
+with i as (select l_partkey as v,
+                  (row_number() over (order by count(*) desc, l_partkey::varchar) - 1)::double as idx
+           from lineitem group by 1)
+select l_orderkey, l_linenumber, idx as l_partkey_indexed from lineitem join i on l_partkey = v
+""")
+def prep_string_index_table(spark, sf):
+    """Many labels, numbered and kept as a table."""
+    items = table(spark, sf, "lineitem").select(*KEY, "l_partkey")
+    model = PipelineBuilder().add_string_indexer(["l_partkey"], as_table=True).build().fit(items)
+    return model.transform(items).select(*KEY, "l_partkey_indexed")
+
+
+@query(f"""
+with {ONE_HOT}
+select l_orderkey, l_linenumber, (i = 0)::int::double as f0, (i = 1)::int::double as f1,
+       (i = 2)::int::double as f2, 0.0::double as f3
+from lineitem join r on l_returnflag = v
+""")
+def prep_one_hot_table(spark, sf):
+    items = _items(spark, sf).select(*KEY, "l_returnflag")
+    builder = PipelineBuilder().add_string_indexer(["l_returnflag"], as_table=True)
+    pipeline = builder.add_one_hot_encoder(["l_returnflag"], as_table=True).build()
+    return _slots(pipeline.fit(items).transform(items), "l_returnflag_encoded", 4)

@@ -157,3 +157,34 @@ def test_tiny_shares_get_rows_or_raise(spark):
     assert 0 < parts[1].count() < 100
     with pytest.raises(ValueError):
         split.hash_split(spark.range(10), "id", [1.0, 1e-12])
+
+
+def test_exact_samples_of_classes(spark):
+    rows = [(i, f"c{i % 40}" if i % 3 else ("hot" if i % 2 else None)) for i in range(6000)]
+    df = spark.createDataFrame(rows, "id long, `c.x` string").repartition(6)
+    fractions = {f"c{k}": k / 40 for k in range(30)} | {"hot": 0.5, "none": 1.0}
+    found = split.sample_classes_exact(df, "c.x", fractions, "id")
+    assert found.columns == df.columns
+    kept = {tuple(r) for r in found.collect()}
+    assert kept <= set(rows)
+    sizes, totals = {}, {}
+    for _, c in rows:
+        totals[c] = totals.get(c, 0) + 1
+    for _, c in kept:
+        sizes[c] = sizes.get(c, 0) + 1
+    expected = {c: int(f * totals.get(c, 0) + 0.5) for c, f in fractions.items()}
+    assert sizes == {c: n for c, n in expected.items() if n}
+    again = split.sample_classes_exact(df.coalesce(1), "c.x", fractions, "id")
+    assert {tuple(r) for r in again.collect()} == kept
+
+
+def test_exact_samples_need_a_key_and_shares(spark):
+    df = spark.range(100).select((F.col("id") % 2).alias("k"), F.lit("a").alias("c"))
+    with pytest.raises(ValueError):
+        split.sample_classes_exact(df, "c", {"a": 0.3}, "k")
+    assert split.sample_classes_exact(df, "c", {"a": 0.5}, "k").count() == 50
+    assert split.sample_classes_exact(df, "c", {"a": 0.0}, "k").count() == 0
+    assert split.sample_classes_exact(df, "c", {}, "k").count() == 0
+    assert split.sample_classes_exact(df.limit(0), "c", {"a": 1.0}, "k").count() == 0
+    with pytest.raises(Exception, match="not within 0 and 1"):
+        split.sample_classes_exact(df, "c", {"a": 1.5}, "k").collect()
