@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _local_dirs: dict[str, str] = {}
 
 
@@ -38,10 +40,28 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tabloom/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def _shuffles_dropped(spark: SparkSession):
+    """Let Spark remove the shuffle files of what runs inside as soon as it has ended."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 def stage_path(df: DataFrame, name: str) -> str:
-    """Write ``df`` as a table in the shared folder; the path of it."""
+    """Write ``df`` as a table in the shared folder; the path of it.
+
+    The shuffles behind it are not kept, as the table stands for them from then on.
+    """
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with _shuffles_dropped(df.sparkSession):
+        df.write.parquet(path)
     return path
 
 
