@@ -36,7 +36,6 @@ from pyspark.sql import functions as F
 
 from tabloom.llm import text as T
 from tabloom.llm.graph import components
-from tabloom.llm.storage import release
 from tabloom.workspace import stage
 
 _SEEDS = 8
@@ -238,9 +237,7 @@ def link_classes(
         .select("region"),
         "shared",
     )
-    release(docs.sparkSession)
     members = stage(placed.join(shared, "region").distinct(), "regions")
-    release(docs.sparkSession)
     wanted = members.select("key").distinct()
     # One row for each key; the key is taken from the row's own text again.
     firsts = classes.join(wanted, "key").groupBy("key").agg(F.min("row").alias("row"))
@@ -251,7 +248,6 @@ def link_classes(
         .dropDuplicates(["key"]),
         "shingles",
     )
-    release(docs.sparkSession)
 
     links = _join(members, sets, percent, leaf)
     # From keys of sets to documents: classes of equal sets are linked by their least document.

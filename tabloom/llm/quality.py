@@ -89,7 +89,8 @@ class Ranker:
 
     def raw(self, x: np.ndarray) -> np.ndarray:
         z = np.clip((x - self.mean) / self.scale, -8, 8)
-        return np.concatenate([z, np.minimum(z**2, 16)], 1) @ self.weights
+        # Summed row by row: a matrix product would depend on the rows beside it.
+        return (np.concatenate([z, np.minimum(z**2, 16)], 1) * self.weights).sum(1)
 
     def score(self, x: np.ndarray) -> np.ndarray:
         if self.weights is None:
@@ -128,7 +129,10 @@ def fit_pairs(
 
 
 def fit(docs: DataFrame, labels: DataFrame, cut: float = 0.3, most: int = 20_000) -> Ranker:
-    """Learn from ``labels(doc_id, good)``, good being 0 or 1, and their texts in ``docs``."""
+    """Learn from ``labels(doc_id, good)``, good being 0 or 1, and their texts in ``docs``.
+
+    The bounded sample has at most ``most`` ids, and of each the row with the least hash of its text.
+    """
     agreed = (
         labels.filter("doc_id is not null and good is not null")
         .groupBy("doc_id")
@@ -145,14 +149,19 @@ def fit(docs: DataFrame, labels: DataFrame, cut: float = 0.3, most: int = 20_000
             held = pa.ListArray.from_arrays(
                 pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel())
             )
-            yield pa.RecordBatch.from_arrays([held, batch.column(1)], ["x", "good"])
+            columns = [held, *batch.columns[1:]]
+            yield pa.RecordBatch.from_arrays(columns, ["x", "good", "doc_id", "hash"])
 
-    # At most ``most`` rows of two numbers.
+    # At most ``most`` rows of two numbers are broadcast, and a row for each id comes back.
+    kind = docs.schema["doc_id"].dataType.simpleString()
     rows = (
         docs.select("doc_id", "text")
         .join(F.broadcast(agreed), F.col("doc_id") == F.col("_labelled"))
-        .select("text", "good")
-        .mapInArrow(compute, "x array<double>, good int")
+        .select("text", "good", "doc_id", F.xxhash64("text").alias("hash"))
+        .mapInArrow(compute, f"x array<double>, good int, doc_id {kind}, hash long")
+        .groupBy("doc_id")
+        .agg(F.min(F.struct("hash", "x", "good")).alias("least"))
+        .select("least.x", "least.good")
         .toArrow()
     )
     x = rows.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False)

@@ -7,13 +7,16 @@ words a window that moves half the bytes) to the bucket of their minimiser. Equa
 piece of text are merged before the shuffle and carry the list of their places. In the bucket,
 sorting finds the first document of every window.
 
-Windows are equal if their minimisers agree in 32 bits and their codes in 48. Rows of a bucket
-come sorted, so a string that stands in very many documents is streamed: only the different
+Windows are equal if their minimisers agree in 32 bits and their codes in 48: of n different
+windows, about n * n / 2 ** 81 pairs are taken for equal, one pair at a trillion windows or so. Rows
+of a bucket come sorted, so a string that stands in very many documents is streamed: only the different
 strings of one minimiser are held at a time.
 
 Defined results: a null or empty text has no words and keeps the empty string; shorter texts
 than a window lose nothing; rows repeated with the same id count as one document; documents
-with a null id are never first and lose what any numbered document holds too.
+with a null id are never first and lose what any numbered document holds too. Rows that share an
+id or have none are told apart by 64 bits of their text's hash. The greatest id of 64 bits stands
+for none.
 """
 
 from __future__ import annotations
@@ -26,11 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.llm import text as T
-from tabloom.llm.storage import release
 from tabloom.workspace import stage
 
 CODE_BYTES = 6
-_PLACE = np.dtype([("doc", "<i8"), ("row", "<i4"), ("at", "<i4")])
+_PLACE = np.dtype([("doc", "<i8"), ("row", "<i8"), ("at", "<i4")])
 _LAST = np.iinfo(np.int64).max
 
 
@@ -211,7 +213,7 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_windows(docs: DataFrame, width: int = 13, minimiser: int = 3) -> DataFrame:
     """Runs of repeated windows: ``doc``, ``row``, ``at`` (first word) and ``n`` (windows in it).
 
-    ``row`` is a hash of the text, which tells rows of one id apart.
+    ``row`` is a 64-bit hash of the text, which tells rows of one id apart.
     """
 
     def pack(batches):
@@ -219,13 +221,13 @@ def repeated_windows(docs: DataFrame, width: int = 13, minimiser: int = 3) -> Da
             if (found := _super_kmers(piece, width, minimiser)) is not None:
                 yield found
 
-    packed = docs.select("doc_id", "text", F.hash("text").alias("row")).mapInArrow(
+    packed = docs.select("doc_id", "text", F.xxhash64("text").alias("row")).mapInArrow(
         pack, "bucket int, packed binary, first_doc long, places binary"
     )
     return (
         packed.repartition("bucket")
         .sortWithinPartitions("bucket", "packed", "first_doc")
-        .mapInArrow(_repeats, "doc long, row int, at int, n int")
+        .mapInArrow(_repeats, "doc long, row long, at int, n int")
     )
 
 
@@ -236,13 +238,12 @@ def drop_repeats(docs: DataFrame, width: int = 13, minimiser: int = 3) -> DataFr
     are judged on the input. ``kept`` is the remaining words joined by one space.
     """
     repeated = stage(repeated_windows(docs, width, minimiser), "repeats")
-    release(docs.sparkSession)
     runs = (
         repeated.groupBy("doc", F.col("row").alias("_row"))
         .agg(F.collect_list(F.struct("at", "n")).alias("runs"))
     )
     texts = docs.select("doc_id", "text")
-    same = (F.coalesce("doc_id", F.lit(_LAST)) == F.col("doc")) & (F.hash("text") == F.col("_row"))
+    same = (F.coalesce("doc_id", F.lit(_LAST)) == F.col("doc")) & (F.xxhash64("text") == F.col("_row"))
     joined = texts.join(runs, same, "left").select("doc_id", "text", F.col("runs.at").alias("at"), F.col("runs.n").alias("n"))
 
     def cut(batches):

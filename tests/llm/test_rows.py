@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tabloom.llm import jaccard
+from tabloom.llm import jaccard, substrings
 
 SHAPE = "doc_id long, text string, source string"
 
@@ -41,3 +41,14 @@ def test_clean_rows_of_an_id_outlive_its_near_copies(spark):
     kept = corpus_pipeline.keep_one_of_near_copies(spark, docs, "")
     assert kept.columns == docs.columns
     assert sorted((r.text for r in kept.collect())) == sorted(made)
+
+
+def test_rows_of_equal_short_hashes_keep_their_own_words(spark):
+    """Texts without an id whose 32-bit hashes agree lose only what others hold."""
+    rows = spark.range(400_000).select(F.concat_ws(" ", *[F.concat(F.lit(f"w{k}x"), "id") for k in range(20)]).alias("text"))
+    twins = rows.groupBy(F.hash("text").alias("h")).agg(F.collect_list("text").alias("t")).filter("size(t) > 1").first()
+    assert twins is not None
+    one, other = twins.t[:2]
+    docs = spark.createDataFrame([(1, one), (None, one), (None, other)], "doc_id long, text string")
+    found = {(r.doc_id, r.kept == ""): r.n_removed for r in substrings.drop_repeats(docs).collect()}
+    assert found == {(1, False): 0, (None, True): 20, (None, False): 0}

@@ -85,6 +85,87 @@ def test_scores_of_odd_rows(spark, module, label):
     assert module.score(docs.filter("false"), model).collect() == []
 
 
+@pytest.mark.parametrize("module, label", [(quality, "good"), (toxicity, "toxic")])
+def test_scores_do_not_depend_on_the_rows_beside(spark, module, label):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh#!.") for _ in range(rng.randint(1, 9)))
+    rows = [(i, " ".join(word() for _ in range(rng.choice([0, 1, 5, 47, 48, 49, 200])))) for i in range(300)]
+    docs = frame(spark, rows)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], f"doc_id long, {label} int")
+    options = {} if module is quality else {"rounds": 2, "per_round": 512}
+    model = module.fit(docs, labels, **options)
+    found = [
+        sorted((r.doc_id, r.score) for r in module.score(docs.repartition(n), model).collect())
+        for n in (1, 3, 50)
+    ]
+    assert found[0] == found[1] == found[2]
+
+
+@pytest.mark.parametrize("module, label", [(quality, "good"), (toxicity, "toxic")])
+def test_sample_is_bounded_by_ids(spark, module, label):
+    """An id that very many rows hold gives one of them, the same whatever the layout."""
+    rows = [(1, f"one of many texts {i} of this id") for i in range(500)] + [(i, f"text {i} !") for i in range(2, 30)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], f"doc_id long, {label} int")
+    options = {} if module is quality else {"rounds": 1, "per_round": 256}
+    scores = []
+    for n in (2, 7):
+        docs = frame(spark, rows).repartition(n)
+        model = module.fit(docs, labels, **options)
+        scores.append(sorted(r.score for r in module.score(docs, model).collect()))
+    assert scores[0] == scores[1]
+    if module is toxicity:
+        small = module.fit(docs, labels, most_bytes=60, **options)
+        assert len({r.score for r in module.score(docs, small).collect()}) > 1
+
+
+def test_plain_scorers():
+    """Both scorers against plain Python, for fixed weights."""
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((20, 5)) * 4
+    ranker = quality.Ranker(x.mean(0), x.std(0), rng.standard_normal(10), 0.3, 1.0, 0.3)
+    for row, found in zip(x, ranker.score(x)):
+        z = [max(-8, min(8, (v - m) / s)) for v, m, s in zip(row, ranker.mean, ranker.scale)]
+        raw = sum(w * v for w, v in zip(ranker.weights, z + [min(v * v, 16) for v in z]))
+        assert found == pytest.approx(1 / (1 + math.exp(0.3 - raw - math.log(0.3 / 0.7))))
+
+    text = "You idiot go away you idiot and so on"
+    words = toxicity.Words(pa.array([text]))
+    net = toxicity.Network(words.hashes[::2], word=3, char=3, hidden=2)
+    for name, values in net.p.items():
+        if name[0] == "c" and name != "char":
+            values += np.arange(len(values)) / 9
+    sigmoid = lambda v: 1 / (1 + math.exp(-v))
+    tokens = brute.words(text, True)
+
+    def vector(word):
+        h = T.words_of(pa.array([word]), True)[0][0]
+        known = np.flatnonzero(net.vocabulary == h)
+        held = net.p["word"][known[0] if len(known) else -1]
+        one = toxicity.Words(pa.array([word]))
+        return [*held, *net.p["char"][one.trigrams].mean(0)]
+
+    def window(tokens):
+        states = []
+        for d, order in (("f", tokens), ("b", tokens[::-1])):
+            state, out = [0.0, 0.0], []
+            for token in order:
+                v, w, u, c = vector(token), net.p[f"w{d}"], net.p[f"u{d}"], net.p[f"c{d}"]
+                gate = lambda j, s: c[j] + sum(a * w[i][j] for i, a in enumerate(v)) + sum(a * u[i][j] for i, a in enumerate(s))
+                z = [sigmoid(gate(j, state)) for j in (0, 1)]
+                r = [sigmoid(gate(j, state)) for j in (2, 3)]
+                new = [math.tanh(gate(j, [a * b for a, b in zip(r, state)])) for j in (4, 5)]
+                state = [a * s + (1 - a) * n for a, s, n in zip(z, state, new)]
+                out.append(state)
+            states.append(out if d == "f" else out[::-1])
+        both = [a + b for a, b in zip(*states)]
+        energy = [math.exp(sum(a * b for a, b in zip(s, net.p["attend"]))) for s in both]
+        pooled = [sum(e * s[i] for e, s in zip(energy, both)) / sum(energy) for i in range(4)]
+        return sum(a * b for a, b in zip(pooled, net.p["out"])) + net.p["bias"][0]
+
+    expected = max(window(tokens[a : a + 4]) for a in range(0, len(tokens) - 2, 2))
+    assert net.raw(pa.array([text]), 4, 2)[0] == pytest.approx(expected, rel=1e-4)
+
+
 def test_gradients_of_the_network():
     texts = pa.array(["you idiot go away", "nice words in here", "", "so so"])
     words = toxicity.Words(texts)
