@@ -3,23 +3,23 @@
 Counting. Pieces of text are packed by bucket: the bigrams of a piece, merged and sorted by
 their first word, travel as columns in one row per bucket. A bucket is given by the first word
 and a slice of the second, so that the followers of a frequent word are split. From a bucket
-come the bigrams with at least ``min_count`` occurrences, the counts of first words (every
-token is the first word of one bigram, so these are the unigram counts), and counts of counts.
+come all its bigrams with their counts, the counts of first words (every token is the first word
+of one bigram, so these are the unigram counts), and counts of counts.
 
-Model. Good-Turing discounts for counts up to ``k``, from the counts of counts. Bigrams below
-``min_count`` are not kept, although Good-Turing would discount them; their mass goes to the backoff. With
-kept followers S of v: P(w|v) = d c(v,w) / c(v) for w in S, else alpha(v) P(w), where alpha(v) =
-(1 - sum over S of P(w|v)) / (1 - sum over S of P(w)), so that the sum over all words is 1.
-Unseen words are one class, which gets the mass that discounting leaves. Tables are written
-partitioned by word: ``words`` (v, c, alpha, log P) and ``bigrams`` (v, w, gain).
+Model. Good-Turing discounts for counts up to ``k``, from the counts of counts; bigrams that
+stand once are kept and discounted as all others. With the followers S of v: P(w|v) = d c(v,w) /
+c(v) for w in S, else alpha(v) P(w), where alpha(v) = (1 - sum over S of P(w|v)) / (1 - sum over S
+of P(w)), so that the sum over all words is 1. Unseen words are one class, which gets the mass
+that discounting leaves. Tables are written partitioned by word: ``words`` (v, c, alpha, log P, and
+log of what v's followers are divided by) and ``bigrams`` (v, w, discounted count, P(w)).
 
 Scoring. log P(text) = sum of log P(w) over tokens, plus log alpha(v) for each bigram that is
-not kept, plus log P(w|v) - log P(w) for each that is. The last two are known where the followers
+not known, plus log P(w|v) - log P(w) for each that is. The last two are known where the followers
 of v are, the first where w is the first word of the next bigram; so each token travels once.
 The followers of words frequent in the corpus (at most 1/share of them exist) are split.
 
-Defined results: a null or empty text is the end token alone; rows repeated with the same id
-are scored as rows of their own and counted twice in training; without training rows every
+Defined results: a null or empty text is the end token alone; rows, also of one id or without
+any, are scored each by their own text, and all counted in training; without training rows every
 token is unseen.
 """
 
@@ -39,8 +39,8 @@ from tabloom.workspace import stage
 START, END = np.uint64(1), np.uint64(2)
 _LOW48 = np.uint64((1 << 48) - 1)
 _SLICES, _HOT_SLICES = np.uint64(16), np.uint64(256)
-_NO_ID = -(1 << 63)
 _BATCH_BYTES = 10 << 20
+_TOKEN_BYTES = 6
 
 
 def _tokens(batch: pa.RecordBatch, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -145,41 +145,36 @@ def _counted(buckets: int):
     return count
 
 
-def _merged(min_count: int):
-    """A bucket's bigrams: kind 0 kept bigrams (v, w, n), 1 first words (v, n), 2 counts of counts."""
-
-    def merge(table: pa.Table) -> pa.Table:
-        v, w, n = [], [], []
-        for runs, firsts, seconds, times in zip(
-            *[table.column(c).to_pylist() for c in ("runs", "v", "w", "n")]
-        ):
-            v.append(np.repeat(np.frombuffer(firsts, np.uint64), _from_small(runs)))
-            w.append(_from_six(seconds))
-            n.append(_from_small(times))
-        v, w, n = np.concatenate(v), np.concatenate(w), np.concatenate(n)
-        order, begins = _groups(w, v)
-        total = np.add.reduceat(n[order], begins)
-        v, w = v[order][begins], w[order][begins]
-        firsts = np.flatnonzero(np.append(True, v[1:] != v[:-1]))
-        sums = np.add.reduceat(total, firsts)
-        kept = total >= min_count
-        sizes, types = np.unique(total, return_counts=True)
-        few = sizes <= 20
-        parts = [
-            (0, v[kept], w[kept], total[kept]),
-            (1, v[firsts], np.zeros(len(firsts), np.uint64), sums),
-            (2, np.zeros(few.sum(), np.uint64), sizes[few].astype(np.uint64), types[few]),
-        ]
-        return pa.table(
-            {
-                "kind": pa.array(np.concatenate([np.full(len(p[1]), p[0], np.int8) for p in parts])),
-                "v": T.signed(np.concatenate([p[1] for p in parts])),
-                "w": T.signed(np.concatenate([p[2] for p in parts])),
-                "n": pa.array(np.concatenate([p[3] for p in parts]).astype(np.int64)),
-            }
-        )
-
-    return merge
+def _merged(table: pa.Table) -> pa.Table:
+    """A bucket's bigrams: kind 0 bigrams (v, w, n), 1 first words (v, n), 2 counts of counts."""
+    v, w, n = [], [], []
+    for runs, firsts, seconds, times in zip(
+        *[table.column(c).to_pylist() for c in ("runs", "v", "w", "n")]
+    ):
+        v.append(np.repeat(np.frombuffer(firsts, np.uint64), _from_small(runs)))
+        w.append(_from_six(seconds))
+        n.append(_from_small(times))
+    v, w, n = np.concatenate(v), np.concatenate(w), np.concatenate(n)
+    order, begins = _groups(w, v)
+    total = np.add.reduceat(n[order], begins)
+    v, w = v[order][begins], w[order][begins]
+    firsts = np.flatnonzero(np.append(True, v[1:] != v[:-1]))
+    sums = np.add.reduceat(total, firsts)
+    sizes, types = np.unique(total, return_counts=True)
+    few = sizes <= 20
+    parts = [
+        (0, v, w, total),
+        (1, v[firsts], np.zeros(len(firsts), np.uint64), sums),
+        (2, np.zeros(few.sum(), np.uint64), sizes[few].astype(np.uint64), types[few]),
+    ]
+    return pa.table(
+        {
+            "kind": pa.array(np.concatenate([np.full(len(p[1]), p[0], np.int8) for p in parts])),
+            "v": T.signed(np.concatenate([p[1] for p in parts])),
+            "w": T.signed(np.concatenate([p[2] for p in parts])),
+            "n": pa.array(np.concatenate([p[3] for p in parts]).astype(np.int64)),
+        }
+    )
 
 
 def discounts(types: dict[int, int], k: int) -> list[float]:
@@ -210,15 +205,20 @@ class Katz:
         return found[0] if found else self.unseen
 
 
-def fit(docs: DataFrame, min_count: int = 2, k: int = 5, share: float = 1e-3) -> Katz:
-    """Count all rows of ``docs(text)`` and write the model's tables."""
+def fit(docs: DataFrame, k: int = 5, share: float = 1e-3, bucket_tokens: int = 3 << 20) -> Katz:
+    """Count all rows of ``docs(text)`` and write the model's tables.
+
+    Texts are dealt to buckets of about ``bucket_tokens``, so that a task's part does not grow
+    with the input.
+    """
     spark = docs.sparkSession
-    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    buckets = max(64, size // (_TOKEN_BYTES * bucket_tokens) + 1)
     counted = stage(
         docs.select("text")
         .mapInArrow(_counted(buckets), "bucket long, v binary, runs binary, w binary, n binary")
         .groupBy("bucket")
-        .applyInArrow(_merged(min_count), "kind byte, v long, w long, n long"),
+        .applyInArrow(_merged, "kind byte, v long, w long, n long"),
         "counts",
     )
     followers = counted.filter("kind = 0").select("v", "w", "n")
@@ -247,10 +247,12 @@ def fit(docs: DataFrame, min_count: int = 2, k: int = 5, share: float = 1e-3) ->
     by_code = (
         p.groupBy(F.col("v").bitwiseAND(int(_LOW48)).alias("w")).agg(F.sum("p").alias("p"))
     )
-    scaled = followers.join(by_code, "w").withColumn("_c", discounted(F.col("n"), d2))
-    per_word = scaled.groupBy("v").agg(
-        F.sum("_c").alias("_kept"), F.sum("p").alias("_below")
+    # Few different values of c and p, which Parquet keeps as numbers of a dictionary.
+    bigrams = stage(
+        followers.join(by_code, "w").select("v", "w", discounted(F.col("n"), d2).alias("c"), "p"),
+        "katz-bigrams",
     )
+    per_word = bigrams.groupBy("v").agg(F.sum("c").alias("_kept"), F.sum("p").alias("_below"))
     # START is the first word of as many bigrams as there are ends.
     starts = spark.createDataFrame([(int(START), n_docs)], "v long, n long").filter("n > 0")
     histories = (
@@ -270,19 +272,16 @@ def fit(docs: DataFrame, min_count: int = 2, k: int = 5, share: float = 1e-3) ->
         p.withColumn("log_p", F.log10("p"))
         .select("v", "n", "log_p")
         .join(histories, "v", "full_outer")
-        .select("v", "n", "log_p", "alpha", "_all")
+        .select("v", "n", "log_p", "alpha", F.log10("_all").alias("whole"))
     )
     words = stage(rows, "katz-words")
-    bigrams = stage(
-        scaled.join(words.select("v", "_all"), "v").select(
-            "v", "w", F.log10(F.col("_c") / F.col("_all") / F.col("p")).cast("float").alias("gain")
-        ),
-        "katz-bigrams",
-    )
     hot = [r["v"] for r in words.filter(F.col("n") >= max(1.0, n * share)).select("v").collect()]
     return Katz(words, bigrams, n, n_types, n_docs, unseen, [*hot, int(START)])
 
 
+_TABLE = ["bucket", "v", "w", "n", "x", "alpha", "whole"]
+
+
 def _slices_of(v: np.ndarray, hot: np.ndarray) -> np.ndarray:
     return np.where(np.isin(v, hot), _HOT_SLICES, np.uint64(1))
 
@@ -307,7 +306,7 @@ def _tables(model: Katz, hot: np.ndarray, buckets: int) -> DataFrame:
             _, one = np.unique(np.stack([bucket, v[at].view(np.int64)]), axis=1, return_index=True)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(bucket[one]), *[c.take(pa.array(at[one])) for c in batch.columns]],
-                ["bucket", "v", "w", "n", "x", "alpha"],
+                _TABLE,
             )
 
     def bigrams(batches):
@@ -315,20 +314,22 @@ def _tables(model: Katz, hot: np.ndarray, buckets: int) -> DataFrame:
             v, w = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
             bucket = _bucket_of(v, w, _slices_of(v, hot), buckets)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket), *batch.columns], ["bucket", "v", "w", "n", "x", "alpha"]
+                [pa.array(bucket), *batch.columns], _TABLE
             )
 
-    shape = "bucket long, v long, w long, n long, x float, alpha float"
-    none = F.lit(None).cast("float")
+    shape = "bucket long, v long, w long, n long, x double, alpha double, whole double"
+    none = F.lit(None).cast("double")
     by_word = model.words.select(
         "v",
         F.lit(0).cast("long").alias("w"),
         F.coalesce("n", F.lit(0)).cast("long").alias("n"),
-        F.col("log_p").cast("float").alias("x"),
-        F.coalesce("alpha", F.lit(0.0)).cast("float").alias("alpha"),
+        F.col("log_p").alias("x"),
+        F.coalesce("alpha", F.lit(0.0)).alias("alpha"),
+        F.coalesce("whole", F.lit(0.0)).alias("whole"),
     )
+    gain = F.log10(F.col("c") / F.col("p"))
     by_pair = model.bigrams.select(
-        "v", "w", F.lit(-1).cast("long").alias("n"), F.col("gain").alias("x"), none.alias("alpha")
+        "v", "w", F.lit(-1).cast("long").alias("n"), gain.alias("x"), none.alias("alpha"), none.alias("whole")
     )
     return by_word.mapInArrow(words, shape).union(by_pair.mapInArrow(bigrams, shape))
 
@@ -347,12 +348,14 @@ def _scored(unseen: float):
 
     def evaluate(asked: pa.Table, table: pa.Table) -> pa.Table:
         v, w, n = (table.column(c).to_numpy() for c in ("v", "w", "n"))
-        x, alpha = (table.column(c).to_numpy().astype(np.float64) for c in ("x", "alpha"))
+        x, alpha, whole = (
+            table.column(c).to_numpy().astype(np.float64) for c in ("x", "alpha", "whole")
+        )
         v, w = v.view(np.uint64), w.view(np.uint64)
         is_word = n >= 0
         order = np.argsort(v[is_word])
         words = v[is_word][order]
-        counts, log_p, back = (y[is_word][order] for y in (n, x, alpha))
+        counts, log_p, back, over = (y[is_word][order] for y in (n, x, alpha, whole))
         pair = T.mix(v[~is_word]) ^ w[~is_word]
         order = np.argsort(pair)
         pairs, gains = pair[order], x[~is_word][order]
@@ -372,9 +375,11 @@ def _scored(unseen: float):
             own = np.where(count > 0, log_p[at] if len(words) else 0.0, unseen) * is_token
             base = np.log10(count + 0.1) * is_token
             behind = np.where(known, back[at] if len(words) else 0.0, 0.0)
+            divided = np.where(known, over[at] if len(words) else 0.0, 0.0)
             of_pair = np.repeat(np.arange(len(firsts)), runs)
             at, kept = _find(pairs, T.mix(firsts)[of_pair] ^ _from_six(seconds))
-            step = np.where(kept, gains[at] if len(pairs) else 0.0, behind[of_pair])
+            gain = (gains[at] if len(pairs) else 0.0) - divided[of_pair]
+            step = np.where(kept, gain, behind[of_pair])
             of_token = np.repeat(np.arange(len(of_pair)), times)
             word = of_pair[of_token]
             sums = [
@@ -401,9 +406,13 @@ def _scored(unseen: float):
 def score(docs: DataFrame, model: Katz, bucket_tokens: int = 3 << 20) -> DataFrame:
     """Per document ``doc_id, n_tokens, n_known, base_score, score`` under ``model``.
 
-    ``base_score`` sums log10((c + 0.1) / (N + 0.1 (V + 1))) over the tokens. Rows that repeat an
-    id are one document: their tokens add up.
+    ``base_score`` sums log10((c + 0.1) / (N + 0.1 (V + 1))) over the tokens. One row for every row
+    of ``docs``: rows of equal id and text share what is summed for them.
     """
+    # Told apart by id and text; equal ones are summed up together and share the sums.
+    row = F.xxhash64("doc_id", "text")
+    rows = docs.select("doc_id", row.alias("row"))
+    copies = rows.groupBy("row").agg(F.count(F.lit(1)).alias("copies"))
     hot = np.sort(np.array(model.hot, np.int64).view(np.uint64))
     # Buckets for the whole table at a few million tokens each, as the model's counts tell.
     per_doc = model.n / model.n_ends if model.n_ends else 100.0
@@ -412,8 +421,7 @@ def score(docs: DataFrame, model: Katz, bucket_tokens: int = 3 << 20) -> DataFra
     def request(batches):
         for batch in _large(batches):
             v, w, row = _tokens(batch, 1)
-            ids = batch.column(0).fill_null(_NO_ID).to_numpy(zero_copy_only=False)
-            ids = ids.astype(np.int64)
+            ids = batch.column(0).to_numpy()
             w = w & _LOW48
             bucket = _bucket_of(v, w, _slices_of(v, hot), buckets)
             order = np.lexsort((row, w, v, bucket))
@@ -434,7 +442,7 @@ def score(docs: DataFrame, model: Katz, bucket_tokens: int = 3 << 20) -> DataFra
                 ["bucket", "v", "runs", "w", "n", "rows", "ids"],
             )
 
-    asked = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+    asked = docs.select(row.alias("row"), "text").mapInArrow(
         request,
         "bucket long, v binary, runs binary, w binary, n binary, rows binary, ids binary",
     )
@@ -446,14 +454,19 @@ def score(docs: DataFrame, model: Katz, bucket_tokens: int = 3 << 20) -> DataFra
             "doc long, n_tokens long, n_known long, base double, log_p double",
         )
     )
-    sums = shares.groupBy("doc").agg(
+    sums = shares.groupBy(F.col("doc").alias("row")).agg(
         *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "log_p")],
     )
+    each = sums.join(copies, "row").select(
+        "row",
+        *[(F.col(c) / F.col("copies")).cast("long").alias(c) for c in ("n_tokens", "n_known")],
+        *[(F.col(c) / F.col("copies")).alias(c) for c in ("base", "log_p")],
+    )
     # The end token is no first word; a document has one.
     end_log = model.end_log()
     per_token = math.log10(model.n + 0.1 * (model.n_types + 1))
-    return sums.select(
-        F.when(F.col("doc") != _NO_ID, F.col("doc")).alias("doc_id"),
+    return rows.join(each, "row").select(
+        "doc_id",
         "n_tokens",
         (F.col("n_known") + int(model.n_ends > 0)).alias("n_known"),
         (F.col("base") + math.log10(model.n_ends + 0.1) - F.col("n_tokens") * per_token).alias(

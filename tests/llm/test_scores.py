@@ -203,7 +203,7 @@ def test_windows_cover_every_word():
     assert (size >= 0).all() and set(text) == set(range(5))
 
 
-def katz_of(docs, train, min_count=2, k=5):
+def katz_of(docs, train, k=5):
     """log10 probability of texts by the plain definition."""
     counts, pairs, n = collections.Counter(), collections.Counter(), 0
     for i in train:
@@ -221,8 +221,7 @@ def katz_of(docs, train, min_count=2, k=5):
     unseen = 1 - mass / whole
     kept = collections.defaultdict(dict)
     for (v, w), c in pairs.items():
-        if c >= min_count:
-            kept[v][w] = less(c, d2)
+        kept[v][w] = less(c, d2)
     model = {}
     for v, held in kept.items():
         c = n if v == "<s>" else counts[v]
@@ -272,6 +271,12 @@ def test_katz_of_odd_rows(spark):
     for i, (n, known, base, log) in expected.items():
         assert (found[i].n_tokens, found[i].n_known) == (n, known)
         assert found[i].base_score == pytest.approx(base) and found[i].score == pytest.approx(log, rel=1e-5)
+    # One row each for rows that share an id, have none, or are equal.
+    again = [(1, "a b c"), (1, "d e"), (1, "d e"), (None, "a"), (None, None), (None, "a"), (1, None)]
+    scored = katz.score(frame(spark, again), model).collect()
+    expected, _ = katz_of(held | {f"x{j}": brute.words(t, True) + ["</s>"] for j, (_, t) in enumerate(again)}, list(held))
+    listed = sorted((str(i), *expected[f"x{j}"][:2], round(expected[f"x{j}"][3], 3)) for j, (i, _) in enumerate(again))
+    assert sorted((str(r.doc_id), r.n_tokens, r.n_known, round(r.score, 3)) for r in scored) == listed
     nothing = katz.fit(docs.filter("false"))
     assert nothing.n == 0
     assert all(r.n_known == 0 and r.base_score == 0 for r in katz.score(docs, nothing).collect())
