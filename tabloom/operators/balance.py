@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.functions import hash_order
+from tabloom.functions import hash_order, quoted
 from tabloom.operators.quantiles import order_statistics
 
 # Copies of a row that one task makes, and parts a row is cut into when there are more.
@@ -26,11 +26,11 @@ def class_extremes(df: DataFrame, label: str) -> DataFrame:
 
     Among equal counts the first label is the majority and the last one the minority.
     """
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.groupBy(quoted(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
     return counts.agg(
-        F.min_by(F.col(label), F.struct(-F.col("n"), F.col(label))).alias("majority"),
+        F.min_by("label", F.struct(-F.col("n"), F.col("label"))).alias("majority"),
         F.max("n").alias("majority_count"),
-        F.max_by(F.col(label), F.struct(-F.col("n"), F.col(label))).alias("minority"),
+        F.max_by("label", F.struct(-F.col("n"), F.col("label"))).alias("minority"),
         F.min("n").alias("minority_count"),
         F.count(F.lit(1)).alias("classes"),
     )
@@ -67,7 +67,7 @@ def _check(mode: str, key) -> None:
 
 
 def _is(label: str, value: object) -> Column:
-    return F.col(label).eqNullSafe(F.lit(value))
+    return quoted(label).eqNullSafe(F.lit(value))
 
 
 def _repeat(df: DataFrame, copies: Column, most: int) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReader,
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.functions import valid_number
+from tabloom.functions import quoted, valid_number
 from tabloom.operators.quantiles import exact_quantiles
 from tabloom.operators.stages import Saved, column_param
 from tabloom.workspace import stage_path
@@ -45,7 +45,7 @@ def _operation(name: str):
 
 def interaction(df: DataFrame, left: str, right: str, operation: str = "multiply") -> DataFrame:
     """Add ``{left}_{operation}_{right}``."""
-    value = _operation(operation)(F.col(left), F.col(right))
+    value = _operation(operation)(quoted(left), quoted(right))
     return df.withColumn(f"{left}_{operation}_{right}", value)
 
 
@@ -54,7 +54,7 @@ def polynomial(df: DataFrame, column: str, degree: int = 2) -> DataFrame:
     if degree < 2:
         return df
     return df.withColumns(
-        {f"{column}_pow_{d}": F.pow(F.col(column), F.lit(d)) for d in range(2, degree + 1)}
+        {f"{column}_pow_{d}": F.pow(quoted(column), F.lit(d)) for d in range(2, degree + 1)}
     )
 
 
@@ -73,13 +73,16 @@ def binned(
     output = f"{column}_binned"
     if method == "quantile" and relative_error > 0:
         discretizer = QuantileDiscretizer(
-            inputCol=column,
-            outputCol=output,
+            inputCol="__in",
+            outputCol="__out",
             numBuckets=num_bins,
             relativeError=relative_error,
             handleInvalid="keep",
         )
-    elif method == "quantile":
+        named = df.withColumn("__in", quoted(column))
+        found = discretizer.fit(named).transform(named)
+        return found.withColumn(output, F.col("__out")).drop("__in", "__out")
+    if method == "quantile":
         discretizer = ExactQuantileBins(inputCol=column, outputCol=output, numBins=num_bins)
     elif method == "equal_width":
         discretizer = EqualWidthBins(inputCol=column, outputCol=output, numBins=num_bins)
@@ -146,11 +149,14 @@ class BinModel(Saved, Model):
         source, target = self.getOrDefault("inputCol"), self.getOrDefault("outputCol")
         splits = self.getOrDefault("splits")
         if len(splits) > 2:
+            # Spark's stage takes no dots in names, so it works on a column of its own.
             bucketizer = Bucketizer(
-                splits=splits, inputCol=source, outputCol=target, handleInvalid="keep"
+                splits=splits, inputCol="__in", outputCol="__out", handleInvalid="keep"
             )
-            return bucketizer.transform(df)
-        number = F.col(source).cast("double")
+            found = bucketizer.transform(df.withColumn("__in", quoted(source)))
+            about = found.schema["__out"].metadata
+            return found.withColumn(target, F.col("__out").alias(target, metadata=about)).drop("__in", "__out")
+        number = quoted(source).cast("double")
         single = F.when(F.isnan(number), 1.0).when(number.isNotNull(), 0.0)
         return df.withColumn(target, single)
 
@@ -179,7 +185,7 @@ class EqualWidthBins(_Bins):
     """Bins of equal width between minimum and maximum of the training data."""
 
     def _inner_splits(self, df: DataFrame, column: str, bins: int) -> list[float]:
-        number = valid_number(F.col(column))
+        number = valid_number(quoted(column))
         low, high = df.agg(F.min(number), F.max(number)).first()
         if low is None:
             raise ValueError(f"column {column} has no values")
@@ -220,9 +226,9 @@ class GroupAggFeatures(_GroupParams, Saved, Estimator):
 
     def _fit(self, df: DataFrame) -> GroupAggFeaturesModel:
         group, value = self.getOrDefault("groupCol"), self.getOrDefault("valueCol")
-        table = df.groupBy(group).agg(
+        table = df.groupBy(quoted(group)).agg(
             *[
-                AGGREGATES[f](value).alias(f"{group}_{value}_{f}")
+                AGGREGATES[f](quoted(value)).alias(f"{group}_{value}_{f}")
                 for f in self.getOrDefault("functions")
             ]
         )
@@ -252,12 +258,13 @@ class GroupAggFeaturesModel(_GroupParams, Saved, Model):
 
     def _transform(self, df: DataFrame) -> DataFrame:
         group = self.getOrDefault("groupCol")
-        if not self.getOrDefault("nullSafe"):
-            return df.join(self.table, on=group, how="left")
         table = self.table.withColumnRenamed(group, "__group")
-        joined = df.join(table, F.col(group).eqNullSafe(F.col("__group")), "left")
+        same = quoted(group).eqNullSafe(F.col("__group"))
+        if not self.getOrDefault("nullSafe"):
+            same = quoted(group) == F.col("__group")
+        joined = df.join(table, same, "left")
         rest = [c for c in joined.columns if c not in (group, "__group")]
-        return joined.select(group, *rest)
+        return joined.select(quoted(group), *[quoted(c) for c in rest])
 
     def write(self) -> MLWriter:
         return _GroupTableWriter(self)

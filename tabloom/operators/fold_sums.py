@@ -207,9 +207,13 @@ def _own(model, grid: Sequence[Mapping]) -> bool:
     return all(p.parent == model.uid for params in grid for p in params)
 
 
-def _rows(model, data: DataFrame, preprocessing: Pipeline | None, fold: str) -> DataFrame:
-    for stage in [] if preprocessing is None else preprocessing.getStages():
-        data = stage.transform(data)
+def _rows(
+    model, data: DataFrame, preprocessing: Pipeline | None, fold: str, folds: Sequence[int]
+) -> DataFrame:
+    if preprocessing is not None:
+        # Every fold fits it, as in the general search; no stage learns, so all are the same.
+        fitted = [preprocessing.fit(data.filter(quoted(fold) != i)) for i in folds]
+        data = fitted[0].transform(data)
     return data.select(
         quoted(fold).cast("int").alias("fold"),
         vector_to_array(quoted(model.getFeaturesCol())).alias("features"),
@@ -258,7 +262,7 @@ def line_scores(
     )
     if not (fits and _plain(preprocessing) and _same_columns(model, evaluator)):
         return None
-    rows = _rows(model, data, preprocessing, fold)
+    rows = _rows(model, data, preprocessing, fold, folds)
     width = _width(rows)
     if not 0 < width <= MOST_FEATURES:
         return None
@@ -333,7 +337,7 @@ def bayes_scores(
     )
     if not (fits and _plain(preprocessing) and _same_columns(model, evaluator)):
         return None
-    rows = _rows(model, data, preprocessing, fold)
+    rows = _rows(model, data, preprocessing, fold, folds)
     width = _width(rows)
     if not 0 < width <= MOST_SUMS:
         return None

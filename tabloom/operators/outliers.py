@@ -9,6 +9,7 @@ from pyspark.ml.param import TypeConverters
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabloom.functions import quoted
 from tabloom.operators.quantiles import quantiles
 from tabloom.operators.stages import Saved, column_param
 
@@ -82,7 +83,7 @@ class IQROutlierModel(_OutlierParams, Saved, Model):
     def _transform(self, df: DataFrame) -> DataFrame:
         mode = self.getOrDefault("mode")
         fences = [
-            (name, F.col(name), F.lit(low), F.lit(high))
+            (name, quoted(name), F.lit(low), F.lit(high))
             for name, low, high in zip(
                 self.getOrDefault("inputCols"),
                 self.getOrDefault("lower"),

@@ -18,7 +18,7 @@ from pyspark.ml.param import TypeConverters
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.functions import is_missing
+from tabloom.functions import is_missing, quoted
 from tabloom.operators.categories import CategoryEncoder, CategoryIndexer
 from tabloom.operators.quantiles import order_statistics
 from tabloom.operators.stages import Saved, column_param
@@ -39,7 +39,7 @@ class MedianImputer(_MedianParams, Saved, Estimator):
         columns = self.getOrDefault("inputCols")
         found = order_statistics(
             df,
-            [F.col(c) for c in columns],
+            [quoted(c) for c in columns],
             lambda i, n: [max(1, math.ceil(0.5 * n))],
             [0.5],
         )
@@ -67,7 +67,7 @@ class FillModel(_MedianParams, Saved, Model):
         return df.withColumns(
             {
                 target: F.when(is_missing(df, source), F.lit(fill))
-                .otherwise(F.col(source))
+                .otherwise(quoted(source))
                 .cast(df.schema[source].dataType)
                 for source, target, fill in columns
             }

@@ -60,9 +60,9 @@ def _text_aggregates(texts: Sequence[str]) -> list[Column]:
     aggregates = []
     for i, name in enumerate(texts):
         aggregates += [
-            F.count(name).alias(f"t{i}_count"),
-            F.min(name).alias(f"t{i}_min"),
-            F.max(name).alias(f"t{i}_max"),
+            F.count(quoted(name)).alias(f"t{i}_count"),
+            F.min(quoted(name)).alias(f"t{i}_min"),
+            F.max(quoted(name)).alias(f"t{i}_max"),
         ]
     return aggregates
 
@@ -214,9 +214,9 @@ def report(df: DataFrame, categorical: Sequence[str] = (), approx: bool = False)
 
 def class_distribution(df: DataFrame, label: str) -> DataFrame:
     """Rows and share of every label value."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("count"))
+    counts = df.groupBy(quoted(label)).agg(F.count(F.lit(1)).alias("count"))
     total = counts.agg(F.sum("count"))
-    return counts.select(label, "count", (F.col("count") / total.scalar()).alias("share"))
+    return counts.select(quoted(label), "count", (F.col("count") / total.scalar()).alias("share"))
 
 
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = 50) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.functions import valid_number
+from tabloom.functions import quoted, valid_number
 
 # Distinct values listed on the driver in the last step of an exact search.
 LISTED_VALUES = 50_000
@@ -218,7 +218,7 @@ def exact_quantiles(
     """Smallest value whose share of values up to it reaches each probability."""
     found = order_statistics(
         df,
-        [F.col(c) for c in columns],
+        [quoted(c) for c in columns],
         lambda i, n: [max(1, math.ceil(p * n)) for p in probabilities],
         probabilities,
     )
@@ -236,7 +236,7 @@ def interpolated_quantiles(
         places = [p * (n - 1) for p in probabilities]
         return [r + 1 for place in places for r in (math.floor(place), math.ceil(place))]
 
-    found = order_statistics(df, [F.col(c) for c in columns], ranks, probabilities)
+    found = order_statistics(df, [quoted(c) for c in columns], ranks, probabilities)
     result = []
     for i, stats in enumerate(found):
         values = []
@@ -259,5 +259,6 @@ def quantiles(
     A column without values gives an empty list.
     """
     if relative_error > 0:
-        return df.approxQuantile(list(columns), list(probabilities), relative_error)
+        named = df.select(*[quoted(c).alias(f"q{i}") for i, c in enumerate(columns)])
+        return named.approxQuantile(named.columns, list(probabilities), relative_error)
     return exact_quantiles(df, columns, probabilities)

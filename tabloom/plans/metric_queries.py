@@ -1,6 +1,7 @@
 """Evaluation and residual diagnostics, over scores that a plain rule gives."""
 
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -249,6 +250,37 @@ def compare_results(spark, sf):
     )
 
 
+@query(f"""
+with {RULES}
+select model as run_name, 'rules' as experiment, round(auc, 6) as "test_areaUnderROC",
+       round(acc, 6) as test_accuracy, round(rmse, 6) as test_rmse
+from a
+""")
+def runlog_concurrent(spark, sf):
+    """Writers append at once, each twice under its own name, and the log is compacted between."""
+    path = new_path(spark, "run-log")
+    rules = _rules(spark, sf)
+
+    def write(name):
+        alone = metrics.stack_models({name: rules[name]}, ["label", "score", "prediction"])
+        tables = [
+            metrics.binary(alone, by=["model"]).select("model", "areaUnderROC"),
+            metrics.multiclass(alone, by=["model"]).select("model", "accuracy"),
+            metrics.regression(alone, by=["model"]).select("model", "rmse"),
+        ]
+        rows = [runlog.metric_entries(t, "model", "rules", "test_") for t in tables]
+        return runlog.append(reduce(DataFrame.unionByName, rows), path, f"rule-{name}")
+
+    with ThreadPool(len(rules)) as pool:
+        pool.map(write, rules)
+        runlog.compact(spark, path)
+        pool.map(write, rules)
+    columns = ["test_areaUnderROC", "test_accuracy", "test_rmse"]
+    return runlog.compare(runlog.read(spark, path), columns).select(
+        "run_name", "experiment", *[F.round(c, 6).alias(c) for c in columns]
+    )
+
+
 def _best(spark, sf, metric):
     return runlog.best(_run_log(spark, sf), metric).withColumn("value", F.round("value", 6))
 

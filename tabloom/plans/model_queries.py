@@ -22,7 +22,13 @@ from tabloom.plans.metric_queries import curve_sql
 from tabloom.plans.registry import query, table
 from tabloom.sources import runlog
 from tabloom.sources.persistence import load_model, save_model
-from tabloom.streaming import open_stream, score_stream, write_stream
+from tabloom.streaming import (
+    open_stream,
+    read_scored,
+    score_stream,
+    score_to_table,
+    write_stream,
+)
 from tabloom.workspace import new_path
 
 
@@ -144,6 +150,22 @@ def stream_score(spark, sf):
     return _per_quantity(written, 2, "prediction")
 
 
+@query(LINE_SCORES)
+def stream_score_table(spark, sf):
+    """Scored into commits of a table, by a saved model; run twice, it adds nothing twice."""
+    model, _ = _fit(spark, sf, "regression", "linear", "price", solver="normal")
+    saved, path, progress = (new_path(spark, n) for n in ("model", "scored", "progress"))
+    save_model(model, saved)
+    source = f"{sf}/lineitem.parque[t]"
+    for _ in range(2):
+        stream = open_stream(spark, source, table(spark, sf, "lineitem").schema)
+        score_to_table(
+            stream.select("l_quantity"), saved, path, progress, ["l_quantity"]
+        ).awaitTermination()
+    shape = "l_quantity double, prediction double"
+    return _per_quantity(read_scored(spark, path, shape), 2, "prediction")
+
+
 @query("""
 select o_orderpriority, count(*) as n, round(avg((o_totalprice > 250000)::int), 4) as probability,
        case when avg((o_totalprice > 250000)::int) > 0.5 then 1.0 else 0.0 end::double as prediction

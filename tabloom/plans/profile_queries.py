@@ -2,8 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from tabloom.operators import balance, profile
+from tabloom.operators import balance, profile, profile_states
 from tabloom.plans.registry import query, table
+from tabloom.workspace import stage
 
 
 def _gappy_orders(spark, sf):
@@ -250,3 +251,63 @@ def histogram_50(spark, sf):
 def histogram_many_columns(spark, sf):
     columns = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     return _rounded_ends(profile.histogram(table(spark, sf, "lineitem"), columns))
+
+
+def _merged_sql(name, number):
+    numbers = f"round(avg({name}), 4), round(stddev_samp({name}), 4), min({name})::double, max({name})::double, null::varchar, null::varchar"
+    texts = f"null::double, null::double, null::double, null::double, min({name}), max({name})"
+    return f"""
+select '{name}', count(*), count(*) - count({name}), round((count(*) - count({name})) * 100.0::double / count(*), 6),
+       count({name}), {numbers if number else texts} from items"""
+
+
+MERGED = {"l_orderkey": 1, "l_quantity": 1, "l_discount": 1, "tax": 1, "l_returnflag": 0}
+
+
+@query(f"""
+with items as (select *, nullif(l_tax, 0.0::double) as tax from lineitem),
+r("column", "rows", missing, pct, count, mean, stddev, min, max, min_text, max_text) as (
+{" union all ".join(_merged_sql(c, n) for c, n in MERGED.items())})
+select * from r
+""")
+def profile_merged(spark, sf):
+    """States of three parts, stored apart and merged; the exact columns of the report."""
+    items = table(spark, sf, "lineitem").withColumn("tax", F.nullif("l_tax", F.lit(0.0)))
+    parts = [
+        stage(profile_states.states(items.filter(F.col("l_orderkey") % 3 == i), list(MERGED)), "state")
+        for i in range(3)
+    ]
+    two = stage(profile_states.merge(parts[0].union(parts[1])), "state")
+    report = profile_states.report(profile_states.merge(two.union(parts[2]))).drop("distinct")
+    return report.withColumns({c: F.round(c, 4) for c in ("mean", "stddev")}).withColumn(
+        "pct", F.round("pct", 6)
+    )
+
+
+@query("""
+select "column", true as close from (values ('l_orderkey'), ('l_quantity'), ('tax')) t("column")
+""")
+def profile_merged_sketches(spark, sf):
+    """Distinct values and quantiles of merged sketches, held against the exact ones."""
+    items = table(spark, sf, "lineitem").withColumn("tax", F.nullif("l_tax", F.lit(0.0)))
+    names = ["l_orderkey", "l_quantity", "tax"]
+    parts = [
+        profile_states.states(items.filter(F.col("l_orderkey") % 3 == i), names) for i in range(3)
+    ]
+    merged = stage(profile_states.merge(parts[0].union(parts[1]).union(parts[2])), "state")
+    exact = profile.cardinality(items, names)
+    found = profile_states.report(merged).join(exact, "column")
+    near = F.abs(F.col("distinct") / F.col("distinct_values") - 1) < 0.08
+    # The rank of a value is its share of rows below and up to it; the wanted one is near or between.
+    wanted = profile_states.quantiles(merged, [0.1, 0.5, 0.9])
+    values = items.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in names
+    ]))).filter("x is not null")
+    ranks = values.groupBy("column", "x").agg(F.count(F.lit(1)).alias("n")).join(wanted, "column")
+    ranks = ranks.groupBy("column", "probability").agg(
+        (F.sum(F.when(F.col("x") < F.col("value"), F.col("n")).otherwise(0)) / F.sum("n")).alias("below"),
+        (F.sum(F.when(F.col("x") <= F.col("value"), F.col("n")).otherwise(0)) / F.sum("n")).alias("upto"),
+    )
+    within = (F.col("below") - 0.04 <= F.col("probability")) & (F.col("probability") <= F.col("upto") + 0.04)
+    ranked = ranks.groupBy("column").agg(F.bool_and(within).alias("ranked"))
+    return found.join(ranked, "column").select("column", (near & F.col("ranked")).alias("close"))

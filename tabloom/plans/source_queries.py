@@ -6,6 +6,7 @@ from tabloom.operators.split import top_n
 from tabloom.plans.registry import query, table
 from tabloom.sources import demo_features, load, load_csv, load_table
 from tabloom.sources import table_shape as shape_of
+from tabloom.sources.inference import inferred, load_csv_inferred
 from tabloom.workspace import new_path
 
 ORDERS_SCHEMA = (
@@ -52,6 +53,48 @@ def src_csv_inferred(spark, sf):
     return _order_summary(load_csv(spark, path))
 
 
+@query("""
+with o as (select o_orderkey, o_totalprice, o_orderstatus, o_orderdate,
+                  case when o_orderkey % 7 = 0 then '' || o_custkey else 'x' end as mixed from orders)
+select 'o_orderkey' as "column", 'int' as type, count(*) as cells, 0::bigint as no_int,
+       0::bigint as no_double, count(*) as no_timestamp from o
+union all
+select 'o_totalprice', 'double', count(*), count(*), 0, count(*) from o
+union all
+select 'o_orderstatus', 'string', count(*), count(*), count(*), count(*) from o
+union all
+select 'o_orderdate', 'timestamp', count(*), count(*), count(*), 0 from o
+union all
+select 'mixed', 'string', count(*), count(*) filter (mixed = 'x'), count(*) filter (mixed = 'x'),
+       count(*) from o
+""")
+def src_csv_types_counted(spark, sf):
+    """Types of CSV columns from one aggregation, with the cells that are no value of a type."""
+    path = new_path(spark, "orders-csv")
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey",
+        "o_totalprice",
+        "o_orderstatus",
+        "o_orderdate",
+        F.when(F.col("o_orderkey") % 7 == 0, F.col("o_custkey").cast("string")).otherwise("x").alias("mixed"),
+    )
+    orders.write.option("header", True).csv(path)
+    found = inferred(load_csv(spark, path, infer=False))
+    return found.select(
+        "column",
+        "type",
+        "cells",
+        *[F.col("misfits")[k].alias(f"no_{k}") for k in ("int", "double", "timestamp")],
+    )
+
+
+@query(ORDER_SUMMARY)
+def src_csv_typed(spark, sf):
+    path = new_path(spark, "orders-csv")
+    table(spark, sf, "orders").write.option("header", True).csv(path)
+    return _order_summary(load_csv_inferred(spark, path)[0])
+
+
 @query(ORDER_SUMMARY)
 def src_json_roundtrip(spark, sf):
     path = new_path(spark, "orders-json")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabloom.operators.metrics import larger_is_better
+from tabloom.sources import commits
 
 SCHEMA = (
     "run_id string, run_name string, experiment string, kind string, "
@@ -61,15 +62,27 @@ def metric_entries(
     )
 
 
-def append(rows: DataFrame, path: str) -> None:
-    """Add entries to the log, as one small file."""
-    rows.repartition(1).write.mode("append").parquet(path)
+def append(rows: DataFrame, path: str, commit: str | None = None) -> bool:
+    """Add entries to the log, as one small file that is seen whole or not at all.
+
+    Any number of writers may append at once. With the name of a ``commit``, such as a run's id,
+    entries that are added again under it change nothing, and the result is False.
+    """
+    return commits.commit(rows.repartition(1), path, commit)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
+    """All entries; also those of a log that is plain Parquet files."""
+    if commits.is_table(spark, path):
+        return commits.read(spark, path, SCHEMA)
     return spark.read.schema(SCHEMA).parquet(path)
 
 
+def compact(spark: SparkSession, path: str) -> bool:
+    """Gather the small files of a log into one; entries and names of commits stay."""
+    return commits.compact(spark, path, SCHEMA)
+
+
 def compare(log: DataFrame, metrics: Sequence[str]) -> DataFrame:
     """One row per run, one column per metric."""
     of_metric = [

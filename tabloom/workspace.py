@@ -72,3 +72,24 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     which then broadcasts it only when it is below the session's threshold.
     """
     return df.sparkSession.read.schema(df.schema).parquet(stage_path(df, name))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a stored table that nothing reads any more, as others stand for it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    where.getFileSystem(conf).delete(where, True)
+
+
+def stage_bucketed(df: DataFrame, name: str, column: str, buckets: int, order: str) -> DataFrame:
+    """Write ``df`` as a table dealt by ``column`` into ``buckets`` files, each in ``order``.
+
+    Joins and groups by that column read it where it lies, without a shuffle.
+    """
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    table = f"tabloom_{path.rpartition('/')[2].replace('-', '_')}"
+    dealt = df.repartition(buckets, column)
+    with _shuffles_dropped(spark):
+        dealt.write.bucketBy(buckets, column).sortBy(order).option("path", path).saveAsTable(table)
+    return spark.table(table)
