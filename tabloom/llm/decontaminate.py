@@ -128,21 +128,29 @@ def find_items(
     anchors = stage(anchors, "anchors")
     if anchors.count() <= MOST_BROADCAST:
         anchors = F.broadcast(anchors)
-    texts = docs.select("doc_id", words(F.col("text")).alias("_words"))
+    row = F.xxhash64("doc_id", "text")
+    texts = docs.select("doc_id", row.alias("_row"), words(F.col("text")).alias("_words"))
+    # Shingles go alone, without the words they are of; the few that are met come back to them.
+    placed = texts.select(
+        "_row",
+        F.size("_words").alias("_size"),
+        F.posexplode(shingles(F.col("_words"), width)).alias("_at", "_shingle"),
+    )
+    start = F.least(F.col("_at") - F.col("_offset"), F.col("_size") - F.col("length"))
+    spots = stage(
+        placed.join(anchors, "_shingle")
+        .select("_row", F.struct("length", F.greatest(F.lit(0), start).alias("start")).alias("_spot"))
+        .distinct(),
+        "spots",
+    )
+    of_row = stage(spots.groupBy("_row").agg(F.collect_list("_spot").alias("_spots")), "spots-of-rows")
     hits = (
-        texts.select("doc_id", "_words", F.posexplode(shingles(F.col("_words"), width)).alias("_at", "_shingle"))
-        .join(anchors, "_shingle")
-        .withColumn(
-            "_start",
-            F.greatest(
-                F.lit(0),
-                F.least(F.col("_at") - F.col("_offset"), F.size("_words") - F.col("length")),
-            ),
-        )
+        texts.join(of_row, "_row")
+        .select("doc_id", "_words", F.explode("_spots").alias("_spot"))
         .select(
             "doc_id",
-            "length",
-            F.slice("_words", F.col("_start") + 1, F.col("length")).alias("_window"),
+            F.col("_spot.length").alias("length"),
+            F.slice("_words", F.col("_spot.start") + 1, F.col("_spot.length")).alias("_window"),
         )
         .distinct()
     )

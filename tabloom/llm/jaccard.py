@@ -13,13 +13,19 @@ differ. The join goes down through three kinds of pivots:
 3. Documents: in a region, the member that meets most others is the pivot. Members within the
    threshold of it are one class, whatever their number, and need not be compared with each
    other. Regions where many stay outside take another pivot.
-4. Shingles again, where regions still hold more than one class: their sets are joined by the
-   shingles that are rarest among them, and the place of the first common one bounds how far
-   apart the two are (the triangle inequality on the number of differing shingles). Edited
-   copies hold rare shingles of their own first, so they are told apart without comparing them.
-
-So copies, however many, cost one comparison each. Nothing is dropped: the classes are the
-connected components of all links.
+4. Documents as centres of cells, where regions still hold more than one class: some members are
+   pivots, every member goes to the cell of its nearest one, and to each cell whose pivot is
+   farther by no more than twice the number of shingles in which it can differ from a linked set.
+   By the triangle inequality two linked sets meet in the nearest cell of either. Cells are cut
+   again until they hold one class, or so few members that all of them are compared.
+5. Shingles again, for cells that pivots do not cut since their members are all as far from each
+   other as from any pivot: their sets are joined by the shingles that are rarest among them, and
+   the place of the first common one bounds how far apart the two are. Edited copies hold rare
+   shingles of their own first, so they are told apart without comparing them.
+
+So copies, however many, cost one comparison each. Before two sets are compared, the parities of
+their shingles in 512 slots are: they differ in no more slots than the sets do in shingles. Nothing
+is dropped: the classes are the connected components of all links.
 
 Sets are kept as 64-bit hashes of shingles and documents of equal sets are one class from the
 start. Defined results: a document without words has an empty set and is linked with nothing;
@@ -125,23 +131,53 @@ def _linked(shared: Column, a: Column, b: Column, percent: int) -> Column:
     return shared * 100 >= (a + b - shared) * percent
 
 
-def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Exact comparison of distinct key pairs ``(a, b)``: adds ``link``."""
+def parities(s: np.ndarray) -> np.ndarray:
+    """Whether the number of shingles in each of 512 slots is odd, as eight numbers."""
+    slots = np.bincount((T.mix(s) >> np.uint64(55)).astype(np.int64), minlength=512) & 1
+    return np.packbits(slots.astype(np.uint8)).view(np.int64)
+
+
+def _may_link(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` but for those whose sizes or parities differ more than linked sets can."""
+    held = F.struct("n", "parities")
+    marked = pairs.join(sets.select(F.col("key").alias("a"), held.alias("_a")), "a").join(
+        sets.select(F.col("key").alias("b"), held.alias("_b")), "b"
+    )
+    apart = sum(
+        F.bit_count(F.col("_a.parities")[i].bitwiseXOR(F.col("_b.parities")[i])) for i in range(8)
+    )
+    # Of linked sets at least percent / (100 + percent) of both sizes is shared, on either side.
+    most = (F.col("_a.n") + F.col("_b.n")) * (100 - percent)
+    low, high = F.least("_a.n", "_b.n"), F.greatest("_a.n", "_b.n")
+    near = (apart * (100 + percent) <= most) & (low * 100 >= high * percent)
+    return marked.filter(near).select("a", "b")
+
+
+def _measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Exact comparison of distinct key pairs ``(a, b)``: adds ``apart``, ``n`` of a, and ``link``."""
     left = sets.select(F.col("key").alias("a"), F.col("shingles").alias("_a"))
     right = sets.select(F.col("key").alias("b"), F.col("shingles").alias("_b"))
     shared = F.size(F.array_intersect("_a", "_b"))
     return (
         pairs.join(left, "a")
         .join(right, "b")
-        .select("a", "b", shared.alias("_shared"), F.size("_a").alias("_n"), F.size("_b").alias("_m"))
+        .select("a", "b", shared.alias("_shared"), F.size("_a").alias("n"), F.size("_b").alias("_m"))
         .select(
             "a",
             "b",
-            _linked(F.col("_shared"), F.col("_n"), F.col("_m"), percent).alias("link"),
+            "n",
+            (F.col("n") + F.col("_m") - F.col("_shared") * 2).alias("apart"),
+            _linked(F.col("_shared"), F.col("n"), F.col("_m"), percent).alias("link"),
         )
     )
 
 
+def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The linked ones of distinct key pairs ``(a, b)``."""
+    near = _may_link(pairs, sets, percent)
+    return _measured(near, sets, percent).filter("link").select("a", "b")
+
+
 def _rare(keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """First shingles of sets in order of rarity among ``keys(key, component)``.
 
@@ -215,9 +251,16 @@ def link_classes(
             keys = np.array([_keys(s)[0] for s in found], np.uint64)
             ends = np.concatenate([[0], np.cumsum([len(s) for s in found])]).astype(np.int32)
             held = np.concatenate([np.zeros(0, np.uint64), *found])
+            odd = np.concatenate([np.zeros(0, np.int64), *[parities(s) for s in found]])
+            of_eight = pa.array(np.arange(len(found) + 1, dtype=np.int32) * 8)
             yield pa.RecordBatch.from_arrays(
-                [T.signed(keys), pa.ListArray.from_arrays(pa.array(ends), T.signed(held))],
-                ["key", "shingles"],
+                [
+                    T.signed(keys),
+                    pa.array([len(s) for s in found], pa.int32()),
+                    pa.ListArray.from_arrays(of_eight, pa.array(odd)),
+                    pa.ListArray.from_arrays(pa.array(ends), T.signed(held)),
+                ],
+                ["key", "n", "parities", "shingles"],
             )
 
     known = stage(
@@ -244,7 +287,7 @@ def link_classes(
     sets = stage(
         texts.select("text", "row")
         .join(firsts, "row", "left_semi")
-        .mapInArrow(sets_of, "key long, shingles array<long>")
+        .mapInArrow(sets_of, "key long, n int, parities array<long>, shingles array<long>")
         .dropDuplicates(["key"]),
         "shingles",
     )
@@ -305,7 +348,7 @@ def _join(members: DataFrame, sets: DataFrame, percent: int, leaf: int) -> DataF
         pairs = placed.filter("key != pivot").select(
             F.col("key").alias("a"), F.col("pivot").alias("b")
         )
-        found = _compare(pairs.distinct(), sets, percent).filter("link").select("a", "b")
+        found = _compare(pairs.distinct(), sets, percent)
         links = stage(found if links is None else links.union(found), "links")
         reached = stage(components(links), "reached")
         left = _open(placed, reached)
@@ -319,7 +362,8 @@ def _join(members: DataFrame, sets: DataFrame, percent: int, leaf: int) -> DataF
         if members.isEmpty():
             break
         leaf *= 4
-    keys = stage(_open(first, reached).select("key", "component").distinct(), "open")
+    cells = _open(first, reached).select(F.col("region").alias("cell"), "key", "component")
+    links, keys = _in_cells(stage(cells, "cells"), links, sets, percent)
     rare = stage(_rare(keys, sets, percent), "rare")
     a, b = (
         rare.select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("key", "component", "n", "place")])
@@ -335,5 +379,92 @@ def _join(members: DataFrame, sets: DataFrame, percent: int, leaf: int) -> DataF
         & (F.col("component_a") != F.col("component_b"))
         & fits,
     ).select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
-    found = _compare(pairs.distinct(), sets, percent).filter("link").select("a", "b")
-    return links.union(found)
+    return links.union(_compare(pairs.distinct(), sets, percent))
+
+
+# Pivots of a cell, members of a cell that are all compared, and cuts before shingles are tried.
+PIVOTS, FEW, CUTS = 6, 6, 4
+
+
+def _in_cells(
+    cells: DataFrame, links: DataFrame, sets: DataFrame, percent: int
+) -> tuple[DataFrame, DataFrame]:
+    """Links found by cutting ``cells(cell, key, component)``, and the keys they do not cut."""
+    rest = [cells.select("key", "component").limit(0)]
+    for _ in range(CUTS):
+        sizes = cells.groupBy("cell").agg(
+            F.count(F.lit(1)).alias("_size"),
+            F.min("component").alias("_low"),
+            F.max("component").alias("_high"),
+        )
+        open_ = cells.join(sizes.filter("_low != _high").select("cell", "_size"), "cell")
+        cells = stage(open_, "open-cells")
+        if cells.isEmpty():
+            break
+        # All pairs of a few.
+        a, b = (
+            cells.filter(F.col("_size") <= FEW).select(
+                "cell", F.col("key").alias(x), F.col("component").alias(f"_{x}")
+            )
+            for x in "ab"
+        )
+        pairs = a.join(b, "cell").filter("a < b and _a != _b").select("a", "b").distinct()
+        found = _compare(pairs, sets, percent)
+        # Nearest pivots, and those that are little farther.
+        large = cells.filter(F.col("_size") > FEW)
+        drawn = Window.partitionBy("cell").orderBy(F.xxhash64("cell", "key"))
+        pivots = large.withColumn("_turn", F.row_number().over(drawn)).filter(F.col("_turn") <= PIVOTS)
+        met = large.join(pivots.select("cell", F.col("key").alias("pivot")), "cell")
+        met = stage(met.filter("key != pivot"), "met")
+        distances = stage(
+            _measured(
+                met.select(F.col("key").alias("a"), F.col("pivot").alias("b")).distinct(), sets, percent
+            ),
+            "distances",
+        )
+        links = stage(
+            links.union(found).union(distances.filter("link").select("a", "b")), "links"
+        )
+        reached = components(links)
+        spans = (
+            met.join(distances.withColumnsRenamed({"a": "key", "b": "pivot"}), ["key", "pivot"])
+            .groupBy("cell", "_size", "key", "component")
+            .agg(
+                F.collect_list(F.struct("apart", "pivot")).alias("_to"),
+                F.max("n").alias("n"),
+                F.min("apart").alias("_nearest"),
+            )
+        )
+        reach = F.floor(F.col("n") * (100 - percent) / percent) * 2 + F.col("_nearest")
+        homes = F.filter("_to", lambda p: p["apart"] <= reach)
+        cut = stage(
+            spans.select("cell", "_size", "key", "component", F.explode(homes).alias("_home")).select(
+                "cell",
+                "_size",
+                F.xxhash64("cell", "_home.pivot").alias("_inner"),
+                "key",
+                "component",
+            ),
+            "cut-cells",
+        )
+        # A cell of which one part holds nearly all is not cut by pivots.
+        parts = cut.groupBy("cell", "_size", "_inner").agg(F.count(F.lit(1)).alias("_n"))
+        parts = parts.groupBy("cell", "_size").agg(F.max("_n").alias("_most"), F.sum("_n").alias("_sum"))
+        whole = (F.col("_most") * 10 > F.col("_size") * 8) | (F.col("_sum") > F.col("_size") * 2)
+        stuck = stage(parts.filter(whole).select("cell"), "stuck")
+        rest.append(cells.join(stuck, "cell").select("key", "component"))
+        named = cut.join(stuck, "cell", "left_anti").select(F.col("_inner").alias("cell"), "key", "component")
+        cells = _renamed(named, reached)
+    reached = stage(components(links), "reached")
+    rest.append(cells.select("key", "component"))
+    keys = rest[0]
+    for more in rest[1:]:
+        keys = keys.union(more)
+    return links, stage(_renamed(keys, reached).distinct(), "open")
+
+
+def _renamed(rows: DataFrame, reached: DataFrame) -> DataFrame:
+    """Rows with the components that their keys have now."""
+    now = reached.select(F.col("node").alias("key"), F.col("component").alias("_now"))
+    named = rows.join(now, "key", "left").withColumn("component", F.coalesce("_now", "component"))
+    return named.drop("_now")

@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.llm import text as T
-from tabloom.workspace import stage
+from tabloom.workspace import remove, stage, stage_bucketed, stage_path
 
 START, END = np.uint64(1), np.uint64(2)
 _LOW48 = np.uint64((1 << 48) - 1)
@@ -193,12 +194,16 @@ def discounts(types: dict[int, int], k: int) -> list[float]:
 
 
 class Katz:
-    """A fitted model: tables in the shared folder, and some totals."""
+    """A fitted model: tables in the shared folder, and some totals.
 
-    def __init__(self, words, bigrams, n, n_types, n_ends, unseen, hot):
-        self.words, self.bigrams = words, bigrams
-        self.n, self.n_types, self.n_ends = n, n_types, n_ends
-        self.unseen, self.hot = unseen, hot
+    ``table`` holds ``words`` and all bigrams, dealt by bucket, so that scoring reads them where
+    they lie.
+    """
+
+    def __init__(self, words, n, n_types, n_ends, unseen, hot, buckets):
+        self.words, self.n, self.n_types, self.n_ends = words, n, n_types, n_ends
+        self.unseen, self.hot, self.buckets = unseen, np.sort(np.array(hot, np.int64).view(np.uint64)), buckets
+        self.table = None
 
     def end_log(self) -> float:
         found = self.words.filter(F.col("v") == int(END)).select("log_p").head()
@@ -214,13 +219,14 @@ def fit(docs: DataFrame, k: int = 5, share: float = 1e-3, bucket_tokens: int = 3
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     buckets = max(64, size // (_TOKEN_BYTES * bucket_tokens) + 1)
-    counted = stage(
+    counts_path = stage_path(
         docs.select("text")
         .mapInArrow(_counted(buckets), "bucket long, v binary, runs binary, w binary, n binary")
         .groupBy("bucket")
         .applyInArrow(_merged, "kind byte, v long, w long, n long"),
         "counts",
     )
+    counted = spark.read.schema("kind byte, v long, w long, n long").parquet(counts_path)
     followers = counted.filter("kind = 0").select("v", "w", "n")
     firsts = counted.filter("kind = 1").groupBy("v").agg(F.sum("n").alias("n"))
     n_docs = firsts.filter(F.col("v") == int(START)).agg(F.sum("n")).head()[0] or 0
@@ -248,10 +254,12 @@ def fit(docs: DataFrame, k: int = 5, share: float = 1e-3, bucket_tokens: int = 3
         p.groupBy(F.col("v").bitwiseAND(int(_LOW48)).alias("w")).agg(F.sum("p").alias("p"))
     )
     # Few different values of c and p, which Parquet keeps as numbers of a dictionary.
-    bigrams = stage(
+    bigrams_path = stage_path(
         followers.join(by_code, "w").select("v", "w", discounted(F.col("n"), d2).alias("c"), "p"),
         "katz-bigrams",
     )
+    remove(spark, counts_path)
+    bigrams = spark.read.schema("v long, w long, c double, p double").parquet(bigrams_path)
     per_word = bigrams.groupBy("v").agg(F.sum("c").alias("_kept"), F.sum("p").alias("_below"))
     # START is the first word of as many bigrams as there are ends.
     starts = spark.createDataFrame([(int(START), n_docs)], "v long, n long").filter("n > 0")
@@ -276,7 +284,11 @@ def fit(docs: DataFrame, k: int = 5, share: float = 1e-3, bucket_tokens: int = 3
     )
     words = stage(rows, "katz-words")
     hot = [r["v"] for r in words.filter(F.col("n") >= max(1.0, n * share)).select("v").collect()]
-    return Katz(words, bigrams, n, n_types, n_docs, unseen, [*hot, int(START)])
+    model = Katz(words, n, n_types, n_docs, unseen, [*hot, int(START)], buckets)
+    held = _tables(words, bigrams, model.hot, buckets)
+    model.table = stage_bucketed(held, "katz-model", "bucket", buckets, "v")
+    remove(spark, bigrams_path)
+    return model
 
 
 _TABLE = ["bucket", "v", "w", "n", "x", "alpha", "whole"]
@@ -286,10 +298,10 @@ def _slices_of(v: np.ndarray, hot: np.ndarray) -> np.ndarray:
     return np.where(np.isin(v, hot), _HOT_SLICES, np.uint64(1))
 
 
-def _tables(model: Katz, hot: np.ndarray, buckets: int) -> DataFrame:
-    """Rows of the model's tables for every bucket that asks for them."""
+def _tables(words: DataFrame, bigrams: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
+    """Rows of the words and bigrams for every bucket that asks for them."""
 
-    def words(batches):
+    def of_words(batches):
         for batch in batches:
             v = batch.column(0).to_numpy().view(np.uint64)
             many = np.isin(v, hot)
@@ -309,7 +321,7 @@ def _tables(model: Katz, hot: np.ndarray, buckets: int) -> DataFrame:
                 _TABLE,
             )
 
-    def bigrams(batches):
+    def of_bigrams(batches):
         for batch in batches:
             v, w = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
             bucket = _bucket_of(v, w, _slices_of(v, hot), buckets)
@@ -319,7 +331,7 @@ def _tables(model: Katz, hot: np.ndarray, buckets: int) -> DataFrame:
 
     shape = "bucket long, v long, w long, n long, x double, alpha double, whole double"
     none = F.lit(None).cast("double")
-    by_word = model.words.select(
+    by_word = words.select(
         "v",
         F.lit(0).cast("long").alias("w"),
         F.coalesce("n", F.lit(0)).cast("long").alias("n"),
@@ -328,10 +340,10 @@ def _tables(model: Katz, hot: np.ndarray, buckets: int) -> DataFrame:
         F.coalesce("whole", F.lit(0.0)).alias("whole"),
     )
     gain = F.log10(F.col("c") / F.col("p"))
-    by_pair = model.bigrams.select(
+    by_pair = bigrams.select(
         "v", "w", F.lit(-1).cast("long").alias("n"), gain.alias("x"), none.alias("alpha"), none.alias("whole")
     )
-    return by_word.mapInArrow(words, shape).union(by_pair.mapInArrow(bigrams, shape))
+    return by_word.mapInArrow(of_words, shape).union(by_pair.mapInArrow(of_bigrams, shape))
 
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -413,10 +425,10 @@ def score(docs: DataFrame, model: Katz, bucket_tokens: int = 3 << 20) -> DataFra
     row = F.xxhash64("doc_id", "text")
     rows = docs.select("doc_id", row.alias("row"))
     copies = rows.groupBy("row").agg(F.count(F.lit(1)).alias("copies"))
-    hot = np.sort(np.array(model.hot, np.int64).view(np.uint64))
-    # Buckets for the whole table at a few million tokens each, as the model's counts tell.
-    per_doc = model.n / model.n_ends if model.n_ends else 100.0
-    buckets = max(64, int(docs.count() * per_doc / bucket_tokens) + 1)
+    hot, buckets = model.hot, model.buckets
+    # The model's buckets suit a table as large as the one it learned from; larger ones go in parts.
+    size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    parts = size // (_TOKEN_BYTES * bucket_tokens * buckets) + 1
 
     def request(batches):
         for batch in _large(batches):
@@ -442,18 +454,24 @@ def score(docs: DataFrame, model: Katz, bucket_tokens: int = 3 << 20) -> DataFra
                 ["bucket", "v", "runs", "w", "n", "rows", "ids"],
             )
 
-    asked = docs.select(row.alias("row"), "text").mapInArrow(
-        request,
-        "bucket long, v binary, runs binary, w binary, n binary, rows binary, ids binary",
-    )
-    shares = (
-        asked.groupBy("bucket")
-        .cogroup(_tables(model, hot, buckets).groupBy("bucket"))
-        .applyInArrow(
-            _scored(model.unseen),
-            "doc long, n_tokens long, n_known long, base double, log_p double",
+    def share(part: int) -> DataFrame:
+        texts = docs.select(row.alias("row"), "text")
+        if parts > 1:
+            texts = texts.filter(F.pmod("row", F.lit(parts)) == part)
+        asked = texts.mapInArrow(
+            request,
+            "bucket long, v binary, runs binary, w binary, n binary, rows binary, ids binary",
         )
-    )
+        return (
+            asked.groupBy("bucket")
+            .cogroup(model.table.groupBy("bucket"))
+            .applyInArrow(
+                _scored(model.unseen),
+                "doc long, n_tokens long, n_known long, base double, log_p double",
+            )
+        )
+
+    shares = reduce(DataFrame.union, [share(i) for i in range(parts)])
     sums = shares.groupBy(F.col("doc").alias("row")).agg(
         *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "log_p")],
     )

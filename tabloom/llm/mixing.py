@@ -118,25 +118,34 @@ def mix(
     most: float = 2.0,
     block_tokens: int = 8,
     shard_tokens: int = 4_000_000,
+    shard_rows: int = 200_000,
     seed: int = 42,
 ) -> DataFrame:
     """Per document ``doc_id, source, size, source_size, target, taken``.
 
     ``taken`` counts the words of the document that the mix takes, repeats included. Same rows
-    on every run and file layout. ``shard_tokens`` is the length of a shard: one task's window.
+    on every run and file layout. A shard, one task's window, has about ``shard_tokens`` words and
+    ``shard_rows`` rows at most, so that a source of very many short texts is split too.
     """
     sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"))
-    totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+    counted = sized.groupBy("source").agg(
+        F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_rows")
+    )
+    rows = counted.select(F.col("source").alias("_named"), "_rows")
+    totals = counted.select("source", "source_size")
     targets = source_targets(totals, weights, share, most).withColumn(
         "_seats",
         F.round(F.sum("target").over(Window.partitionBy()) / block_tokens).cast("long"),
     )
-    quotas = apportion(targets, "target", "_seats", (), ("source",)).select(
+    by_tokens = F.ceil(F.col("source_size") / shard_tokens)
+    by_rows = F.ceil(F.col("_rows") / shard_rows)
+    quotas = apportion(targets, "target", "_seats", (), ("source",))
+    quotas = quotas.join(rows, quotas["source"].eqNullSafe(rows["_named"])).select(
         F.col("source").alias("_source"),
         "source_size",
         "target",
         F.col("quota").alias("_source_quota"),
-        F.greatest(F.ceil(F.col("source_size") / shard_tokens), F.lit(1)).alias("_n_shards"),
+        F.greatest(by_tokens, by_rows, F.lit(1)).alias("_n_shards"),
     )
     place = F.xxhash64(F.col("doc_id"), F.lit(seed))
     dealt = sized.join(quotas, sized["source"].eqNullSafe(quotas["_source"])).withColumn(

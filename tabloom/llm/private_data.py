@@ -121,9 +121,34 @@ def _words(text: Column) -> Column:
     return F.regexp_extract_all(_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
 
 
-def _beside(side: Column, near: int) -> Column:
-    """The first ``near`` whole words of ``side``, but for what is glued to the entity."""
-    return _words(F.regexp_extract(side, f"^{_BLACK}*+((?:{_SPACE}++{_BLACK}++){{0,{near}}})", 1))
+# Characters beside an entity that are looked at first.
+_WINDOW = 2000
+
+
+def _beside(close: Column, whole: Column, near: int) -> Column:
+    """The first ``near`` whole words beside an entity, but for what is glued to it.
+
+    ``close`` is as much of ``whole`` as usually holds them; the rest is read only where words are
+    so long that it does not.
+    """
+    word = f"{_SPACE}++{_BLACK}++"
+    found = F.regexp_extract(close, f"^{_BLACK}*+((?:{word}){{{near}}}){_SPACE}", 1)
+    some = F.regexp_extract(whole, f"^{_BLACK}*+((?:{word}){{0,{near}}})", 1)
+    return _words(F.when(found != "", found).otherwise(some))
+
+
+def _around(text: Column, span: Column, near: int) -> Column:
+    """Words before and after a span."""
+    start, end = span["start"], span["end"]
+    first = F.greatest(start - _WINDOW, F.lit(0))
+    before = F.reverse(F.substring(text, first + 1, start - first))
+    after = F.substring(text, end + 1, F.lit(_WINDOW))
+    all_before = F.reverse(F.substring(text, F.lit(1), start))
+    all_after = F.substring(text, end + 1, F.length(text))
+    return F.concat(
+        F.transform(_beside(before, all_before, near), lambda w: F.reverse(w)),
+        _beside(after, all_after, near),
+    )
 
 
 def _lower_bound(hits: Column, trials: Column, z: float) -> Column:
@@ -145,16 +170,12 @@ def revealing_terms(
     whole corpus. ``elsewhere``: whether the term may stand where the entity doesn't.
     """
     text = F.col("text")
-    before = F.reverse(F.substring(text, F.lit(1), F.col("span.start")))
-    after = F.substring(text, F.col("span.end") + 1, F.length(text))
     places = found.select("_row", "_times", "text", F.explode("spans").alias("span")).select(
         "_row",
         "_times",
         F.col("span.kind").alias("kind"),
         F.col("span.value").alias("value"),
-        F.concat(
-            F.transform(_beside(before, near), lambda w: F.reverse(w)), _beside(after, near)
-        ).alias("_around"),
+        _around(text, F.col("span"), near).alias("_around"),
     )
     # Written, since three sums are made of it.
     places = stage(places.withColumn("_context", F.xxhash64("_around")), "places")
@@ -218,7 +239,8 @@ def sanitise(
 ) -> DataFrame:
     """All columns of ``docs``, with ``spans`` (array of start, kind, end, value).
 
-    Kinds are numbered as in ``KINDS``. Terms have kind 4, and as value what replaces them.
+    Kinds are numbered as in ``KINDS``. Terms have kind 4, and as value what replaces them. A
+    column ``spans`` of ``docs`` gives way to these.
     ``everywhere``: replace terms in all documents, and not in those that hold the entity only.
     """
     row = F.xxhash64(F.col("doc_id"), F.col("text"))
@@ -280,18 +302,16 @@ def sanitise(
         lambda t: ~F.exists("spans", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])),
     )
     named = F.transform(free, lambda t: t.withField("value", F.col("_terms")[_lower(t["value"])]))
-    return (
-        docs.withColumn("spans", base_spans(F.col("text")))
-        .withColumn("_row", row)
-        .join(by_row, "_row", "left")
-        .withColumn(
-            "spans",
-            F.when(
-                F.col("_terms").isNotNull(), F.array_sort(F.concat("spans", named))
-            ).otherwise(F.col("spans")),
-        )
-        .drop("_row", "_terms")
+    kept = [c for c in docs.columns if c != "spans"]
+    packed = docs.select(
+        row.alias("_row"),
+        "text",
+        base_spans(F.col("text")).alias("spans"),
+        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_rest"),
     )
+    whole = F.when(F.col("_terms").isNotNull(), F.array_sort(F.concat("spans", named)))
+    joined = packed.join(by_row, "_row", "left")
+    return joined.select("_rest", whole.otherwise(F.col("spans")).alias("spans")).select("_rest.*", "spans")
 
 
 def cleaned(text: Column, spans: Column) -> Column:

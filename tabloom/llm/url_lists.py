@@ -30,8 +30,11 @@ def path(url: Column) -> Column:
     return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
 
 
-def patterns(url: Column) -> Column:
-    """All patterns that hold for a URL: its host's domains, and its host with path prefixes."""
+def patterns(url: Column, deepest: int) -> Column:
+    """Patterns that hold for a URL: its host's domains, and its host with path prefixes.
+
+    Prefixes have at most ``deepest`` segments, so that a long path makes no more than are listed.
+    """
     labels = F.split(host(url), r"\.")
     parts = F.filter(F.split(path(url), "/"), lambda p: p != "")
     domains = F.transform(
@@ -39,9 +42,9 @@ def patterns(url: Column) -> Column:
         lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
     )
     prefixes = F.when(
-        F.size(parts) > 0,
+        (F.size(parts) > 0) & F.lit(deepest > 0),
         F.transform(
-            F.sequence(F.lit(1), F.size(parts)),
+            F.sequence(F.lit(1), F.least(F.size(parts), F.lit(max(1, deepest)))),
             lambda i: F.concat(host(url), F.lit("/"), F.array_join(F.slice(parts, F.lit(1), i), "/")),
         ),
     ).otherwise(F.array().cast("array<string>"))
@@ -75,8 +78,11 @@ def in_force(captures: DataFrame, entries: DataFrame) -> DataFrame:
     first in order of those equally long, or null.
     """
     month = lambda t: F.date_trunc("month", t)
+    segments = F.size(F.split("pattern", "/")) - 1
+    deepest = entries.filter("pattern is not null").agg(F.max(segments)).head()[0] or 0
+    held = F.array_distinct(patterns(F.col("url"), deepest))
     asked = captures.select(
-        "page_id", "fetched", F.explode(F.array_distinct(patterns(F.col("url")))).alias("pattern")
+        "page_id", "fetched", F.explode(held).alias("pattern")
     ).withColumn("_month", month(F.col("fetched")))
     last = captures.agg(F.max("fetched").alias("_last"))
     listed = intervals(entries).withColumn("_last", F.lit(last.head()[0]))

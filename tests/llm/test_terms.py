@@ -1,10 +1,16 @@
 """Terms that give entities away, at the production thresholds."""
 
+import math
 import random
+import re
+import time
+from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from tabloom.llm import private_data
+from tests.llm import brute
 
 SHAPE = "doc_id long, text string, source string"
 
@@ -63,3 +69,104 @@ def test_terms_are_replaced_where_the_entity_is_not(spark):
     assert clean[106].count("[TERM]") == 1 and "Zorblax, and" in clean[106] and "ZORBLAX" not in clean[107]
     # The other setting keeps to documents of the entity.
     assert "ZORBLAX" in cleaned(private_data.sanitise(docs))[107]
+
+
+def terms_of(rows, near=5, errors=3.0, generalise=0.8, remove=0.95):
+    """What replaces which term, by the plain definition: {entity: {term: (instead, elsewhere)}}."""
+    contexts, mentions, beside = defaultdict(set), defaultdict(set), defaultdict(dict)
+    total, size = defaultdict(int), 0
+    for i, text in rows:
+        held = brute.words(text, True)
+        size += len(held)
+        for w in held:
+            total[w] += 1
+    seen = defaultdict(int)
+    for i, text in rows:
+        seen[i, text] += 1
+    for (i, text), times in seen.items():
+        for span in filter(None, brute.personal(text).split(",")):
+            kind, start, end = span.split(":")
+            start, end = int(start), int(end)
+            before = re.sub(r"[^\x20\x09-\x0D]+$", "", text[:start])
+            after = re.sub(r"^[^\x20\x09-\x0D]+", "", text[end:])
+            around = brute.words(before, True)[::-1][:near] + brute.words(after, True)[:near]
+            entity, context = (kind, text[start:end]), tuple(around)
+            mentions[entity].add(context)
+            for w in set(around):
+                contexts[entity, w].add(context)
+                rows_of = beside[entity, w]
+                rows_of[i, text] = max(rows_of.get((i, text), 0), around.count(w) * times)
+    out = defaultdict(dict)
+    for (entity, w), held in contexts.items():
+        both = sum(beside[entity, w].values())
+        others = total[w] - both
+        hits, trials, z = len(held), len(held) + others, errors
+        spread = math.sqrt(hits * (trials - hits) / trials + z * z / 4)
+        share = (hits + z * z / 2 - z * spread) / (trials + z * z)
+        ic = math.log2(max(size, 2) / len(mentions[entity]))
+        disclosure = 1 + math.log2(share) / ic
+        if disclosure >= generalise:
+            out[entity][w] = ("" if disclosure >= remove else "[TERM]", others > 0)
+    return out
+
+
+def test_terms_against_the_definition(spark):
+    rng = random.Random(9)
+    word = lambda: rng.choice("abcdefgh") * rng.randint(1, 3)
+    names = [f"Name{k}" for k in range(6)]
+    rows = []
+    for i in range(160):
+        text = [word() for _ in range(rng.randint(0, 250))]
+        for _ in range(rng.randint(0, 2)):
+            k = rng.randrange(6)
+            at = rng.randint(0, len(text))
+            text[at:at] = rng.choice([[names[k], f"m{k}@corp.com"], [f"m{k}@corp.com,", names[k]], [names[k]]])
+        rows.append((i, rng.choice([" ", "\n"]).join(text)))
+    rows += [(7, "m1@corp.com Name1")] * 3 + [(None, "x m2@corp.com Name2"), (None, None), (1000, "")]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in rows], SHAPE).repartition(4)
+    # Small corpora take less evidence; the production thresholds are held below.
+    bounds = {"errors": 1.0, "generalise": 0.5, "remove": 0.7}
+    held = terms_of(rows, **bounds)
+    assert {instead for terms in held.values() for instead, _ in terms.values()} == {"", "[TERM]"}
+    for everywhere in (False, True):
+        found = private_data.sanitise(docs, everywhere=everywhere, **bounds)
+        spans = {(r.doc_id, r.text): [tuple(s) for s in r.spans if s.kind == 4] for r in found.collect()}
+        for i, text in rows:
+            wanted = {}
+            own = {(k, text[int(a) : int(b)]) for k, a, b in (s.split(":") for s in brute.personal(text).split(",") if s)}
+            for entity, terms in held.items():
+                for w, (instead, elsewhere) in terms.items():
+                    if entity in own or (everywhere and elsewhere):
+                        wanted[w] = min(wanted.get(w, instead), instead)
+            places = [(int(a), int(b)) for _, a, b in (s.split(":") for s in brute.personal(text).split(",") if s)]
+            expected = [
+                (m.start(), 4, m.end(), wanted[m.group().translate(brute.LOWER)])
+                for m in brute.WORD.finditer(text or "")
+                if m.group().translate(brute.LOWER) in wanted
+                and not any(a < m.end() and m.start() < b for a, b in places)
+            ]
+            assert spans[i, text] == expected, (i, text)
+
+
+def test_terms_with_much_evidence_are_removed(spark):
+    docs = corpus(spark, ["{} Zorblax boss@corp.com {}"] * 40)
+    clean = cleaned(private_data.sanitise(docs))
+    assert all("Zorblax" not in clean[100 + i] and "[TERM]" not in clean[100 + i] for i in range(40))
+
+
+@pytest.mark.parametrize("between", [" ", " filler " * 3])
+def test_many_entities_in_one_text(spark, between):
+    text = between.join(f"p{i}@corp.com" for i in range(8000))
+    docs = spark.createDataFrame([(1, text, "s")], SHAPE)
+    begin = time.monotonic()
+    found = private_data.sanitise(docs).collect()
+    assert sum(s.kind == 0 for s in found[0].spans) == 8000 and time.monotonic() - begin < 60
+
+
+def test_columns_of_any_name_pass(spark):
+    shape = "doc_id long, spans int, _row string, _terms int, text string, `a.b` int"
+    docs = spark.createDataFrame([(1, 2, "r", 3, "me@x.org", 4)], shape)
+    found = private_data.sanitise(docs)
+    assert found.columns == ["doc_id", "_row", "_terms", "text", "a.b", "spans"]
+    row = found.first()
+    assert (row["_row"], row["_terms"], row["a.b"], len(row["spans"])) == ("r", 3, 4, 1)
