@@ -17,15 +17,17 @@ differ. The join goes down through three kinds of pivots:
    pivots, every member goes to the cell of its nearest one, and to each cell whose pivot is
    farther by no more than twice the number of shingles in which it can differ from a linked set.
    By the triangle inequality two linked sets meet in the nearest cell of either. Cells are cut
-   again until they hold one class, or so few members that all of them are compared.
+   again until they hold one class, or so few members that all of them are compared. Distances are
+   those of the parities of shingles in 512 slots, a metric in which no two sets are farther apart
+   than in shingles, so that this needs no sets.
 5. Shingles again, for cells that pivots do not cut since their members are all as far from each
    other as from any pivot: their sets are joined by the shingles that are rarest among them, and
    the place of the first common one bounds how far apart the two are. Edited copies hold rare
    shingles of their own first, so they are told apart without comparing them.
 
-So copies, however many, cost one comparison each. Before two sets are compared, the parities of
-their shingles in 512 slots are: they differ in no more slots than the sets do in shingles. Nothing
-is dropped: the classes are the connected components of all links.
+So copies, however many, cost one comparison each. Regions of the same members are one region, and
+before two sets are compared, their parities are. Nothing is dropped: the classes are the connected
+components of all links.
 
 Sets are kept as 64-bit hashes of shingles and documents of equal sets are one class from the
 start. Defined results: a document without words has an empty set and is linked with nothing;
@@ -137,8 +139,11 @@ def parities(s: np.ndarray) -> np.ndarray:
     return np.packbits(slots.astype(np.uint8)).view(np.int64)
 
 
-def _may_link(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``(a, b)`` but for those whose sizes or parities differ more than linked sets can."""
+def _parted(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` with ``n`` of a, how many parities differ (``apart``), and ``near``.
+
+    Pairs that are not near differ in size or parities more than linked sets can.
+    """
     held = F.struct("n", "parities")
     marked = pairs.join(sets.select(F.col("key").alias("a"), held.alias("_a")), "a").join(
         sets.select(F.col("key").alias("b"), held.alias("_b")), "b"
@@ -150,32 +155,27 @@ def _may_link(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     most = (F.col("_a.n") + F.col("_b.n")) * (100 - percent)
     low, high = F.least("_a.n", "_b.n"), F.greatest("_a.n", "_b.n")
     near = (apart * (100 + percent) <= most) & (low * 100 >= high * percent)
-    return marked.filter(near).select("a", "b")
+    return marked.select("a", "b", F.col("_a.n").alias("n"), apart.alias("apart"), near.alias("near"))
 
 
-def _measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Exact comparison of distinct key pairs ``(a, b)``: adds ``apart``, ``n`` of a, and ``link``."""
+def _shared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The linked ones of distinct key pairs ``(a, b)``, by their whole sets."""
     left = sets.select(F.col("key").alias("a"), F.col("shingles").alias("_a"))
     right = sets.select(F.col("key").alias("b"), F.col("shingles").alias("_b"))
     shared = F.size(F.array_intersect("_a", "_b"))
     return (
         pairs.join(left, "a")
         .join(right, "b")
-        .select("a", "b", shared.alias("_shared"), F.size("_a").alias("n"), F.size("_b").alias("_m"))
-        .select(
-            "a",
-            "b",
-            "n",
-            (F.col("n") + F.col("_m") - F.col("_shared") * 2).alias("apart"),
-            _linked(F.col("_shared"), F.col("n"), F.col("_m"), percent).alias("link"),
-        )
+        .select("a", "b", shared.alias("_shared"), F.size("_a").alias("_n"), F.size("_b").alias("_m"))
+        .filter(_linked(F.col("_shared"), F.col("_n"), F.col("_m"), percent))
+        .select("a", "b")
     )
 
 
 def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The linked ones of distinct key pairs ``(a, b)``."""
-    near = _may_link(pairs, sets, percent)
-    return _measured(near, sets, percent).filter("link").select("a", "b")
+    """The linked ones of distinct key pairs ``(a, b)``, parities first."""
+    near = stage(_parted(pairs, sets, percent).filter("near").select("a", "b"), "near")
+    return _shared(near, sets, percent)
 
 
 def _rare(keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -281,6 +281,11 @@ def link_classes(
         "shared",
     )
     members = stage(placed.join(shared, "region").distinct(), "regions")
+    # Of regions with the same members one is enough: near copies share most of theirs.
+    sign = [F.bit_xor(F.xxhash64("key", F.lit(i))).alias(f"_{i}") for i in (0, 1)]
+    signed = members.groupBy("region").agg(F.count(F.lit(1)).alias("_n"), *sign)
+    kept = signed.groupBy("_n", "_0", "_1").agg(F.min("region").alias("region")).select("region")
+    members = stage(members.join(kept, "region", "left_semi"), "different-regions")
     wanted = members.select("key").distinct()
     # One row for each key; the key is taken from the row's own text again.
     firsts = classes.join(wanted, "key").groupBy("key").agg(F.min("row").alias("row"))
@@ -417,14 +422,13 @@ def _in_cells(
         met = large.join(pivots.select("cell", F.col("key").alias("pivot")), "cell")
         met = stage(met.filter("key != pivot"), "met")
         distances = stage(
-            _measured(
+            _parted(
                 met.select(F.col("key").alias("a"), F.col("pivot").alias("b")).distinct(), sets, percent
             ),
             "distances",
         )
-        links = stage(
-            links.union(found).union(distances.filter("link").select("a", "b")), "links"
-        )
+        with_pivots = _shared(distances.filter("near").select("a", "b"), sets, percent)
+        links = stage(links.union(found).union(with_pivots), "links")
         reached = components(links)
         spans = (
             met.join(distances.withColumnsRenamed({"a": "key", "b": "pivot"}), ["key", "pivot"])
