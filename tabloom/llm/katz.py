@@ -39,7 +39,7 @@ from tabloom.workspace import remove, stage, stage_bucketed, stage_path
 
 START, END = np.uint64(1), np.uint64(2)
 _LOW48 = np.uint64((1 << 48) - 1)
-_SLICES, _HOT_SLICES = np.uint64(16), np.uint64(256)
+_SLICES, _HOT_SLICES, _STEP = np.uint64(16), np.uint64(256), 2654435761
 _BATCH_BYTES = 10 << 20
 _TOKEN_BYTES = 6
 
@@ -210,7 +210,7 @@ class Katz:
         return found[0] if found else self.unseen
 
 
-def fit(docs: DataFrame, k: int = 5, share: float = 1e-3, bucket_tokens: int = 3 << 20) -> Katz:
+def fit(docs: DataFrame, k: int = 5, share: float = 1e-3, bucket_tokens: int = 1 << 20) -> Katz:
     """Count all rows of ``docs(text)`` and write the model's tables.
 
     Texts are dealt to buckets of about ``bucket_tokens``, so that a task's part does not grow
@@ -291,59 +291,43 @@ def fit(docs: DataFrame, k: int = 5, share: float = 1e-3, bucket_tokens: int = 3
     return model
 
 
-_TABLE = ["bucket", "v", "w", "n", "x", "alpha", "whole"]
-
-
-def _slices_of(v: np.ndarray, hot: np.ndarray) -> np.ndarray:
-    return np.where(np.isin(v, hot), _HOT_SLICES, np.uint64(1))
+def _place(v: np.ndarray, w: np.ndarray, hot: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets of bigrams: by the first word, and for hot ones by a part of the second too."""
+    turn = np.where(np.isin(v, hot), w % _HOT_SLICES, np.uint64(0))
+    return (((v >> np.uint64(17)) + turn * np.uint64(_STEP)) % np.uint64(buckets)).astype(np.int64)
 
 
 def _tables(words: DataFrame, bigrams: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
-    """Rows of the words and bigrams for every bucket that asks for them."""
-
-    def of_words(batches):
-        for batch in batches:
-            v = batch.column(0).to_numpy().view(np.uint64)
-            many = np.isin(v, hot)
-            at = np.concatenate(
-                [np.flatnonzero(~many), np.repeat(np.flatnonzero(many), int(_HOT_SLICES))]
-            )
-            turn = np.concatenate(
-                [
-                    np.zeros((~many).sum(), np.uint64),
-                    np.tile(np.arange(_HOT_SLICES, dtype=np.uint64), many.sum()),
-                ]
-            )
-            bucket = (T.mix(v[at] + turn) % np.uint64(buckets)).astype(np.int64)
-            _, one = np.unique(np.stack([bucket, v[at].view(np.int64)]), axis=1, return_index=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket[one]), *[c.take(pa.array(at[one])) for c in batch.columns]],
-                _TABLE,
-            )
+    """Rows of the words and bigrams for every bucket that asks for them, as ``_place`` has it."""
+    is_hot = F.col("v").isin(hot.view(np.int64).tolist())
+    slices = int(_HOT_SLICES)
 
-    def of_bigrams(batches):
-        for batch in batches:
-            v, w = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
-            bucket = _bucket_of(v, w, _slices_of(v, hot), buckets)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket), *batch.columns], _TABLE
-            )
+    def bucket(turn: Column) -> Column:
+        return F.pmod(F.shiftrightunsigned("v", 17) + turn * F.lit(_STEP), F.lit(buckets).cast("long"))
 
-    shape = "bucket long, v long, w long, n long, x double, alpha double, whole double"
-    none = F.lit(None).cast("double")
+    none, zero = F.lit(None).cast("double"), F.lit(0).cast("long")
+    turns = F.sequence(zero, F.lit(slices - 1).cast("long"))
+    places = F.when(is_hot, F.array_distinct(F.transform(turns, bucket))).otherwise(F.array(bucket(zero)))
     by_word = words.select(
+        F.explode(places).alias("bucket"),
         "v",
-        F.lit(0).cast("long").alias("w"),
-        F.coalesce("n", F.lit(0)).cast("long").alias("n"),
+        zero.alias("w"),
+        F.coalesce("n", zero).alias("n"),
         F.col("log_p").alias("x"),
         F.coalesce("alpha", F.lit(0.0)).alias("alpha"),
         F.coalesce("whole", F.lit(0.0)).alias("whole"),
     )
-    gain = F.log10(F.col("c") / F.col("p"))
+    turn = F.when(is_hot, F.col("w") % slices).otherwise(zero)
     by_pair = bigrams.select(
-        "v", "w", F.lit(-1).cast("long").alias("n"), gain.alias("x"), none.alias("alpha"), none.alias("whole")
+        bucket(turn).alias("bucket"),
+        "v",
+        "w",
+        F.lit(-1).cast("long").alias("n"),
+        F.log10(F.col("c") / F.col("p")).alias("x"),
+        none.alias("alpha"),
+        none.alias("whole"),
     )
-    return by_word.mapInArrow(of_words, shape).union(by_pair.mapInArrow(of_bigrams, shape))
+    return by_word.union(by_pair)
 
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -415,7 +399,7 @@ def _scored(unseen: float):
     return evaluate
 
 
-def score(docs: DataFrame, model: Katz, bucket_tokens: int = 3 << 20) -> DataFrame:
+def score(docs: DataFrame, model: Katz, bucket_tokens: int = 1 << 20) -> DataFrame:
     """Per document ``doc_id, n_tokens, n_known, base_score, score`` under ``model``.
 
     ``base_score`` sums log10((c + 0.1) / (N + 0.1 (V + 1))) over the tokens. One row for every row
@@ -435,7 +419,7 @@ def score(docs: DataFrame, model: Katz, bucket_tokens: int = 3 << 20) -> DataFra
             v, w, row = _tokens(batch, 1)
             ids = batch.column(0).to_numpy()
             w = w & _LOW48
-            bucket = _bucket_of(v, w, _slices_of(v, hot), buckets)
+            bucket = _place(v, w, hot, buckets)
             order = np.lexsort((row, w, v, bucket))
             v, w, row, bucket = v[order], w[order], row[order], bucket[order]
             new = np.flatnonzero(
@@ -443,14 +427,24 @@ def score(docs: DataFrame, model: Katz, bucket_tokens: int = 3 << 20) -> DataFra
             )
             ends = np.append(new, len(v))
             row = row.astype(np.uint16 if len(ids) <= 1 << 16 else np.uint32)
+            whole = ids.tobytes()
+
+            def rows_and_ids(x, a, b):
+                """Rows of the tokens in a bucket; ids of all rows, or of its own if it has few."""
+                held = x[ends[a] : ends[b]]
+                if len(held) >= len(ids):
+                    return held.tobytes(), whole
+                own, number = np.unique(held, return_inverse=True)
+                kind = np.uint16 if len(own) <= 1 << 16 else np.uint32
+                return number.astype(kind).tobytes(), ids[own].tobytes()
+
             rest = {
                 "n": (lambda x, a, b: _small(np.diff(x[a : b + 1])), ends),
-                "rows": (lambda x, a, b: x[ends[a] : ends[b]].tobytes(), row),
+                "rows": (rows_and_ids, row),
             }
-            rows = list(_packed(bucket[new], v[new], w[new], rest))
-            held = pa.array([ids.tobytes()] * len(rows), pa.binary())
+            rows = [(*r[:-1], *r[-1]) for r in _packed(bucket[new], v[new], w[new], rest)]
             yield pa.RecordBatch.from_arrays(
-                [*[pa.array(c) for c in zip(*rows)], held],
+                [pa.array(c) for c in zip(*rows)],
                 ["bucket", "v", "runs", "w", "n", "rows", "ids"],
             )
 
