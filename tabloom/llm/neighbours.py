@@ -5,17 +5,18 @@ cut into balanced parts: parts start as recursive halves along the widest direct
 refined by moving vectors to where most of their neighbours are, within a bound on the size. A
 small classifier then learns from each vector how its neighbours are spread over the parts. Every
 row is indexed under its most probable part; a query goes to several most probable parts, as
-many as bring ``recall`` on the sample, and their rows are ranked by exact inner product in
-double precision.
+many as bring ``recall`` on the sample and hold as many rows as are asked for, and their rows are
+ranked by exact inner product in double precision. Parts grow in number with the rows, up to a
+32nd of the sample, so that a larger index wants a larger sample.
 
 Parts are split by a hash into blocks of ``block_rows``, and the queries of a part into blocks
 too, so that a part that holds very many rows (copies of one vector) is the work of many tasks.
 Inside a block equal vectors are compared once and keep their least ids, as many as can be asked.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components take no
-part, nor do those whose length differs from the first one of the sample; rows repeated with
-the same id are candidates each, but none of them is found for its own id; an empty table gives
-no rows; with fewer candidates than asked, all are given, as there is one part then.
+part, nor do those whose length is not the most frequent one (the greater of two); rows repeated
+with the same id are candidates each, but none of them is found for its own id; an empty table
+gives no rows; with fewer candidates than asked, all are given.
 """
 
 from __future__ import annotations
@@ -27,6 +28,9 @@ from pyspark.sql import functions as F
 
 from tabloom.workspace import stage
 
+# Rows of a part for which it is cut smaller.
+PART_ROWS = 100_000
+
 
 def usable(vector: Column) -> Column:
     """True for vectors that take part."""
@@ -128,11 +132,15 @@ def fit(
     vectors: DataFrame,
     n: int,
     sample: int = 8192,
-    parts: int = 32,
+    parts: int | None = None,
     k: int = 20,
     recall: float = 0.94,
 ) -> Router | None:
-    """Learn the parts from a sample of ``vectors(vec_id, embedding)``, ``n`` rows in all."""
+    """Learn the parts from a sample of ``vectors(vec_id, embedding)``, ``n`` rows in all.
+
+    ``parts`` are 32 unless given, or more where they would hold over ``PART_ROWS`` rows.
+    """
+    parts = parts or max(32, n // PART_ROWS)
     rows = (
         vectors.withColumn("_place", F.xxhash64("vec_id"))
         .orderBy("_place", "vec_id")
@@ -142,7 +150,6 @@ def fit(
         .column(0)
         .to_pylist()
     )
-    rows = [r for r in rows if len(r) == len(rows[0])]
     if not rows:
         return None
     x = np.unique(np.array(rows, np.float64), axis=0)
@@ -178,7 +185,7 @@ def search(
     queries: DataFrame,
     k: int = 20,
     sample: int = 8192,
-    parts: int = 32,
+    parts: int | None = None,
     recall: float = 0.94,
     block_rows: int = 16_384,
     block_queries: int = 8_192,
@@ -191,13 +198,15 @@ def search(
     spark = vectors.sparkSession
     shape = "query_id long, rank int, vec_id long, score double"
     rows = vectors.select("vec_id", "embedding").filter(usable(F.col("embedding")))
-    asked_rows = queries.select("vec_id", "embedding").filter(usable(F.col("embedding")))
-    n = rows.count()
-    router = fit(rows, n, sample, parts, k, recall) if n else None
-    if router is None:
+    lengths = rows.groupBy(F.size("embedding").alias("dim")).count()
+    most = lengths.orderBy(F.desc("count"), F.desc("dim")).first()
+    if most is None:
         return spark.createDataFrame([], shape)
-    dim = router.weights[0].shape[0]
+    dim, n = most["dim"], most["count"]
     right_length = F.size("embedding") == dim
+    rows = rows.filter(right_length)
+    asked_rows = queries.select("vec_id", "embedding").filter(usable(F.col("embedding")))
+    router = fit(rows, n, sample, parts, k, recall)
 
     def index(batches):
         for batch in batches:
@@ -207,22 +216,29 @@ def search(
                 [pa.array(part), *batch.columns], ["part", "vec_id", "embedding"]
             )
 
+    indexed = stage(
+        rows.mapInArrow(index, "part int, vec_id long, embedding array<float>"),
+        "vectors",
+    )
+    # A number for each part.
+    held = np.zeros(len(router.weights[3]), np.int64)
+    for row in indexed.groupBy("part").count().collect():
+        held[row["part"]] = row["count"]
+
     def route(batches):
         for batch in batches:
             x = _matrix(batch.column(1), dim)
-            best = np.argsort(-router.logits(x), axis=1, kind="stable")[:, : router.asked]
-            at = pa.array(np.repeat(np.arange(len(x)), best.shape[1]))
+            best = np.argsort(-router.logits(x), axis=1, kind="stable")
+            # Further parts until there are k rows besides the query's own.
+            enough = (np.cumsum(held[best], axis=1) <= k).sum(1) + 1
+            count = np.minimum(np.maximum(enough, router.asked), best.shape[1])
+            chosen = best[np.arange(best.shape[1])[None, :] < count[:, None]]
+            at = pa.array(np.repeat(np.arange(len(x)), count))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(best.ravel().astype(np.int32)), *[c.take(at) for c in batch.columns]],
+                [pa.array(chosen.astype(np.int32)), *[c.take(at) for c in batch.columns]],
                 ["part", "query_id", "embedding"],
             )
 
-    indexed = stage(
-        rows.filter(right_length).mapInArrow(
-            index, "part int, vec_id long, embedding array<float>"
-        ),
-        "vectors",
-    )
     routed = asked_rows.filter(right_length).mapInArrow(
         route, "part int, query_id long, embedding array<float>"
     )

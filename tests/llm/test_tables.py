@@ -160,6 +160,34 @@ def test_odd_vectors_take_no_part(spark):
     assert neighbours.search(docs.filter("false"), docs.filter("false")).collect() == []
 
 
+def test_further_parts_are_asked_until_there_are_enough(spark):
+    rng = np.random.default_rng(2)
+    # A few vectors far from all others, fewer than are asked for.
+    x = rng.standard_normal((1500, 8)).astype(np.float32)
+    x[:5] = 50 + rng.standard_normal((5, 8))
+    rows = [(i, v.tolist(), 1, 2) for i, v in enumerate(x)] + [(9000, [1.0, 2.0], 1, 2), (9001, [1.0] * 9, 1, 2)]
+    docs = vectors(spark, rows)
+    found = neighbours.search(docs, docs.filter("vec_id < 5"), parts=8, recall=0.01).toPandas()
+    assert all(list(found[found.query_id == i].sort_values("rank")["rank"]) == list(range(1, 21)) for i in range(5))
+    assert not set(found.vec_id) & {9000, 9001}
+
+
+def test_long_paths_make_no_more_patterns_than_are_listed(spark):
+    url = "http://b.com/" + "/".join(f"s{i}" for i in range(6000))
+    rows = spark.createDataFrame([(url,)], "url string")
+    held = rows.select(url_lists.patterns(F.col("url"), 3).alias("p")).first().p
+    assert held == ["b.com", "com", "b.com/s0", "b.com/s0/s1", "b.com/s0/s1/s2"]
+    assert rows.select(url_lists.patterns(F.col("url"), 0).alias("p")).first().p == ["b.com", "com"]
+
+
+def test_shards_have_few_rows(spark):
+    rows = [(i, "w" if i % 3 else None, "s") for i in range(3000)]
+    docs = docs_of(spark, rows)
+    found = mixing.mix(docs, shard_rows=100).collect()
+    assert len(found) == 3000 and abs(sum(r.taken for r in found) - found[0].target) <= 16 * 31
+    assert sorted(map(str, mixing.mix(docs.repartition(7), shard_rows=100).collect())) == sorted(map(str, found))
+
+
 def test_url_lists_with_odd_rows(spark):
     day = lambda n: dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
     captures = spark.createDataFrame(
