@@ -110,3 +110,11 @@ def test_axis_range(spark):
     df = spark.createDataFrame([(1.0, 5.0), (2.0, -1.0)], "a double, b double")
     assert tuple(diagnostics.axis_range(df, ["a", "b"]).first()) == (-1.0, 5.0)
     assert tuple(diagnostics.axis_range(df, ["a"]).first()) == (1.0, 2.0)
+
+
+def test_matrix_of_too_many_classes(spark, monkeypatch):
+    df = spark.range(30).select(F.col("id").alias("label"), (F.col("id") % 7).alias("prediction"))
+    assert metrics.confusion_matrix(df).count() == 30
+    monkeypatch.setattr(metrics, "MOST_CLASSES", 20)
+    with pytest.raises(ValueError, match="more than 20 classes"):
+        metrics.confusion_matrix(df)
