@@ -81,15 +81,18 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(conf).delete(where, True)
 
 
-def stage_bucketed(df: DataFrame, name: str, column: str, buckets: int, order: str) -> DataFrame:
+def stage_bucketed(
+    df: DataFrame, name: str, column: str, buckets: int, order: str, dealt: bool = False
+) -> DataFrame:
     """Write ``df`` as a table dealt by ``column`` into ``buckets`` files, each in ``order``.
 
-    Joins and groups by that column read it where it lies, without a shuffle.
+    Joins and groups by that column read it where it lies, without a shuffle. ``dealt``: the rows
+    are in that many partitions by the column already.
     """
     spark = df.sparkSession
     path = new_path(spark, name)
     table = f"tabloom_{path.rpartition('/')[2].replace('-', '_')}"
-    dealt = df.repartition(buckets, column)
+    rows = df if dealt else df.repartition(buckets, column)
     with _shuffles_dropped(spark):
-        dealt.write.bucketBy(buckets, column).sortBy(order).option("path", path).saveAsTable(table)
+        rows.write.bucketBy(buckets, column).sortBy(order).option("path", path).saveAsTable(table)
     return spark.table(table)
