@@ -18,8 +18,8 @@ differ. The join goes down through three kinds of pivots:
    farther by no more than twice the number of shingles in which it can differ from a linked set.
    By the triangle inequality two linked sets meet in the nearest cell of either. Cells are cut
    again until they hold one class, or so few members that all of them are compared. Distances are
-   those of the parities of shingles in 512 slots, a metric in which no two sets are farther apart
-   than in shingles, so that this needs no sets.
+   those of the parities of shingles in 2048 slots, a metric in which no two sets are farther
+   apart than in shingles, so that this needs no sets.
 5. Shingles again, for cells that pivots do not cut since their members are all as far from each
    other as from any pivot: their sets are joined by the shingles that are rarest among them, and
    the place of the first common one bounds how far apart the two are. Edited copies hold rare
@@ -44,9 +44,11 @@ from pyspark.sql import functions as F
 
 from tabloom.llm import text as T
 from tabloom.llm.graph import components
-from tabloom.workspace import stage
+from tabloom.workspace import stage, stage_bucketed
 
 _SEEDS = 8
+# Slots of parities; sets of up to twice as many shingles are told apart well.
+SLOTS = 2048
 
 
 def shingle_sets(column: pa.Array, width: int) -> list[np.ndarray]:
@@ -134,8 +136,8 @@ def _linked(shared: Column, a: Column, b: Column, percent: int) -> Column:
 
 
 def parities(s: np.ndarray) -> np.ndarray:
-    """Whether the number of shingles in each of 512 slots is odd, as eight numbers."""
-    slots = np.bincount((T.mix(s) >> np.uint64(55)).astype(np.int64), minlength=512) & 1
+    """Whether the number of shingles in each slot is odd, as bits."""
+    slots = np.bincount((T.mix(s) % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS) & 1
     return np.packbits(slots.astype(np.uint8)).view(np.int64)
 
 
@@ -149,7 +151,7 @@ def _parted(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         sets.select(F.col("key").alias("b"), held.alias("_b")), "b"
     )
     apart = sum(
-        F.bit_count(F.col("_a.parities")[i].bitwiseXOR(F.col("_b.parities")[i])) for i in range(8)
+        F.bit_count(F.col("_a.parities")[i].bitwiseXOR(F.col("_b.parities")[i])) for i in range(SLOTS // 64)
     )
     # Of linked sets at least percent / (100 + percent) of both sizes is shared, on either side.
     most = (F.col("_a.n") + F.col("_b.n")) * (100 - percent)
@@ -182,18 +184,23 @@ def _rare(keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """First shingles of sets in order of rarity among ``keys(key, component)``.
 
     Of two linked sets the first common shingle stands among the first n - ceil(t n) + 1 of each.
-    Those that no other set of ``keys`` holds meet nothing.
+    Those that no other set of ``keys`` holds meet nothing; they are the rarest, so that only their
+    number matters, and only the others are shuffled by set.
     """
-    held = keys.join(sets, "key").select(
-        "key", "component", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle")
-    )
-    counts = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("_df"))
-    order = Window.partitionBy("key").orderBy("_df", "shingle")
+    distinct = keys.select("key").distinct()
+    held = distinct.join(sets.select("key", "shingles"), "key")
+    held = held.select("key", F.explode("shingles").alias("shingle"))
+    counts = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("_df")).filter("_df > 1")
+    common = stage(held.join(stage(counts, "common"), "shingle").select("key", "shingle", "_df"), "common-of-sets")
+    own = Window.partitionBy("key")
+    order = own.orderBy("_df", "shingle")
     last = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    alone = F.col("n") - F.count(F.lit(1)).over(own)
+    sizes = keys.join(sets.select("key", "n"), "key").select("key", "component", "n")
     return (
-        held.join(counts, "shingle")
-        .withColumn("place", F.row_number().over(order))
-        .filter((F.col("place") <= last) & (F.col("_df") > 1))
+        common.join(sizes, "key")
+        .withColumn("place", F.row_number().over(order) + alone)
+        .filter(F.col("place") <= last)
         .select("key", "component", "n", "shingle", "place")
     )
 
@@ -252,12 +259,12 @@ def link_classes(
             ends = np.concatenate([[0], np.cumsum([len(s) for s in found])]).astype(np.int32)
             held = np.concatenate([np.zeros(0, np.uint64), *found])
             odd = np.concatenate([np.zeros(0, np.int64), *[parities(s) for s in found]])
-            of_eight = pa.array(np.arange(len(found) + 1, dtype=np.int32) * 8)
+            of_set = pa.array(np.arange(len(found) + 1, dtype=np.int32) * (SLOTS // 64))
             yield pa.RecordBatch.from_arrays(
                 [
                     T.signed(keys),
                     pa.array([len(s) for s in found], pa.int32()),
-                    pa.ListArray.from_arrays(of_eight, pa.array(odd)),
+                    pa.ListArray.from_arrays(of_set, pa.array(odd)),
                     pa.ListArray.from_arrays(pa.array(ends), T.signed(held)),
                 ],
                 ["key", "n", "parities", "shingles"],
@@ -289,12 +296,19 @@ def link_classes(
     wanted = members.select("key").distinct()
     # One row for each key; the key is taken from the row's own text again.
     firsts = classes.join(wanted, "key").groupBy("key").agg(F.min("row").alias("row"))
-    sets = stage(
+    # Sets are joined by key time and again; dealt by it, they are not shuffled for that.
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sets = stage_bucketed(
         texts.select("text", "row")
         .join(firsts, "row", "left_semi")
         .mapInArrow(sets_of, "key long, n int, parities array<long>, shingles array<long>")
+        .repartition(buckets, "key")
         .dropDuplicates(["key"]),
         "shingles",
+        "key",
+        buckets,
+        "key",
+        dealt=True,
     )
 
     links = _join(members, sets, percent, leaf)
@@ -419,15 +433,19 @@ def _in_cells(
         large = cells.filter(F.col("_size") > FEW)
         drawn = Window.partitionBy("cell").orderBy(F.xxhash64("cell", "key"))
         pivots = large.withColumn("_turn", F.row_number().over(drawn)).filter(F.col("_turn") <= PIVOTS)
-        met = large.join(pivots.select("cell", F.col("key").alias("pivot")), "cell")
-        met = stage(met.filter("key != pivot"), "met")
+        chosen = pivots.select("cell", F.col("key").alias("pivot"), F.col("component").alias("_other"))
+        met = stage(large.join(chosen, "cell").filter("key != pivot"), "met")
         distances = stage(
             _parted(
                 met.select(F.col("key").alias("a"), F.col("pivot").alias("b")).distinct(), sets, percent
             ),
             "distances",
         )
-        with_pivots = _shared(distances.filter("near").select("a", "b"), sets, percent)
+        # What is in one class needs no link.
+        apart = met.filter("component != _other")
+        apart = apart.select(F.col("key").alias("a"), F.col("pivot").alias("b")).distinct()
+        close = stage(distances.filter("near").join(apart, ["a", "b"]).select("a", "b"), "close")
+        with_pivots = _shared(close, sets, percent)
         links = stage(links.union(found).union(with_pivots), "links")
         reached = components(links)
         spans = (
