@@ -104,14 +104,14 @@ def totals_above(
     keys = [f"__by{i}" for i in range(len(groups))]
     held = [f"__s{i}" for i in range(len(columns))]
     starts = [f"__t{i}" for i in range(len(columns))]
-    rows = stage(rows.withColumn("__part", F.array(_kind(F.col("__value")))), "part-rows")
-    parts = rows.groupBy(*keys, "__part").agg(
+    rows = stage(rows.withColumn("bucket", F.array(_kind(F.col("__value")))), "part-rows")
+    parts = rows.groupBy(*keys, "bucket").agg(
         F.count(F.lit(1)).alias("__n"),
         F.min("__value").alias("__low"),
         F.max("__value").alias("__high"),
         *[F.sum(c).alias(c) for c in held],
     )
-    outer = Window.partitionBy(*keys).orderBy(F.col("__part").desc())
+    outer = Window.partitionBy(*keys).orderBy(F.col("bucket").desc())
     above = outer.rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumns(
         {t: F.coalesce(F.sum(c).over(above), F.lit(0)) for t, c in zip(starts, held)}
@@ -119,13 +119,13 @@ def totals_above(
     parts, done = stage(parts, "parts"), []
     while True:
         large = parts.filter(F.col("__n") > ROWS_PER_RANGE)
-        small = parts.filter(F.col("__n") <= ROWS_PER_RANGE).select(*keys, "__part", *starts)
+        small = parts.filter(F.col("__n") <= ROWS_PER_RANGE).select(*keys, "bucket", *starts)
         done.append(_within(rows, small, keys, held, starts))
         if large.isEmpty():
             break
         ends = large.select(
             *keys,
-            "__part",
+            "bucket",
             F.col("__low"),
             F.col("__high"),
             *[F.col(t).alias(f"{t}_up") for t in starts],
@@ -136,31 +136,31 @@ def totals_above(
         # Parts are told apart by the slots that lead to them.
         rows = stage(
             cut.select(
-                *keys, "__value", *held, F.array_append("__part", F.col("__slot")).alias("__part")
+                *keys, "__value", *held, F.array_append("bucket", F.col("__slot")).alias("bucket")
             ),
             "part-rows",
         )
-        inner = rows.groupBy(*keys, "__part").agg(
+        inner = rows.groupBy(*keys, "bucket").agg(
             F.count(F.lit(1)).alias("__n"),
             F.min("__value").alias("__low"),
             F.max("__value").alias("__high"),
             *[F.sum(c).alias(c) for c in held],
         )
-        parent = F.slice("__part", F.lit(1), F.size("__part") - 1)
+        parent = F.slice("bucket", F.lit(1), F.size("bucket") - 1)
         inner = inner.withColumn("__parent", parent)
-        siblings = Window.partitionBy(*keys, "__parent").orderBy(F.col("__part").desc())
+        siblings = Window.partitionBy(*keys, "__parent").orderBy(F.col("bucket").desc())
         above = siblings.rowsBetween(Window.unboundedPreceding, -1)
         inner = inner.withColumns(
             {t: F.coalesce(F.sum(c).over(above), F.lit(0)) for t, c in zip(starts, held)}
         )
-        up = ends.drop("__low", "__high").withColumnRenamed("__part", "__up")
+        up = ends.drop("__low", "__high").withColumnRenamed("bucket", "__up")
         same = inner["__parent"] == up["__up"]
         for k in keys:
             same = same & inner[k].eqNullSafe(up[k])
         parts = stage(
             inner.join(up, same).select(
                 *[inner[k] for k in keys],
-                "__part",
+                "bucket",
                 "__n",
                 "__low",
                 "__high",
@@ -182,10 +182,10 @@ def totals_above(
 
 def _matched(rows: DataFrame, parts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows with the columns of their part. Parts are stored, so their size is known."""
-    same = rows["__part"] == parts["__part"]
+    same = rows["bucket"] == parts["bucket"]
     for k in keys:
         same = same & rows[k].eqNullSafe(parts[k])
-    return rows.join(parts, same).drop(parts["__part"], *[parts[k] for k in keys])
+    return rows.join(parts, same).drop(parts["bucket"], *[parts[k] for k in keys])
 
 
 def _within(
@@ -196,8 +196,9 @@ def _within(
     starts: Sequence[str],
 ) -> DataFrame:
     """Totals above each row of parts that one task can sort."""
-    place = Window.partitionBy(*keys, "__part").orderBy(F.col("__value").desc())
+    place = Window.partitionBy(*keys, "bucket").orderBy(F.col("__value").desc())
     above = place.rowsBetween(Window.unboundedPreceding, -1)
-    return _matched(rows, parts, keys).withColumns(
+    # Both sides are shuffled by part, which is what the window needs; nothing is broadcast.
+    return _matched(rows, parts.hint("shuffle_hash"), keys).withColumns(
         {t: F.col(t) + F.coalesce(F.sum(c).over(above), F.lit(0)) for t, c in zip(starts, held)}
     )
