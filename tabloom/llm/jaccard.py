@@ -26,7 +26,7 @@ differ. The join goes down through three kinds of pivots:
    shingles of their own first, so they are told apart without comparing them.
 
 So copies, however many, cost one comparison each. Regions of the same members are one region, and
-before two sets are compared, their parities are. Nothing is dropped: the classes are the connected
+before two sets are compared, their parities are, in more slots where the sets are large. Nothing is dropped: the classes are the connected
 components of all links.
 
 Sets are kept as 64-bit hashes of shingles and documents of equal sets are one class from the
@@ -135,12 +135,17 @@ def _linked(shared: Column, a: Column, b: Column, percent: int) -> Column:
     return shared * 100 >= (a + b - shared) * percent
 
 
-def parities(s: np.ndarray) -> np.ndarray:
-    """Whether the number of shingles in each slot is odd, as bits."""
-    slots = np.bincount((T.mix(s) % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS) & 1
+def parities(s: np.ndarray, n: int = SLOTS) -> np.ndarray:
+    """Whether the number of shingles in each of ``n`` slots is odd, as bits."""
+    slots = np.bincount((T.mix(s) % np.uint64(n)).astype(np.int64), minlength=n) & 1
     return np.packbits(slots.astype(np.uint8)).view(np.int64)
 
 
+def _finer_slots(s: np.ndarray) -> int:
+    """Slots of a large set: a power of two that grows with it; 0 for others."""
+    return 1 << int(len(s) - 1).bit_length() if len(s) > SLOTS else 0
+
+
 def _parted(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs ``(a, b)`` with ``n`` of a, how many parities differ (``apart``), and ``near``.
 
@@ -160,8 +165,29 @@ def _parted(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return marked.select("a", "b", F.col("_a.n").alias("n"), apart.alias("apart"), near.alias("near"))
 
 
+def _finer(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs but for large sets whose finer parities differ more than those of linked ones can.
+
+    Where one has twice the slots of the other, its parities in half as many are compared.
+    """
+    held = F.struct("n", "fine", "half")
+    marked = pairs.join(sets.select(F.col("key").alias("a"), held.alias("_a")), "a").join(
+        sets.select(F.col("key").alias("b"), held.alias("_b")), "b"
+    )
+    one, two = F.size("_a.fine"), F.size("_b.fine")
+    x = F.when(one <= two, F.col("_a.fine")).otherwise(F.col("_a.half"))
+    y = F.when(two <= one, F.col("_b.fine")).otherwise(F.col("_b.half"))
+    differ = F.zip_with(x, y, lambda i, j: F.bit_count(i.bitwiseXOR(j)))
+    apart = F.aggregate(differ, F.lit(0), lambda total, i: total + i)
+    most = (F.col("_a.n") + F.col("_b.n")) * (100 - percent)
+    large = (one > 0) & (two > 0) & (F.greatest(one, two) <= F.least(one, two) * 2)
+    near = F.when(large, apart * (100 + percent) <= most).otherwise(F.lit(True))
+    return marked.filter(near).select("a", "b")
+
+
 def _shared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The linked ones of distinct key pairs ``(a, b)``, by their whole sets."""
+    pairs = stage(_finer(pairs, sets, percent), "pairs")
     left = sets.select(F.col("key").alias("a"), F.col("shingles").alias("_a"))
     right = sets.select(F.col("key").alias("b"), F.col("shingles").alias("_b"))
     shared = F.size(F.array_intersect("_a", "_b"))
@@ -259,15 +285,18 @@ def link_classes(
             ends = np.concatenate([[0], np.cumsum([len(s) for s in found])]).astype(np.int32)
             held = np.concatenate([np.zeros(0, np.uint64), *found])
             odd = np.concatenate([np.zeros(0, np.int64), *[parities(s) for s in found]])
+            numbers = pa.list_(pa.int64())
             of_set = pa.array(np.arange(len(found) + 1, dtype=np.int32) * (SLOTS // 64))
             yield pa.RecordBatch.from_arrays(
                 [
                     T.signed(keys),
                     pa.array([len(s) for s in found], pa.int32()),
                     pa.ListArray.from_arrays(of_set, pa.array(odd)),
+                    pa.array([parities(s, m) if (m := _finer_slots(s)) else [] for s in found], numbers),
+                    pa.array([parities(s, m // 2) if (m := _finer_slots(s)) else [] for s in found], numbers),
                     pa.ListArray.from_arrays(pa.array(ends), T.signed(held)),
                 ],
-                ["key", "n", "parities", "shingles"],
+                ["key", "n", "parities", "fine", "half", "shingles"],
             )
 
     known = stage(
@@ -301,7 +330,11 @@ def link_classes(
     sets = stage_bucketed(
         texts.select("text", "row")
         .join(firsts, "row", "left_semi")
-        .mapInArrow(sets_of, "key long, n int, parities array<long>, shingles array<long>")
+        .mapInArrow(
+            sets_of,
+            "key long, n int, parities array<long>, fine array<long>, half array<long>, "
+            "shingles array<long>",
+        )
         .repartition(buckets, "key")
         .dropDuplicates(["key"]),
         "shingles",

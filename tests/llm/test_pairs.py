@@ -42,6 +42,24 @@ def test_classes_are_those_of_all_pairs(spark, width, percent, leaf):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == expected
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_large_sets(spark, percent):
+    """Sets with finer parities, of one and of neighbouring sizes, near and apart."""
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(4300)]
+    rows = []
+    for size in (1900, 2040, 2200, 3900, 4090, 4100, 4300):
+        for edits in (0, 5, 60, 150):
+            text = base[:size]
+            for _ in range(edits):
+                text[rng.randrange(size)] = f"e{rng.randrange(10**9)}"
+            rows.append(" ".join(text))
+    rows += [" ".join([f"v{k}x{i}" for i in range(2500)] + base[:400]) for k in range(4)]
+    rows = list(enumerate(rows))
+    found = jaccard.link_classes(frame(spark, rows), 3, percent).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute.classes(rows, 3, percent)
+
+
 @pytest.mark.parametrize("percent", [60, 80, 90, 97])
 def test_linked_sizes_lie_in_cells_that_meet(percent):
     cells = jaccard._cells(percent, 100_000)
