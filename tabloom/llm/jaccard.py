@@ -37,6 +37,8 @@ empty; rows are one document each, whatever their ids, and are linked by their o
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -49,6 +51,8 @@ from tabloom.workspace import stage, stage_bucketed
 _SEEDS = 8
 # Slots of parities; sets of up to twice as many shingles are told apart well.
 SLOTS = 2048
+# Slices in which shingles are counted and met.
+SLICES = 4
 
 
 def shingle_sets(column: pa.Array, width: int) -> list[np.ndarray]:
@@ -216,8 +220,14 @@ def _rare(keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     distinct = keys.select("key").distinct()
     held = distinct.join(sets.select("key", "shingles"), "key")
     held = held.select("key", F.explode("shingles").alias("shingle"))
-    counts = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("_df")).filter("_df > 1")
-    common = stage(held.join(stage(counts, "common"), "shingle").select("key", "shingle", "_df"), "common-of-sets")
+    # The universe of shingles is gone through in slices, so that one slice at a time is shuffled.
+    parts = []
+    for i in range(SLICES):
+        part = held.filter(F.pmod("shingle", F.lit(SLICES)) == i)
+        counts = part.groupBy("shingle").agg(F.count(F.lit(1)).alias("_df")).filter("_df > 1")
+        met = part.join(stage(counts, "common"), "shingle").select("key", "shingle", "_df")
+        parts.append(stage(met, "common-of-sets"))
+    common = reduce(DataFrame.union, parts)
     own = Window.partitionBy("key")
     order = own.orderBy("_df", "shingle")
     last = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
