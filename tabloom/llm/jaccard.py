@@ -445,7 +445,7 @@ def _join(members: DataFrame, sets: DataFrame, percent: int, leaf: int) -> DataF
 
 
 # Pivots of a cell, members of a cell that are all compared, and cuts before shingles are tried.
-PIVOTS, FEW, CUTS = 6, 6, 4
+PIVOTS, FEW, CUTS = 6, 6, 2
 
 
 def _in_cells(
