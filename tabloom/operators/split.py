@@ -79,11 +79,48 @@ def sample_classes(
     return df.sampleBy(label, fractions, seed)
 
 
+def _class_cuts(play: DataFrame, want: DataFrame, digits: int) -> tuple[DataFrame, DataFrame]:
+    """``(__label, __cut)`` up to which a class is taken, and what digests do not tell apart.
+
+    ``play(__label, __digest)`` are the rows, ``want(__label, left)`` how many of a class are
+    taken. Of classes whose cut lies between equal digests come the digest and how many of its
+    rows are still to be taken, as ``(__label, __cut, left)``.
+    """
+    found = []
+    for at in range(1, digits + 1, STEP):
+        slots = play.groupBy("__label", F.substring("__digest", 1, at + STEP - 1).alias("__cut")).agg(
+            F.count(F.lit(1)).alias("n")
+        )
+        of_class = Window.partitionBy("__label")
+        before = of_class.orderBy("__cut").rowsBetween(Window.unboundedPreceding, -1)
+        slots = slots.withColumns(
+            {"all": F.sum("n").over(of_class), "before": F.coalesce(F.sum("n").over(before), F.lit(0))}
+        ).join(want, "__label")
+        left = F.floor(F.col("fraction") * F.col("all") + 0.5) if "fraction" in want.columns else F.col("left")
+        here = slots.withColumn("left", left - F.col("before"))
+        here = here.filter((F.col("left") > 0) & (F.col("left") <= F.col("n")))
+        here = stage(here.select("__label", "__cut", "left", "n"), "class-cuts")
+        found.append(here.filter("left = n").select("__label", "__cut"))
+        open_ = here.filter("left < n").select("__label", "__cut", "left")
+        if open_.isEmpty():
+            break
+        want = open_.select("__label", "left")
+        if at + STEP <= digits:
+            play = stage(
+                play.join(open_.select("__label", "__cut"), "__label")
+                .filter(F.substring("__digest", 1, at + STEP - 1) == F.col("__cut"))
+                .drop("__cut"),
+                "class-rows",
+            )
+    return reduce(DataFrame.unionByName, found), open_
+
+
 def sample_classes_exact(
     df: DataFrame,
     label: str,
     fractions: Mapping[object, float] | DataFrame,
     key: str | Sequence[str],
+    repeated: bool = False,
 ) -> DataFrame:
     """Exactly ``round(fraction * rows)`` rows of every class, by the order of a key's hash.
 
@@ -92,7 +129,9 @@ def sample_classes_exact(
     that cuts a class is searched for in all classes at once: rows are counted by class and the
     first digits of the hash, then, in the slot where the cut of the class is, by the next ones.
     The passes are three over ``df`` and a few over what is left in these slots. The key has to
-    tell rows apart where a class is cut.
+    tell rows apart where a class is cut, unless it may be ``repeated``: then the rows of the key
+    at the cut follow in the order of a hash of all their columns, and of equal rows as many are
+    taken as are wanted.
     """
     spark, kind = df.sparkSession, df.schema[label].dataType
     if not isinstance(fractions, DataFrame):
@@ -105,39 +144,32 @@ def sample_classes_exact(
     shares = stage(shares.dropna().withColumn("fraction", F.when(outside, F.raise_error(F.lit("a fraction is not within 0 and 1")).cast("double")).otherwise(F.col("fraction"))), "class-shares")
     digest = key_digest(key).alias("__digest")
     play = df.select(quoted(label).alias("__label"), digest).join(shares.select("__label"), "__label")
-    cut, found = F.col("__cut"), []
-    want = shares.select("__label", "fraction")
-    for at in range(1, DIGITS + 1, STEP):
-        slots = play.groupBy("__label", F.substring("__digest", 1, at + STEP - 1).alias("__cut")).agg(
-            F.count(F.lit(1)).alias("n")
-        )
-        of_class = Window.partitionBy("__label")
-        before = of_class.orderBy("__cut").rowsBetween(Window.unboundedPreceding, -1)
-        slots = slots.withColumns(
-            {"all": F.sum("n").over(of_class), "before": F.coalesce(F.sum("n").over(before), F.lit(0))}
-        ).join(want, "__label")
-        left = F.floor(F.col("fraction") * F.col("all") + 0.5) if at == 1 else F.col("left")
-        here = slots.withColumn("left", left - F.col("before"))
-        here = here.filter((F.col("left") > 0) & (F.col("left") <= F.col("n")))
-        here = stage(here.select("__label", "__cut", "left", "n"), "class-cuts")
-        found.append(here.filter("left = n").select("__label", "__cut"))
-        open_ = here.filter("left < n")
-        if open_.isEmpty():
-            break
-        want = open_.select("__label", "left")
-        inside = open_.select("__label", "__cut")
-        play = stage(
-            play.join(inside, "__label")
-            .filter(F.substring("__digest", 1, at + STEP - 1) == cut)
-            .drop("__cut"),
-            "class-rows",
-        )
-    else:
+    cuts, ties = _class_cuts(play, shares, DIGITS)
+    names = [quoted(c) for c in df.columns]
+    if ties.isEmpty():
+        tied = None
+    elif not repeated:
         raise ValueError(f"{key} does not tell the rows of a class apart")
-    cuts = stage(reduce(DataFrame.unionByName, found), "class-cuts")
+    else:
+        # Rows of one digest get another: their hash, and a number for those that are equal.
+        at_cut = (quoted(label) == F.col("__label")) & (F.col("__digest") == F.col("__cut"))
+        rows = df.withColumn("__digest", digest).join(ties.select("__label", "__cut"), at_cut)
+        second = F.concat(*[F.lpad(F.hex(h), 16, "0") for h in (F.xxhash64(*names), F.col("__number"))])
+        rows = rows.withColumn("__number", F.monotonically_increasing_id()).withColumn("__digest", second)
+        rows = stage(rows.select("__label", "__digest", *names), "tied-rows")
+        inner, _ = _class_cuts(rows.select("__label", "__digest"), ties.select("__label", "left"), DIGITS)
+        inner = stage(inner.withColumnRenamed("__label", "__class"), "class-cuts")
+        tied = rows.join(inner, F.col("__label") == F.col("__class"))
+        tied = tied.filter(F.expr("left(__digest, length(__cut)) <= __cut")).select(*names)
+    cuts = cuts.withColumn("__whole", F.lit(True))
+    if tied is not None:
+        cuts = cuts.unionByName(ties.select("__label", "__cut", F.lit(False).alias("__whole")))
+    cuts = stage(cuts, "class-cuts")
     taken = df.withColumn("__digest", digest).join(cuts, quoted(label) == F.col("__label"))
-    taken = taken.filter(F.expr("left(__digest, length(__cut)) <= __cut"))
-    return taken.select(*[quoted(c) for c in df.columns])
+    first = F.expr("left(__digest, length(__cut))")
+    taken = taken.filter((first < F.col("__cut")) | (F.col("__whole") & (first == F.col("__cut"))))
+    taken = taken.select(*names)
+    return taken if tied is None else taken.unionAll(tied)
 
 
 @contextmanager

@@ -114,7 +114,7 @@ where place <= floor(fraction * n + 0.5)
 """)
 def sample_by_class_exact(spark, sf):
     fractions = {"click": 0.5, "error": 1.0, "view": 0.1}
-    return split.sample_classes_exact(_events(spark, sf), "event_type", fractions, "event_id")
+    return split.sample_classes_exact(_events(spark, sf), "event_type", fractions, "event_id", repeated=True)
 
 
 @query("""
@@ -133,7 +133,9 @@ def sample_many_classes_exact(spark, sf):
     items = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     parts = items.filter("l_partkey % 3 = 0").select(F.col("l_partkey").alias("label")).distinct()
     shares = parts.withColumn("fraction", F.lit(0.25))
-    return split.sample_classes_exact(items, "l_partkey", shares, ["l_orderkey", "l_linenumber"])
+    # Some items have the order and line number of another one of their part.
+    key = ["l_orderkey", "l_linenumber"]
+    return split.sample_classes_exact(items, "l_partkey", shares, key, repeated=True)
 
 
 def _orders(spark, sf):

@@ -188,3 +188,25 @@ def test_exact_samples_need_a_key_and_shares(spark):
     assert split.sample_classes_exact(df.limit(0), "c", {"a": 1.0}, "k").count() == 0
     with pytest.raises(Exception, match="not within 0 and 1"):
         split.sample_classes_exact(df, "c", {"a": 1.5}, "k").collect()
+
+
+def test_exact_samples_with_repeated_keys(spark):
+    # 30 keys of 20 rows each: 12 equal ones and 8 that differ; class b has one key only.
+    rows = [(i % 30, "a", max(0, i // 30 - 11)) for i in range(600)] + [(0, "b", 7)] * 40 + [(None, "c", i) for i in range(10)]
+    df = spark.createDataFrame(rows, "k long, c string, v long").repartition(5)
+    fractions = {"a": 0.395, "b": 0.25, "c": 0.5}
+    found = split.sample_classes_exact(df, "c", fractions, "k", repeated=True)
+    assert found.columns == df.columns
+    kept = collections.Counter(tuple(r) for r in found.collect())
+    assert all(n <= collections.Counter(rows)[r] for r, n in kept.items())
+    sizes = collections.Counter()
+    for (_, c, _), n in kept.items():
+        sizes[c] += n
+    assert sizes == {"a": 237, "b": 10, "c": 5}
+    # Keys are taken whole but for the one where the class is cut.
+    of_key = collections.Counter()
+    for (k, c, _), n in kept.items():
+        of_key[k] += n if c == "a" else 0
+    assert sorted(n for n in of_key.values() if n) == [17] + [20] * 11
+    again = split.sample_classes_exact(df.coalesce(1), "c", fractions, "k", repeated=True)
+    assert collections.Counter(tuple(r) for r in again.collect()) == kept
