@@ -20,6 +20,8 @@ from tabloom.functions import quoted, valid_number
 
 # Distinct values listed on the driver in the last step of an exact search.
 LISTED_VALUES = 50_000
+# Parts into which a further step cuts the values between two pivots.
+SKETCH_PARTS = 128
 
 
 @dataclass(frozen=True)
@@ -114,8 +116,13 @@ def _count_pivots(values: DataFrame, series: list[_Series], found: list[set[floa
         s.total = running
 
 
-def _list_values(values: DataFrame, series: list[_Series], intervals: list[_Interval]) -> None:
-    """Turn every value inside the (few, counted) rows of the intervals into a pivot."""
+def _inside(
+    values: DataFrame, series: list[_Series], intervals: list[_Interval]
+) -> tuple[DataFrame, dict[tuple[int, int], _Interval]]:
+    """``i, b, v``: the values inside the intervals, by column and bucket, in one pass.
+
+    Beside them, which interval a column and bucket stand for.
+    """
     columns = sorted({t.column for t in intervals})
     names = [series[i].name for i in columns]
     edges = [_edges({e for t in intervals if t.column == i for e in (t.low, t.high)}) for i in columns]
@@ -134,10 +141,15 @@ def _list_values(values: DataFrame, series: list[_Series], intervals: list[_Inte
                 F.struct(F.lit(i).alias("i"), bucket.alias("b"), F.col(name).alias("v")),
             )
         )
+    inner = _bucketed(values, names, edges).select(F.inline(F.array_compact(F.array(*slots))))
+    return inner, places
+
+
+def _list_values(values: DataFrame, series: list[_Series], intervals: list[_Interval]) -> None:
+    """Turn every value inside the (few, counted) rows of the intervals into a pivot."""
+    inner, places = _inside(values, series, intervals)
     listed = (
-        _bucketed(values, names, edges)
-        .select(F.inline(F.array_compact(F.array(*slots))))
-        .groupBy("i", "b", "v")
+        inner.groupBy("i", "b", "v")
         .agg(F.count(F.lit(1)).alias("n"))
         .toArrow()
         .sort_by([("i", "ascending"), ("b", "ascending"), ("v", "ascending")])
@@ -150,15 +162,30 @@ def _list_values(values: DataFrame, series: list[_Series], intervals: list[_Inte
         series[i].pivots[v] = (less, less + n)
 
 
-def _around(share: float, error: float) -> list[float]:
-    return [max(0.0, share - 2 * error), min(1.0, share + 2 * error)]
+def _sketch_inside(
+    values: DataFrame, series: list[_Series], intervals: list[_Interval], wanted: list[list[int]]
+) -> list[set[float]]:
+    """Pivots inside the intervals, on both sides of the ranks wanted there.
+
+    Every row is looked at once and enters one sketch for a column at most, so that the pass
+    costs the same whatever the number of intervals.
+    """
+    inner, places = _inside(values, series, intervals)
+    grid = [k / SKETCH_PARTS for k in range(SKETCH_PARTS + 1)]
+    sketched = inner.groupBy("i", "b").agg(F.percentile_approx("v", grid, 20 * SKETCH_PARTS).alias("vs"))
+    found: list[set[float]] = [set() for _ in series]
+    for row in sketched.collect():
+        t = places[row["i"], row["b"]]
+        for rank in wanted[t.column]:
+            if t.below < rank <= t.below + t.size:
+                place = (rank - t.below) / t.size * SKETCH_PARTS
+                near = (math.floor(place - 0.2), math.ceil(place + 0.2))
+                found[t.column] |= {row["vs"][min(max(k, 0), SKETCH_PARTS)] for k in near}
+    return found
 
 
-def _sketch(values: DataFrame, grids: list[list[float]], error: float) -> list[set[float]]:
-    """Approximate quantiles of each column at its own grid of probabilities."""
-    grid = sorted({p for g in grids for p in g})
-    found = values.approxQuantile(values.columns, grid, error)
-    return [{v for p, v in zip(grid, vs) if p in own} for own, vs in zip(grids, found)]
+def _around(share: float, error: float) -> list[float]:
+    return [max(0.0, share - 2 * error), min(1.0, share + 2 * error)]
 
 
 def order_statistics(
@@ -179,7 +206,8 @@ def order_statistics(
     )
     error = min(0.002, max(1e-4, 0.008 / len(shares)))
     start = sorted({p for share in shares for p in _around(share, error)})
-    _count_pivots(values, series, _sketch(values, [start] * len(series), error))
+    found = [set(vs) for vs in values.approxQuantile(values.columns, start, error)]
+    _count_pivots(values, series, found)
     wanted = [list(ranks(i, s.total)) if s.total else [] for i, s in enumerate(series)]
     for s, own in zip(series, wanted):
         if not all(1 <= rank <= s.total for rank in own):
@@ -193,22 +221,7 @@ def order_statistics(
         if sum(t.size for t in intervals) <= LISTED_VALUES:
             _list_values(values, series, intervals)
             continue
-        inside = values.select(
-            *[
-                F.when((F.col(s.name) > t.low) & (F.col(s.name) < t.high), F.col(s.name)).alias(
-                    f"t{j}"
-                )
-                for j, t in enumerate(intervals)
-                for s in [series[t.column]]
-            ]
-        )
-        grids = []
-        for t in intervals:
-            inner = {r - t.below for r in wanted[t.column] if t.below < r <= t.below + t.size}
-            grids.append(sorted({p for r in inner for p in _around(r / t.size, error)}))
-        found: list[set[float]] = [set() for _ in series]
-        for t, pivots in zip(intervals, _sketch(inside, grids, error)):
-            found[t.column] |= pivots
+        found = _sketch_inside(values, series, intervals, wanted)
         _count_pivots(values, series, found)
 
 

@@ -74,3 +74,22 @@ def test_interpolated(spark):
 def test_approximate_is_sparks(spark):
     df = spark.range(100).selectExpr("cast(id as double) as x")
     assert q.quantiles(df, ["x"], [0.5], 0.1) == df.approxQuantile(["x"], [0.5], 0.1)
+
+
+def test_further_steps_sketch_no_column_per_interval(spark, monkeypatch):
+    monkeypatch.setattr(q, "LISTED_VALUES", 20)
+    frame = type(spark.range(1))
+    sketched, plain = [], frame.approxQuantile
+
+    def counted(self, columns, *rest):
+        sketched.append(len(columns))
+        return plain(self, columns, *rest)
+
+    monkeypatch.setattr(frame, "approxQuantile", counted)
+    rng = np.random.default_rng(3)
+    values = np.concatenate([rng.normal(size=60_000), np.repeat([0.5, np.inf, -np.inf], 500)])
+    df = spark.createDataFrame([(v, -v) for v in values.tolist()], "x double, y double").repartition(4)
+    grid = [i / 40 for i in range(41)]
+    found = q.exact_quantiles(df, ["x", "y"], grid)
+    assert found == [[_expected(v, p) for p in grid] for v in (values.tolist(), (-values).tolist())]
+    assert sketched == [2]
