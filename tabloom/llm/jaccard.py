@@ -51,8 +51,8 @@ from tabloom.workspace import stage, stage_bucketed
 _SEEDS = 8
 # Slots of parities; sets of up to twice as many shingles are told apart well.
 SLOTS = 2048
-# Slices in which shingles are counted and met.
-SLICES = 4
+# Most slices in which shingles are counted and met, and shingles for which another one is taken.
+SLICES, SLICE_SHINGLES = 4, 1 << 22
 
 
 def shingle_sets(column: pa.Array, width: int) -> list[np.ndarray]:
@@ -207,7 +207,18 @@ def _shared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The linked ones of distinct key pairs ``(a, b)``, parities first."""
     near = stage(_parted(pairs, sets, percent).filter("near").select("a", "b"), "near")
-    return _shared(near, sets, percent)
+    return near if near.isEmpty() else _shared(near, sets, percent)
+
+
+def _added(
+    links: DataFrame | None, found: DataFrame, reached: DataFrame | None
+) -> tuple[DataFrame, DataFrame]:
+    """Links with what was ``found``, and their components: those ``reached`` if nothing was."""
+    found = stage(found, "found")
+    if links is not None and found.isEmpty():
+        return links, reached
+    links = found if links is None else links.union(found)
+    return links, stage(components(links), "reached")
 
 
 def _rare(keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -218,12 +229,13 @@ def _rare(keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     number matters, and only the others are shuffled by set.
     """
     distinct = keys.select("key").distinct()
+    total = distinct.join(sets.select("key", "n"), "key").agg(F.sum("n")).head()[0] or 0
     held = distinct.join(sets.select("key", "shingles"), "key")
     held = held.select("key", F.explode("shingles").alias("shingle"))
     # The universe of shingles is gone through in slices, so that one slice at a time is shuffled.
-    parts = []
-    for i in range(SLICES):
-        part = held.filter(F.pmod("shingle", F.lit(SLICES)) == i)
+    slices, parts = min(SLICES, total // SLICE_SHINGLES + 1), []
+    for i in range(slices):
+        part = held.filter(F.pmod("shingle", F.lit(slices)) == i)
         counts = part.groupBy("shingle").agg(F.count(F.lit(1)).alias("_df")).filter("_df > 1")
         met = part.join(stage(counts, "common"), "shingle").select("key", "shingle", "_df")
         parts.append(stage(met, "common-of-sets"))
@@ -290,7 +302,7 @@ def link_classes(
 
     def sets_of(batches):
         for batch in T.pieces(batches):
-            found = shingle_sets(batch.column(1), width)
+            found = shingle_sets(batch.column(0), width)
             keys = np.array([_keys(s)[0] for s in found], np.uint64)
             ends = np.concatenate([[0], np.cumsum([len(s) for s in found])]).astype(np.int32)
             held = np.concatenate([np.zeros(0, np.uint64), *found])
@@ -333,20 +345,23 @@ def link_classes(
     kept = signed.groupBy("_n", "_0", "_1").agg(F.min("region").alias("region")).select("region")
     members = stage(members.join(kept, "region", "left_semi"), "different-regions")
     wanted = members.select("key").distinct()
-    # One row for each key; the key is taken from the row's own text again.
+    # One row for each key; the key is taken from the row's own text again. Texts are dealt by key
+    # and not their sets, which are several times as large.
     firsts = classes.join(wanted, "key").groupBy("key").agg(F.min("row").alias("row"))
     # Sets are joined by key time and again; dealt by it, they are not shuffled for that.
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sets = stage_bucketed(
         texts.select("text", "row")
-        .join(firsts, "row", "left_semi")
+        .join(firsts, "row")
+        .select("key", "text")
+        .repartition(buckets, "key")
+        .dropDuplicates(["key"])
+        .select("text")
         .mapInArrow(
             sets_of,
             "key long, n int, parities array<long>, fine array<long>, half array<long>, "
             "shingles array<long>",
-        )
-        .repartition(buckets, "key")
-        .dropDuplicates(["key"]),
+        ),
         "shingles",
         "key",
         buckets,
@@ -354,9 +369,8 @@ def link_classes(
         dealt=True,
     )
 
-    links = _join(members, sets, percent, leaf)
     # From keys of sets to documents: classes of equal sets are linked by their least document.
-    reached = components(links)
+    reached = _join(members, sets, percent, leaf)
     of_key = (
         classes.join(reached, classes["key"] == reached["node"], "left")
         .select("first", "key", "key2", "n_shingles", F.coalesce("component", "key").alias("_class"))
@@ -402,17 +416,19 @@ def _open(placed: DataFrame, reached: DataFrame) -> DataFrame:
 
 
 def _join(members: DataFrame, sets: DataFrame, percent: int, leaf: int) -> DataFrame:
-    """Links ``(a, b)`` between keys whose components are those of all links."""
-    links = first = None
+    """``(node, component)`` of every key that is linked, by links whose components are those of all."""
+    links = first = reached = None
     while True:
         placed = stage(_central(members), "pivots")
         first = placed if first is None else first
         pairs = placed.filter("key != pivot").select(
             F.col("key").alias("a"), F.col("pivot").alias("b")
         )
-        found = _compare(pairs.distinct(), sets, percent)
-        links = stage(found if links is None else links.union(found), "links")
-        reached = stage(components(links), "reached")
+        known = reached
+        links, reached = _added(links, _compare(pairs.distinct(), sets, percent), reached)
+        if reached is known:
+            # Pivots that link nothing in any region leave the rest to the cells.
+            break
         left = _open(placed, reached)
         # Once more with new pivots where many classes could still be balls around a document.
         own = left.filter("key = pivot").select("region", F.col("component").alias("_own"))
@@ -425,7 +441,7 @@ def _join(members: DataFrame, sets: DataFrame, percent: int, leaf: int) -> DataF
             break
         leaf *= 4
     cells = _open(first, reached).select(F.col("region").alias("cell"), "key", "component")
-    links, keys = _in_cells(stage(cells, "cells"), links, sets, percent)
+    links, reached, keys = _in_cells(stage(cells, "cells"), links, reached, sets, percent)
     rare = stage(_rare(keys, sets, percent), "rare")
     a, b = (
         rare.select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("key", "component", "n", "place")])
@@ -441,17 +457,44 @@ def _join(members: DataFrame, sets: DataFrame, percent: int, leaf: int) -> DataF
         & (F.col("component_a") != F.col("component_b"))
         & fits,
     ).select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
-    return links.union(_compare(pairs.distinct(), sets, percent))
+    return _added(links, _compare(pairs.distinct(), sets, percent), reached)[1]
 
 
 # Pivots of a cell, members of a cell that are all compared, and cuts before shingles are tried.
 PIVOTS, FEW, CUTS = 6, 6, 2
+# Pivots by which a cell is tried before all its members meet all pivots.
+TRIED = 3
+
+
+def _homes(met: DataFrame, distances: DataFrame, percent: int) -> DataFrame:
+    """``cell, _size, key, component``, and as ``_homes`` the pivots where linked sets can be near.
+
+    ``met`` has a row for each pivot that ``key`` is compared with, ``distances`` their distances.
+    """
+    spans = (
+        met.join(distances.withColumnsRenamed({"a": "key", "b": "pivot"}), ["key", "pivot"])
+        .groupBy("cell", "_size", "key", "component")
+        .agg(
+            F.collect_list(F.struct("apart", "pivot")).alias("_to"),
+            F.max("n").alias("n"),
+            F.min("apart").alias("_nearest"),
+        )
+    )
+    reach = F.floor(F.col("n") * (100 - percent) / percent) * 2 + F.col("_nearest")
+    return spans.select(
+        "cell", "_size", "key", "component", F.filter("_to", lambda p: p["apart"] <= reach).alias("_homes")
+    )
+
+
+def _distances(met: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    pairs = met.select(F.col("key").alias("a"), F.col("pivot").alias("b")).distinct()
+    return stage(_parted(pairs, sets, percent), "distances")
 
 
 def _in_cells(
-    cells: DataFrame, links: DataFrame, sets: DataFrame, percent: int
-) -> tuple[DataFrame, DataFrame]:
-    """Links found by cutting ``cells(cell, key, component)``, and the keys they do not cut."""
+    cells: DataFrame, links: DataFrame, reached: DataFrame, sets: DataFrame, percent: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links found by cutting ``cells(cell, key, component)``, components, and the keys not cut."""
     rest = [cells.select("key", "component").limit(0)]
     for _ in range(CUTS):
         sizes = cells.groupBy("cell").agg(
@@ -472,38 +515,34 @@ def _in_cells(
         )
         pairs = a.join(b, "cell").filter("a < b and _a != _b").select("a", "b").distinct()
         found = _compare(pairs, sets, percent)
-        # Nearest pivots, and those that are little farther.
+        # Some pivots try the others first. Where they would go to most of them, so would the members:
+        # the cell is not cut, and need not meet its pivots for that.
         large = cells.filter(F.col("_size") > FEW)
         drawn = Window.partitionBy("cell").orderBy(F.xxhash64("cell", "key"))
-        pivots = large.withColumn("_turn", F.row_number().over(drawn)).filter(F.col("_turn") <= PIVOTS)
+        ranked = large.withColumn("_turn", F.row_number().over(drawn))
+        pivots = stage(ranked.filter(F.col("_turn") <= PIVOTS), "cell-pivots")
         chosen = pivots.select("cell", F.col("key").alias("pivot"), F.col("component").alias("_other"))
+        tried = pivots.filter(F.col("_turn") <= TRIED).join(chosen, "cell").filter("key != pivot")
+        homes = _homes(tried, _distances(tried, sets, percent), percent)
+        homes = homes.groupBy("cell").agg(F.avg(F.size("_homes")).alias("_mean"))
+        blunt = stage(homes.filter("_mean > 2").select("cell"), "blunt")
+        rest.append(cells.join(blunt, "cell").select("key", "component"))
+        # Nearest pivots, and those that are little farther.
+        large = large.join(blunt, "cell", "left_anti")
         met = stage(large.join(chosen, "cell").filter("key != pivot"), "met")
-        distances = stage(
-            _parted(
-                met.select(F.col("key").alias("a"), F.col("pivot").alias("b")).distinct(), sets, percent
-            ),
-            "distances",
-        )
+        if met.isEmpty():
+            links, reached = _added(links, found, reached)
+            cells = cells.limit(0)
+            break
+        distances = _distances(met, sets, percent)
         # What is in one class needs no link.
         apart = met.filter("component != _other")
         apart = apart.select(F.col("key").alias("a"), F.col("pivot").alias("b")).distinct()
         close = stage(distances.filter("near").join(apart, ["a", "b"]).select("a", "b"), "close")
-        with_pivots = _shared(close, sets, percent)
-        links = stage(links.union(found).union(with_pivots), "links")
-        reached = components(links)
-        spans = (
-            met.join(distances.withColumnsRenamed({"a": "key", "b": "pivot"}), ["key", "pivot"])
-            .groupBy("cell", "_size", "key", "component")
-            .agg(
-                F.collect_list(F.struct("apart", "pivot")).alias("_to"),
-                F.max("n").alias("n"),
-                F.min("apart").alias("_nearest"),
-            )
-        )
-        reach = F.floor(F.col("n") * (100 - percent) / percent) * 2 + F.col("_nearest")
-        homes = F.filter("_to", lambda p: p["apart"] <= reach)
+        links, reached = _added(links, found.union(_shared(close, sets, percent)), reached)
+        spans = _homes(met, distances, percent)
         cut = stage(
-            spans.select("cell", "_size", "key", "component", F.explode(homes).alias("_home")).select(
+            spans.select("cell", "_size", "key", "component", F.explode("_homes").alias("_home")).select(
                 "cell",
                 "_size",
                 F.xxhash64("cell", "_home.pivot").alias("_inner"),
@@ -520,12 +559,9 @@ def _in_cells(
         rest.append(cells.join(stuck, "cell").select("key", "component"))
         named = cut.join(stuck, "cell", "left_anti").select(F.col("_inner").alias("cell"), "key", "component")
         cells = _renamed(named, reached)
-    reached = stage(components(links), "reached")
     rest.append(cells.select("key", "component"))
-    keys = rest[0]
-    for more in rest[1:]:
-        keys = keys.union(more)
-    return links, stage(_renamed(keys, reached).distinct(), "open")
+    keys = reduce(DataFrame.union, rest)
+    return links, reached, stage(_renamed(keys, reached).distinct(), "open")
 
 
 def _renamed(rows: DataFrame, reached: DataFrame) -> DataFrame:
