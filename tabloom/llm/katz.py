@@ -40,24 +40,26 @@ from tabloom.workspace import remove, stage, stage_bucketed, stage_path
 START, END = np.uint64(1), np.uint64(2)
 _LOW48 = np.uint64((1 << 48) - 1)
 _SLICES, _HOT_SLICES, _STEP = np.uint64(16), np.uint64(256), 2654435761
-_BATCH_BYTES = 10 << 20
+# Of text; the arrays of a task take some twenty times as much.
+_BATCH_BYTES = 3 << 20
 _TOKEN_BYTES = 6
+# Parts in which the model is dealt to its buckets, one after another.
+TABLE_PARTS = 2
 
 
 def _tokens(batch: pa.RecordBatch, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First and second words of all bigrams of a batch, and their rows; START to END."""
+    """First and second words of all bigrams of a batch, and the offsets of rows; START to END."""
     words, offsets = T.words_of(batch.column(at), lower=True)
-    n = len(offsets) - 1
-    row = T.rows_of(offsets)
-    first = np.empty(len(words) + n, np.uint64)
-    second = np.empty(len(words) + n, np.uint64)
-    heads = offsets[:-1] + np.arange(n)
-    place = np.arange(len(words)) + row
-    second[place] = words
-    second[offsets[1:] + np.arange(n)] = END
-    first[heads] = START
-    first[place + 1] = words
-    return first, second, np.repeat(np.arange(n), np.diff(offsets) + 1)
+    offsets = offsets + np.arange(len(offsets))
+
+    def filled(places: np.ndarray, mark: np.uint64) -> np.ndarray:
+        out = np.full(offsets[-1], mark)
+        free = np.ones(len(out), bool)
+        free[places] = False
+        out[free] = words
+        return out
+
+    return filled(offsets[:-1], START), filled(offsets[1:] - 1, END), offsets
 
 
 def _groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -131,14 +133,14 @@ def _counted(buckets: int):
     def count(batches):
         for batch in _large(batches):
             v, w, _ = _tokens(batch, 0)
-            w = w & _LOW48
+            w &= _LOW48
             bucket = _bucket_of(v, w, _SLICES, buckets)
             order, begins = _groups(w, v, bucket)
             times = np.diff(np.append(begins, len(order)))
             at = order[begins]
-            rows = _packed(
-                bucket[at], v[at], w[at], {"n": (lambda x, a, b: _small(x[a:b]), times)}
-            )
+            del order, begins
+            v, w, bucket = v[at], w[at], bucket[at]
+            rows = _packed(bucket, v, w, {"n": (lambda x, a, b: _small(x[a:b]), times)})
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c) for c in zip(*rows)], ["bucket", "v", "runs", "w", "n"]
             )
@@ -286,7 +288,7 @@ def fit(docs: DataFrame, k: int = 5, share: float = 1e-3, bucket_tokens: int = 1
     hot = [r["v"] for r in words.filter(F.col("n") >= max(1.0, n * share)).select("v").collect()]
     model = Katz(words, n, n_types, n_docs, unseen, [*hot, int(START)], buckets)
     held = _tables(words, bigrams, model.hot, buckets)
-    model.table = stage_bucketed(held, "katz-model", "bucket", buckets, "v")
+    model.table = stage_bucketed(held, "katz-model", "bucket", buckets, "v", parts=TABLE_PARTS)
     remove(spark, bigrams_path)
     return model
 
@@ -416,17 +418,19 @@ def score(docs: DataFrame, model: Katz, bucket_tokens: int = 1 << 20) -> DataFra
 
     def request(batches):
         for batch in _large(batches):
-            v, w, row = _tokens(batch, 1)
+            v, w, offsets = _tokens(batch, 1)
             ids = batch.column(0).to_numpy()
-            w = w & _LOW48
+            row = T.rows_of(offsets).astype(np.uint16 if len(ids) <= 1 << 16 else np.uint32)
+            w &= _LOW48
             bucket = _place(v, w, hot, buckets)
-            order = np.lexsort((row, w, v, bucket))
+            # Rows ascend, and the sort is stable.
+            order = np.lexsort((w, v, bucket))
             v, w, row, bucket = v[order], w[order], row[order], bucket[order]
+            del order
             new = np.flatnonzero(
                 np.append(True, (v[1:] != v[:-1]) | (w[1:] != w[:-1]) | (bucket[1:] != bucket[:-1]))
             )
             ends = np.append(new, len(v))
-            row = row.astype(np.uint16 if len(ids) <= 1 << 16 else np.uint32)
             whole = ids.tobytes()
 
             def rows_and_ids(x, a, b):

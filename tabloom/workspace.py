@@ -7,6 +7,7 @@ import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -82,17 +83,27 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def stage_bucketed(
-    df: DataFrame, name: str, column: str, buckets: int, order: str, dealt: bool = False
+    df: DataFrame,
+    name: str,
+    column: str,
+    buckets: int,
+    order: str,
+    dealt: bool = False,
+    parts: int = 1,
 ) -> DataFrame:
     """Write ``df`` as a table dealt by ``column`` into ``buckets`` files, each in ``order``.
 
     Joins and groups by that column read it where it lies, without a shuffle. ``dealt``: the rows
-    are in that many partitions by the column already.
+    are in that many partitions by the column already. ``parts``: rows go in so many parts by a whole
+    number of the column, so that the shuffle of one at a time is on disk.
     """
     spark = df.sparkSession
     path = new_path(spark, name)
     table = f"tabloom_{path.rpartition('/')[2].replace('-', '_')}"
-    rows = df if dealt else df.repartition(buckets, column)
-    with _shuffles_dropped(spark):
-        rows.write.bucketBy(buckets, column).sortBy(order).option("path", path).saveAsTable(table)
+    for i in range(parts):
+        part = df if parts == 1 else df.filter(F.pmod(column, F.lit(parts)) == i)
+        rows = part if dealt else part.repartition(buckets, column)
+        writer = rows.write.mode("append" if i else "error").bucketBy(buckets, column).sortBy(order)
+        with _shuffles_dropped(spark):
+            writer.option("path", path).saveAsTable(table)
     return spark.table(table)

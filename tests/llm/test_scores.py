@@ -3,14 +3,17 @@
 import collections
 import math
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tabloom.llm import QUERIES, katz, quality, toxicity
 from tabloom.llm import text as T
+from tabloom.workspace import stage_bucketed
 from tests.llm import brute
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -281,3 +284,25 @@ def test_katz_of_odd_rows(spark):
     assert nothing.n == 0
     assert all(r.n_known == 0 and r.base_score == 0 for r in katz.score(docs, nothing).collect())
     assert katz.score(docs.filter("false"), model).collect() == []
+
+
+def test_counting_holds_little_of_a_partition_at_once():
+    """Arrays of a task, for 19 MB of text in one batch: 185 MB before parts of it were smaller."""
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(30_000)]
+    texts = pa.array([" ".join(rng.choices(words, k=500)) for _ in range(5_600)])
+    batch = pa.RecordBatch.from_arrays([texts], ["text"])
+    tracemalloc.start()
+    found = [len(b) for b in katz._counted(64)(iter([batch]))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) > 2 and peak < 100e6
+
+
+def test_tables_dealt_in_parts_are_whole(spark):
+    rows = spark.range(1000).select((F.col("id") % 37).alias("bucket"), "id")
+    for parts in (1, 2, 5):
+        table = stage_bucketed(rows, "parts", "bucket", 8, "id", parts=parts)
+        assert sorted(r.id for r in table.collect()) == list(range(1000))
+        plan = table.groupBy("bucket").count()._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan
