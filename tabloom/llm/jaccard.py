@@ -46,13 +46,15 @@ from pyspark.sql import functions as F
 
 from tabloom.llm import text as T
 from tabloom.llm.graph import components
-from tabloom.workspace import stage, stage_bucketed
+from tabloom.workspace import scratch, stage, stage_bucketed
 
 _SEEDS = 8
 # Slots of parities; sets of up to twice as many shingles are told apart well.
 SLOTS = 2048
 # Most slices in which shingles are counted and met, and shingles for which another one is taken.
 SLICES, SLICE_SHINGLES = 4, 1 << 22
+# Parts in which texts are dealt by key, one after another.
+TEXT_PARTS = 2
 
 
 def shingle_sets(column: pa.Array, width: int) -> list[np.ndarray]:
@@ -218,7 +220,7 @@ def _added(
     if links is not None and found.isEmpty():
         return links, reached
     links = found if links is None else links.union(found)
-    return links, stage(components(links), "reached")
+    return links, components(links)
 
 
 def _rare(keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -228,6 +230,11 @@ def _rare(keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     Those that no other set of ``keys`` holds meet nothing; they are the rarest, so that only their
     number matters, and only the others are shuffled by set.
     """
+    with scratch() as keep:
+        return keep(_rarest(keys, sets, percent), "rare")
+
+
+def _rarest(keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     distinct = keys.select("key").distinct()
     total = distinct.join(sets.select("key", "n"), "key").agg(F.sum("n")).head()[0] or 0
     held = distinct.join(sets.select("key", "shingles"), "key")
@@ -321,66 +328,68 @@ def link_classes(
                 ["key", "n", "parities", "fine", "half", "shingles"],
             )
 
-    known = stage(
-        texts.mapInArrow(numbered, "doc_id long, n_shingles long, key long, key2 long, row long"),
-        "sets",
-    )
-    classes = (
-        known.filter("n_shingles > 0")
-        .groupBy("key", "key2", "n_shingles")
-        .agg(F.min("doc_id").alias("first"), F.min("row").alias("row"))
-    )
-    placed = texts.mapInArrow(regions, "region long, key long")
-    shared = stage(
-        placed.groupBy("region")
-        .agg(F.min("key").alias("_first"), F.max("key").alias("_last"))
-        .filter("_first != _last")
-        .select("region"),
-        "shared",
-    )
-    members = stage(placed.join(shared, "region").distinct(), "regions")
-    # Of regions with the same members one is enough: near copies share most of theirs.
-    sign = [F.bit_xor(F.xxhash64("key", F.lit(i))).alias(f"_{i}") for i in (0, 1)]
-    signed = members.groupBy("region").agg(F.count(F.lit(1)).alias("_n"), *sign)
-    kept = signed.groupBy("_n", "_0", "_1").agg(F.min("region").alias("region")).select("region")
-    members = stage(members.join(kept, "region", "left_semi"), "different-regions")
-    wanted = members.select("key").distinct()
-    # One row for each key; the key is taken from the row's own text again. Texts are dealt by key
-    # and not their sets, which are several times as large.
-    firsts = classes.join(wanted, "key").groupBy("key").agg(F.min("row").alias("row"))
-    # Sets are joined by key time and again; dealt by it, they are not shuffled for that.
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sets = stage_bucketed(
-        texts.select("text", "row")
-        .join(firsts, "row")
-        .select("key", "text")
-        .repartition(buckets, "key")
-        .dropDuplicates(["key"])
-        .select("text")
-        .mapInArrow(
-            sets_of,
-            "key long, n int, parities array<long>, fine array<long>, half array<long>, "
-            "shingles array<long>",
-        ),
-        "shingles",
-        "key",
-        buckets,
-        "key",
-        dealt=True,
-    )
-
-    # From keys of sets to documents: classes of equal sets are linked by their least document.
-    reached = _join(members, sets, percent, leaf)
-    of_key = (
-        classes.join(reached, classes["key"] == reached["node"], "left")
-        .select("first", "key", "key2", "n_shingles", F.coalesce("component", "key").alias("_class"))
-    )
-    least = of_key.groupBy("_class").agg(F.min("first").alias("component_id"))
-    named = of_key.join(least, "_class").select("key", "key2", "n_shingles", "component_id")
-    return (
-        known.join(named, ["key", "key2", "n_shingles"], "left")
-        .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-    )
+    with scratch() as keep_classes:
+        known = stage(
+            texts.mapInArrow(numbered, "doc_id long, n_shingles long, key long, key2 long, row long"),
+            "sets",
+        )
+        classes = (
+            known.filter("n_shingles > 0")
+            .groupBy("key", "key2", "n_shingles")
+            .agg(F.min("doc_id").alias("first"), F.min("row").alias("row"))
+        )
+        placed = texts.mapInArrow(regions, "region long, key long")
+        with scratch() as keep:
+            shared = stage(
+                placed.groupBy("region")
+                .agg(F.min("key").alias("_first"), F.max("key").alias("_last"))
+                .filter("_first != _last")
+                .select("region"),
+                "shared",
+            )
+            members = stage(placed.join(shared, "region").distinct(), "regions")
+            # Of regions with the same members one is enough: near copies share most of theirs.
+            sign = [F.bit_xor(F.xxhash64("key", F.lit(i))).alias(f"_{i}") for i in (0, 1)]
+            signed = members.groupBy("region").agg(F.count(F.lit(1)).alias("_n"), *sign)
+            kept = signed.groupBy("_n", "_0", "_1").agg(F.min("region").alias("region")).select("region")
+            members = keep(members.join(kept, "region", "left_semi"), "different-regions")
+        wanted = members.select("key").distinct()
+        # One row for each key; the key is taken from the row's own text again. Texts are dealt by key
+        # and not their sets, which are several times as large.
+        firsts = classes.join(wanted, "key").groupBy("key").agg(F.min("row").alias("row"))
+        # Sets are joined by key time and again; dealt by it, they are not shuffled for that.
+        buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        # Texts go in parts by their rows, of which each key has one, so that one part is shuffled at a time.
+        dealt = [
+            texts.select("text", "row")
+            .filter(F.pmod("row", F.lit(TEXT_PARTS)) == i)
+            .join(firsts.filter(F.pmod("row", F.lit(TEXT_PARTS)) == i), "row")
+            .select("key", "text")
+            .repartition(buckets, "key")
+            .dropDuplicates(["key"])
+            .select("text")
+            .mapInArrow(
+                sets_of,
+                "key long, n int, parities array<long>, fine array<long>, half array<long>, "
+                "shingles array<long>",
+            )
+            for i in range(TEXT_PARTS)
+        ]
+        sets = stage_bucketed(dealt[0], "shingles", "key", buckets, "key", dealt=True, more=dealt[1:])
+
+        # From keys of sets to documents: classes of equal sets are linked by their least document.
+        reached = _join(members, sets, percent, leaf)
+        of_key = (
+            classes.join(reached, classes["key"] == reached["node"], "left")
+            .select("first", "key", "key2", "n_shingles", F.coalesce("component", "key").alias("_class"))
+        )
+        least = of_key.groupBy("_class").agg(F.min("first").alias("component_id"))
+        named = of_key.join(least, "_class").select("key", "key2", "n_shingles", "component_id")
+        return keep_classes(
+            known.join(named, ["key", "key2", "n_shingles"], "left")
+            .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")),
+            "classes",
+        )
 
 
 def _central(members: DataFrame) -> DataFrame:
@@ -442,7 +451,7 @@ def _join(members: DataFrame, sets: DataFrame, percent: int, leaf: int) -> DataF
         leaf *= 4
     cells = _open(first, reached).select(F.col("region").alias("cell"), "key", "component")
     links, reached, keys = _in_cells(stage(cells, "cells"), links, reached, sets, percent)
-    rare = stage(_rare(keys, sets, percent), "rare")
+    rare = _rare(keys, sets, percent)
     a, b = (
         rare.select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("key", "component", "n", "place")])
         for x in "ab"

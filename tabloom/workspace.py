@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,8 @@ from pyspark.sql import functions as F
 _SETTING = "spark.checkpoint.dir"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _local_dirs: dict[str, str] = {}
+# Of the innermost ``scratch``: session, path and, if in the catalog, name of all that was stored.
+_stored: ContextVar[list | None] = ContextVar("stored", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -61,6 +65,7 @@ def stage_path(df: DataFrame, name: str) -> str:
     The shuffles behind it are not kept, as the table stands for them from then on.
     """
     path = new_path(df.sparkSession, name)
+    _note(df.sparkSession, path)
     with _shuffles_dropped(df.sparkSession):
         df.write.parquet(path)
     return path
@@ -75,6 +80,38 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(stage_path(df, name))
 
 
+def _note(spark: SparkSession, path: str, table: str | None = None) -> None:
+    if (stored := _stored.get()) is not None:
+        stored.append((spark, path, table))
+
+
+@contextmanager
+def scratch():
+    """Remove at the end what was stored inside; gives a ``stage`` whose tables stay.
+
+    Frames that read a removed table cannot be used any more, so what is returned has to be stored
+    by that.
+    """
+    outer, own = _stored.get(), []
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        inner = _stored.set(outer)
+        try:
+            return stage(df, name)
+        finally:
+            _stored.reset(inner)
+
+    before = _stored.set(own)
+    try:
+        yield kept
+    finally:
+        _stored.reset(before)
+        for spark, path, table in own:
+            if table:
+                spark.sql(f"DROP TABLE IF EXISTS {table}")
+            remove(spark, path)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Remove a stored table that nothing reads any more, as others stand for it."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -90,18 +127,23 @@ def stage_bucketed(
     order: str,
     dealt: bool = False,
     parts: int = 1,
+    more: Sequence[DataFrame] = (),
 ) -> DataFrame:
     """Write ``df`` as a table dealt by ``column`` into ``buckets`` files, each in ``order``.
 
     Joins and groups by that column read it where it lies, without a shuffle. ``dealt``: the rows
     are in that many partitions by the column already. ``parts``: rows go in so many parts by a whole
-    number of the column, so that the shuffle of one at a time is on disk.
+    number of the column, so that the shuffle of one at a time is on disk. ``more``: further rows,
+    written after those of ``df`` for the same reason.
     """
     spark = df.sparkSession
     path = new_path(spark, name)
     table = f"tabloom_{path.rpartition('/')[2].replace('-', '_')}"
-    for i in range(parts):
-        part = df if parts == 1 else df.filter(F.pmod(column, F.lit(parts)) == i)
+    _note(spark, path, table)
+    given = [df, *more]
+    if parts > 1:
+        given = [x.filter(F.pmod(column, F.lit(parts)) == i) for x in given for i in range(parts)]
+    for i, part in enumerate(given):
         rows = part if dealt else part.repartition(buckets, column)
         writer = rows.write.mode("append" if i else "error").bucketBy(buckets, column).sortBy(order)
         with _shuffles_dropped(spark):

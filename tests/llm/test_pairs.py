@@ -5,7 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tabloom.llm import decontaminate, jaccard, substrings
+from tabloom import workspace
+from tabloom.llm import decontaminate, graph, jaccard, substrings
 from tests.llm import brute
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -91,6 +92,32 @@ def test_texts_and_not_their_sets_are_dealt_by_key(spark, monkeypatch):
     assert plans and all(p.index("MapInArrow") < p.index("RepartitionByExpression") for p in plans)
 
 
+def test_only_the_classes_stay_on_disk(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(workspace, "shared_dir", lambda _: str(tmp_path))
+    classes = jaccard.link_classes(frame(spark, family(copies=5)))
+    # Sets and all tables between stayed before.
+    assert [p.name.split("-")[0] for p in (tmp_path / "tabloom").iterdir()] == ["classes"]
+    assert classes.count() == len(family(copies=5))
+
+
+@pytest.mark.parametrize("few", [0, 1 << 17])
+def test_components_with_and_without_shuffles(spark, monkeypatch, few):
+    monkeypatch.setattr(graph, "FEW", few)
+    rng = random.Random(1)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 430)]
+    edges += edges[:20] + [(7, 7)]
+    least = {n: n for e in edges if e[0] != e[1] for n in e}
+    for _ in least:
+        for a, b in edges:
+            if a != b:
+                least[a] = least[b] = min(least[a], least[b])
+    found = graph.components(spark.createDataFrame(edges, "a long, b long").repartition(4))
+    assert sorted(map(tuple, found.collect())) == sorted(least.items())
+    assert graph.components(found.select("node", "component").toDF("a", "b").limit(0)).collect() == []
+    # One file is written without shuffles.
+    assert few == 0 or len(found.inputFiles()) == 1
+
+
 @pytest.mark.parametrize("percent", [60, 80, 90, 97])
 def test_linked_sizes_lie_in_cells_that_meet(percent):
     cells = jaccard._cells(percent, 100_000)

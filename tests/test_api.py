@@ -110,6 +110,24 @@ def test_shared_folder_is_the_sessions(spark):
     assert all(f.removeprefix("file://").startswith(named) for f in staged.inputFiles())
 
 
+def test_tables_stored_on_the_way_are_removed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(workspace, "shared_dir", lambda _: str(tmp_path))
+    with workspace.scratch() as keep:
+        numbers = workspace.stage(spark.range(5), "numbers")
+        with workspace.scratch() as keep_inner:
+            inner = keep_inner(numbers.filter("id > 1"), "inner")
+        halves = [inner.filter("id < 3"), inner.filter("id > 2")]
+        table = workspace.stage_bucketed(halves[0], "dealt", "id", 2, "id", more=halves[1:])
+        assert sorted(r.id for r in table.collect()) == [2, 3, 4]
+        kept = keep(table.filter("id > 3"), "kept")
+    with pytest.raises(ZeroDivisionError), workspace.scratch():
+        workspace.stage(spark.range(5), "numbers")
+        _ = 1 / 0
+    assert [r.id for r in kept.collect()] == [4]
+    assert [p.name.split("-")[0] for p in (tmp_path / "tabloom").iterdir()] == ["kept"]
+    assert not [t for t in spark.catalog.listTables() if "dealt" in t.name]
+
+
 def test_notebook_functions(spark, demo, tmp_path):
     log = str(tmp_path / "log")
     prepare = api.DataPreprocessor(["category"], ["feature1", "feature2"]).build_pipeline()
