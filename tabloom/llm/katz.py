@@ -469,10 +469,12 @@ def score(docs: DataFrame, model: Katz, bucket_tokens: int = 1 << 20) -> DataFra
             )
         )
 
-    shares = reduce(DataFrame.union, [share(i) for i in range(parts)])
-    sums = shares.groupBy(F.col("doc").alias("row")).agg(
-        *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "log_p")],
-    )
+    # A part has the whole of its texts; it is summed and stored before the next one is shuffled.
+    totals = [F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "log_p")]
+    summed = [
+        stage(share(i).groupBy(F.col("doc").alias("row")).agg(*totals), "shares") for i in range(parts)
+    ]
+    sums = reduce(DataFrame.union, summed)
     each = sums.join(copies, "row").select(
         "row",
         *[(F.col(c) / F.col("copies")).cast("long").alias(c) for c in ("n_tokens", "n_known")],

@@ -286,6 +286,29 @@ def test_katz_of_odd_rows(spark):
     assert katz.score(docs.filter("false"), model).collect() == []
 
 
+def test_katz_scores_one_part_after_another(spark, monkeypatch):
+    """The shuffles of all parts were on disk at once."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice("abcdefgh") for _ in range(60))) for i in range(40)]
+    docs = frame(spark, rows + rows[:3] + [(50, None), (None, "a b")])
+    model = katz.fit(docs.filter("doc_id % 10 != 0"))
+    stored, stage = [], katz.stage
+    monkeypatch.setattr(katz, "stage", lambda df, name: stored.append(name) or stage(df, name))
+
+    def scores(*size):
+        found = katz.score(docs, model, *size).collect()
+        return sorted(
+            (r.doc_id or -1, r.n_tokens, r.n_known, round(r.base_score, 9), round(r.score, 9))
+            for r in found
+        )
+
+    whole = scores()
+    assert stored == ["shares"] and len(whole) == 45
+    # Texts of 5,120 bytes, buckets of 3 tokens.
+    assert scores(3) == whole
+    assert model.buckets == 64 and stored == ["shares"] * (1 + 5120 // (6 * 3 * 64) + 1)
+
+
 def test_counting_holds_little_of_a_partition_at_once():
     """Arrays of a task, for 19 MB of text in one batch: 185 MB before parts of it were smaller."""
     rng = random.Random(9)
