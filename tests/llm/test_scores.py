@@ -322,6 +322,38 @@ def test_counting_holds_little_of_a_partition_at_once():
     assert len(found) > 2 and peak < 100e6
 
 
+def test_bigrams_of_the_model_are_packed(spark):
+    """Every bigram was a row of the model's table, sorted and read once for each part of the texts."""
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randint(0, 300)}" for _ in range(200)) for _ in range(60)]
+    held = [brute.words(t, True) for t in texts]
+    pairs = {(v, w) for words in held for v, w in zip(["<s>", *words], [*words, "</s>"])}
+    model = katz.fit(frame(spark, list(enumerate(texts))), share=0.01)
+    cells = model.table.filter("pairs is not null").select("bucket", "pairs", "gains").collect()
+    assert len(cells) == len({c.bucket for c in cells}) <= model.buckets
+    assert sum(len(c.pairs) // 8 for c in cells) == len(pairs) > 6000
+    assert all(len(katz._from_few(c.gains)) == len(c.pairs) // 8 for c in cells)
+    assert model.table.filter("v is not null and kept is null").count() < 1500
+
+
+def test_groups_of_small_and_large_numbers():
+    rng = np.random.default_rng(6)
+    for most in (5, 1 << 20, 1 << 31):
+        v, w = (rng.choice(rng.integers(0, most, 40), 3000).astype(np.uint64) for _ in range(2))
+        order, begins = katz._groups(v, w)
+        assert (order == np.lexsort((w, v))).all()
+        ends = np.append(begins[1:], len(v))
+        assert len(begins) == len(set(zip(v.tolist(), w.tolist())))
+        assert all(len(set(v[order[a:b]])) == len(set(w[order[a:b]])) == 1 for a, b in zip(begins, ends))
+    assert [len(x) for x in katz._groups(v[:0], w[:0])] == [0, 0]
+
+
+@pytest.mark.parametrize("different", [1, 256, 257, 70_000])
+def test_numbers_of_few_values_are_kept(different):
+    values = np.random.default_rng(7).permutation(np.arange(80_000) % different) / 7
+    assert (katz._from_few(katz._few(values)) == values).all()
+
+
 def test_tables_dealt_in_parts_are_whole(spark):
     rows = spark.range(1000).select((F.col("id") % 37).alias("bucket"), "id")
     for parts in (1, 2, 5):
