@@ -67,6 +67,7 @@ def _tokens(batch: pa.RecordBatch, at: int) -> tuple[np.ndarray, ...]:
     offsets = offsets + np.arange(len(offsets))
     number, names = _coded(words)
     number += np.uint64(2)
+    del words
 
     def filled(places: np.ndarray, mark: int) -> np.ndarray:
         out = np.full(offsets[-1], mark, np.uint64)
@@ -86,16 +87,18 @@ def _groups(v: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """
     if not len(v):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    pair = v * (w.max() + np.uint64(1)) + w
+    pair = v * (w.max() + np.uint64(1))
+    pair += w
     bits = len(pair).bit_length()
     if int(pair.max()) >> (64 - bits):
         order = np.argsort(pair, kind="stable")
         pair = pair[order]
     else:
         # Places in the low bits, so that numbers are sorted and not places by them.
-        pair = pair << np.uint64(bits) | np.arange(len(pair), dtype=np.uint64)
+        pair <<= np.uint64(bits)
+        pair |= np.arange(len(pair), dtype=np.uint64)
         pair.sort()
-        order = (pair & np.uint64((1 << bits) - 1)).astype(np.int64)
+        order = (pair & np.uint64((1 << bits) - 1)).view(np.int64)
         pair >>= np.uint64(bits)
     return order, np.flatnonzero(np.append(True, pair[1:] != pair[:-1]))
 
@@ -134,7 +137,8 @@ def _from_small(held: bytes) -> np.ndarray:
 def _few(x: np.ndarray) -> bytes:
     """Numbers of few different values: the values, and which of them stands in each place."""
     values, number = np.unique(x, return_inverse=True)
-    return len(values).to_bytes(8, "little") + values.tobytes() + number.astype(_kind(len(values))).tobytes()
+    number = number.astype(_kind(len(values)))
+    return len(values).to_bytes(8, "little") + values.tobytes() + number.tobytes()
 
 
 def _from_few(held: bytes) -> np.ndarray:
@@ -300,7 +304,7 @@ def _weighed(hot: np.ndarray, buckets: int):
     return weigh
 
 
-def _dealt(by: list[float], k: int):
+def _dealt(by: list[float]):
     """A bucket's bigrams as one row of the model's table, and the sums of its first words."""
 
     def deal(table: pa.Table) -> pa.Table:
@@ -309,7 +313,7 @@ def _dealt(by: list[float], k: int):
         del held
         number, firsts = _coded(firsts)
         number = np.repeat(number.astype(np.int64), runs)
-        c = np.where(n <= k, n * np.array(by)[np.minimum(n, k) - 1], n)
+        c = n * np.array([*by, 1.0])[np.minimum(n, len(by) + 1) - 1]
         kept, below = (np.bincount(number, x, len(firsts)) for x in (c, p))
         pairs = T.mix(firsts)[number] ^ w
         order = np.argsort(pairs)
@@ -433,11 +437,15 @@ def fit(docs: DataFrame, k: int = 5, share: float = 1e-3, bucket_tokens: int = 1
             bigrams.filter(F.pmod("bucket", F.lit(TABLE_PARTS)) == part)
             .repartition(buckets, "bucket")
             .groupBy("bucket")
-            .applyInArrow(_dealt(d2, k), _TABLE)
+            .applyInArrow(_dealt(d2), _TABLE)
         )
 
     # START is the first word of as many bigrams as there are ends.
-    starts = spark.createDataFrame([(int(START), n_docs, 0.0)], "v long, n long, x double")
+    starts = spark.range(1).select(
+        F.lit(int(START)).cast("long").alias("v"),
+        F.lit(n_docs).cast("long").alias("n"),
+        F.lit(0.0).alias("x"),
+    )
     none = F.lit(None)
     by_word = (
         log_p.withColumnRenamed("log_p", "x")
@@ -593,9 +601,10 @@ def score(docs: DataFrame, model: Katz, bucket_tokens: int = 1 << 20) -> DataFra
             order, begins = _groups(v, w)
             times = np.diff(np.append(begins, len(order)))
             at = order[begins]
-            v, w = names[v[at]], names[w[at]] & _LOW48
+            v, w, row = names[v[at]], names[w[at]] & _LOW48, row[order]
+            del order, begins, at
             bucket = _place(v, w, hot, buckets)
-            row = row[order][_by_bucket(np.repeat(bucket, times))]
+            row = row[_by_bucket(np.repeat(bucket, times))]
             order = _by_bucket(bucket)
             v, w, bucket = v[order], w[order], bucket[order]
             ends = np.append(0, np.cumsum(times[order]))
